@@ -83,14 +83,13 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=-1, keepdims=True)
 
 
-def fit(counts: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30, rate: float = 2.0, reject_share: float = 0.002) -> LanguageModel:
-    """Train on gram counts (rows x buckets) by stochastic gradient descent, then calibrate."""
+def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30, rate: float = 2.0, reject_share: float = 0.002) -> LanguageModel:
+    """Train on gram shares (rows x buckets, float32) by stochastic gradient descent, then calibrate."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     random = np.random.default_rng(7)
     truth = np.array([languages.index(x) for x in labels])
-    shares = (counts / np.maximum(1, counts.sum(axis=1, keepdims=True))).astype(np.float32)
     order = random.permutation(len(truth))
     aside, own = order[: len(order) // 5], order[len(order) // 5 :]
     if not len(aside):
@@ -153,13 +152,14 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
             made.append(pairs.T.ravel())
         return [pa.array(made, pa.list_(pa.int32()))]
 
-    seen = map_texts(picked, [key, label], text, "grams array<int>", rows).orderBy(F.xxhash64(key, F.lit(31)), key).limit(sample).collect()
-    seen = [r for r in seen if r["grams"]]
-    counts = np.zeros((len(seen), BUCKETS), dtype=np.float32)
-    for i, row in enumerate(seen):
-        pairs = np.asarray(row["grams"], dtype=np.int64).reshape(-1, 2)
-        counts[i, pairs[:, 0]] = pairs[:, 1]
-    return fit(counts, [r[label] for r in seen])
+    counted = map_texts(picked, [key, label], text, "grams array<int>", rows).where(F.size("grams") > 0)
+    seen = counted.orderBy(F.xxhash64(key, F.lit(31)), key).limit(sample).select(label, "grams").toArrow()
+    grams = seen.column("grams").combine_chunks() if seen.num_rows else []
+    shares = np.zeros((seen.num_rows, BUCKETS), dtype=np.float32)
+    for i in range(seen.num_rows):
+        pairs = grams[i].values.to_numpy().reshape(-1, 2)
+        shares[i, pairs[:, 0]] = pairs[:, 1] / pairs[:, 1].sum(dtype=np.float64)
+    return fit(shares, seen.column(label).to_pylist())
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
