@@ -11,25 +11,36 @@ from pyspark.sql.window import Window
 from tidemark.functions.text import bound, form_pattern, norm_key, quoted, token_kind, token_norm, tokens
 
 
-def message_tokens(messages: DataFrame, key: str, text: str = "text", skip: Sequence[str] = (), least_word: int = 4, acronym: tuple[int, int] = (2, 6)) -> DataFrame:
-    """Distinct (key, norm, kind, surface) of every message: the unit of term frequency."""
-    raw = messages.select(F.col(key).alias("id"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("surface"))
-    kinds = raw.withColumn("kind", token_kind(F.col("surface"))).where("kind is not null")
-    norms = kinds.withColumn("norm", token_norm(F.col("surface"), F.col("kind")))
-    size = F.length("norm")
-    fits = (F.col("kind") != "latin_word") | (size >= least_word)
-    fits = fits & ((F.col("kind") != "acronym") | size.between(*acronym))
-    if skip:
-        fits = fits & ~F.upper("norm").isin(*[s.upper() for s in skip])
-    return norms.where(fits).select("id", "norm", "kind", "surface")
+def message_tokens(messages: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Distinct (id, surface) of every message: the unit of term frequency."""
+    return messages.select(F.col(key).alias("id"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("surface"))
+
+
+def classified(surfaces: DataFrame, skip: Sequence[str] = (), least_word: int = 4, acronym: tuple[int, int] = (2, 6)) -> DataFrame:
+    """Adds kind and norm; drops surfaces of no interest.
+
+    Both follow from the surface alone, so callers pass distinct surfaces: the pattern work
+    is done per vocabulary entry, not per token.
+    """
+
+    def fits(s: Column) -> Column:
+        size = F.length(s["norm"])
+        fit = s["kind"].isNotNull() & ((s["kind"] != "latin_word") | (size >= least_word))
+        fit = fit & ((s["kind"] != "acronym") | size.between(*acronym))
+        return fit & ~F.upper(s["norm"]).isin(*[x.upper() for x in skip]) if skip else fit
+
+    # exploding a one-element array evaluates the patterns once; as a filter they would be pushed down and repeated
+    named = F.transform(F.array(token_kind(F.col("surface"))), lambda k: F.struct(k.alias("kind"), token_norm(F.col("surface"), k).alias("norm")))
+    return surfaces.select("*", F.explode(F.filter(named, fits)).alias("__k")).select(*surfaces.columns, "__k.kind", "__k.norm")
 
 
-def candidates(units: DataFrame, least: int = 3, forms: int = 5) -> DataFrame:
+def candidates(units: DataFrame, least: int = 3, forms: int = 5, skip: Sequence[str] = ()) -> DataFrame:
     """(term, kind, frequency, surface_forms): frequent terms with their commonest spellings.
 
-    Counts are aggregated per spelling first; only those sums meet per term.
+    Counts are aggregated per spelling first, on the map side; only those sums are
+    classified and meet per term.
     """
-    spelled = units.groupBy("norm", "surface").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("kind"))
+    spelled = classified(units.groupBy("surface").agg(F.count(F.lit(1)).alias("n")), skip)
     ranked = spelled.withColumn("at", F.row_number().over(Window.partitionBy("norm").orderBy(F.desc("n"), "surface")))
     top = F.transform(F.array_sort(F.collect_list(F.when(F.col("at") <= forms, F.struct("at", "surface")))), lambda x: x["surface"])
     terms = ranked.groupBy(F.col("norm").alias("term")).agg(F.min("kind").alias("kind"), F.sum("n").alias("frequency"), top.alias("surface_forms"))
@@ -43,8 +54,8 @@ def kind_summary(terms: DataFrame) -> DataFrame:
 def hash_examples(units: DataFrame, per_term: int = 25, seed: int = 42) -> DataFrame:
     """(norm, id): at most ``per_term`` messages of each term, by hash: a repeatable uniform sample.
 
-    Candidates are thinned within hash buckets first, so a term that most messages hold is
-    never sorted in one task.
+    ``units`` is (id, norm). Candidates are thinned within hash buckets first, so a term that
+    most messages hold is never sorted in one task.
     """
     one = units.select("norm", "id").distinct().withColumn("at", F.xxhash64("id", F.lit(seed)))
     bucket = Window.partitionBy("norm", F.pmod(F.col("id"), F.lit(64))).orderBy("at", "id")

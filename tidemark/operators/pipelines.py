@@ -11,23 +11,11 @@ from tidemark.functions.normalise import collapse_traffic_type, normalise_traffi
 from tidemark.functions.text import clamp01, is_blank, json_object, ustrip
 from tidemark.operators.gates import DomainPack, gate, long_enough
 from tidemark.operators.scoring import Scorer, on_subset
+from tidemark.session import cut
 
-LIVE = "stage is null"
-
-
-def _close(rows: DataFrame, when: Column, stage: str, is_lead: Column | bool, confidence: Column | float, rationale: str) -> DataFrame:
-    """Ends the rows where ``when`` holds and no stage has ended them before."""
-    ends = F.col("stage").isNull() & F.coalesce(when, F.lit(False))
-    lead = F.lit(is_lead) if isinstance(is_lead, bool) else is_lead
-    sure = F.lit(confidence) if isinstance(confidence, float) else confidence
-    return rows.withColumns(
-        {
-            "is_lead": F.when(ends, lead).otherwise(F.col("is_lead")),
-            "confidence": F.when(ends, sure).otherwise(F.col("confidence")),
-            "rationale": F.when(ends, F.lit(rationale)).otherwise(F.col("rationale")),
-            "stage": F.when(ends, F.lit(stage)).otherwise(F.col("stage")),
-        }
-    )
+def _closed(rows: DataFrame, stage: str, confidence: float, rationale: str) -> DataFrame:
+    """Rows that end here as non-leads."""
+    return rows.withColumns({"stage": F.lit(stage), "is_lead": F.lit(False), "confidence": F.lit(confidence), "rationale": F.lit(rationale)})
 
 
 def opened(messages: DataFrame) -> DataFrame:
@@ -55,27 +43,31 @@ def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "
     negatives when ``fail_open`` (else needs a yes); a failed extraction is not a lead with
     confidence 0; ``lead_type`` survives only for leads.
     """
-    rows = opened(messages)
-    rows = _close(rows, ~long_enough(F.col(text)), "skip", False, 1.0, "too short")
-    rows = _close(rows, ~gate(F.col(text), pack), "prefilter", False, 1.0, "[pre-filtered]")
-    rows = on_subset(rows, F.col("stage").isNull(), scorer, "stage1")
+    why = F.when(~long_enough(F.col(text)), "skip").when(~gate(F.col(text), pack), "prefilter")
+    rows = opened(messages).withColumn("__why", why)
+    early = rows.where("__why is not null")
+    told = F.when(F.col("__why") == "skip", "too short").otherwise("[pre-filtered]")
+    early = early.withColumns({"stage": F.col("__why"), "is_lead": F.lit(False), "confidence": F.lit(1.0), "rationale": told}).drop("__why")
+    # what a scorer said is written before it is read twice, so no model is called twice
+    live = cut(scorer.score(rows.where("__why is null").drop("__why"), "stage1"), "stage1")
     rejects = answered_no(F.col("raw")) if fail_open else ~answered_yes(F.col("raw"))
-    rows = _close(rows, rejects, "stage1", False, 1.0, "[stage1: NO]").drop("raw")
-    rows = on_subset(rows, F.col("stage").isNull(), scorer, "extract")
+    rejected = _closed(live.where(rejects).drop("raw"), "stage1", 1.0, "[stage1: NO]")
+    said = cut(scorer.score(live.where(~rejects).drop("raw"), "extract"), "extract")
     data = F.from_json(json_object(F.col("raw")), "is_lead boolean, confidence string, lead_type string, rationale string")
-    rows = rows.withColumn("__d", data)
-    rows = _close(rows, F.col("__d").isNull() | F.col("__d.is_lead").isNull(), "error", False, 0.0, "extraction failed")
-    lead = F.coalesce(F.col("__d.is_lead"), F.lit(False))
-    ends = F.col("stage").isNull()
-    return rows.withColumns(
+    said = said.withColumn("__d", data).drop("raw")
+    broken = F.col("__d").isNull() | F.col("__d.is_lead").isNull()
+    failed = _closed(said.where(broken).drop("__d"), "error", 0.0, "extraction failed")
+    lead = F.col("__d.is_lead")
+    decided = said.where(~broken).withColumns(
         {
-            "is_lead": F.when(ends, lead).otherwise(F.col("is_lead")),
-            "confidence": F.when(ends, clamp01(F.col("__d.confidence"))).otherwise(F.col("confidence")),
-            "lead_type": F.when(ends & lead, F.col("__d.lead_type")),
-            "rationale": F.when(ends, F.col("__d.rationale")).otherwise(F.col("rationale")),
-            "stage": F.when(ends, F.when(lead, "extracted").otherwise("not_lead")).otherwise(F.col("stage")),
+            "is_lead": lead,
+            "confidence": clamp01(F.col("__d.confidence")),
+            "lead_type": F.when(lead, F.col("__d.lead_type")),
+            "rationale": F.col("__d.rationale"),
+            "stage": F.when(lead, "extracted").otherwise("not_lead"),
         }
-    ).drop("raw", "__d")
+    )
+    return early.unionByName(rejected).unionByName(failed).unionByName(decided.drop("__d"))
 
 
 def judge(rows: DataFrame, scorer: Scorer, known: Sequence[str] = ("REAL_LEAD", "MISTAKE"), fallback: str = "REVIEW") -> DataFrame:

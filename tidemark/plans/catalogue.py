@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import normalise, text
 from tidemark.operators import context, dedup, evaluate, gates, geo, mining, pipelines, refine, retrieve, route, sampling, scoring
-from tidemark.session import cut, table
+from tidemark.session import spread, table
 from tidemark.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -286,7 +286,7 @@ terms AS (SELECT norm AS term, min(kind) AS kind, CAST(sum(n) AS BIGINT) AS freq
 
 
 def _terms(spark, d):
-    return mining.candidates(mining.message_tokens(table(spark, d, "documents"), "doc_id"))
+    return mining.candidates(mining.message_tokens(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id"))
 
 
 @query("token_candidates", f"WITH {UNITS} SELECT term, kind, frequency, surface_forms FROM terms")
@@ -315,8 +315,9 @@ def cluster_merge(spark, d):
 
 @query("hash_examples")
 def hash_examples(spark, d):
-    units = mining.message_tokens(table(spark, d, "documents"), "doc_id").where("kind = 'acronym'")
-    return mining.hash_examples(units, 25)
+    units = mining.message_tokens(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id")
+    names = mining.classified(units.select("surface").distinct()).where("kind = 'acronym'").select("surface", "norm")
+    return mining.hash_examples(units.join(names, "surface"), 25)
 
 
 PHRASES = ("of the", "and the", "in the", "de la", "der ein")
@@ -675,7 +676,7 @@ def extract_and_judge(spark, d):
             "judge": F.when(k % 3 == 0, '{"verdict": " real_lead "}').when(k % 3 == 1, '[{"verdict": "MISTAKE"}]').otherwise("{}"),
         }
     )
-    rows = pipelines.extract(table(spark, d, "documents").select("doc_id", "text"), PACK, scorer)
+    rows = pipelines.extract(spread(table(spark, d, "documents").select("doc_id", "text")), PACK, scorer)
     return pipelines.judge(rows, scorer).select("doc_id", "stage", "verdict")
 
 
@@ -761,8 +762,9 @@ SELECT doc_id, item_id, contains(t, q) OR (length(q) >= 25 AND len(list_filter(r
 def quote_support(spark, d):
     quotes = [(r["item_id"], r["text"]) for r in table(spark, d, "benchmark").where("item_id < 3").orderBy("item_id").limit(3).collect()]  # three stated quotes
     asked = F.array(*[F.struct(F.lit(i).cast("bigint").alias("item_id"), F.lit(q).alias("q")) for i, q in quotes])
-    rows = table(spark, d, "documents").select("doc_id", "text", F.explode(asked).alias("a"))
-    return rows.select("doc_id", "a.item_id", text.quote_supported(F.col("a.q"), F.col("text")).alias("supported"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    made = text.quotes_supported(asked, F.col("text"))
+    return docs.select("doc_id", F.explode(made).alias("a")).select("doc_id", "a.item_id", "a.supported")
 
 
 @query("truncate_ellipsis", "SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 197) || '...' ELSE text END AS short FROM documents")
