@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalise, text
-from tidemark.operators import context, dedup, evaluate, gates, geo, mining, pipelines, refine, retrieve, route, sampling, scoring
+from tidemark.operators import context, dedup, evaluate, gates, geo, mining, outcomes, pipelines, refine, retrieve, route, sampling, scoring
+from tidemark.plans import jobs
 from tidemark.session import spread, table
 from tidemark.sources import readers, sinks
 
@@ -854,3 +855,62 @@ def truth_labels(spark, d):
 def glossary_terms(spark, d):
     rows = table(spark, d, "part").select(F.col("p_name").alias("term"), F.array("p_brand").alias("surface_forms"), F.lit(True).alias("relevant"), (F.col("p_size") / 50.0).alias("confidence"))
     return readers.glossary_terms(rows.where("false"), rows, 0.5, ("brand#11",))
+
+
+@query(
+    "outcome_selection",
+    """WITH m AS (SELECT doc_id, quality = 1 AS lead, CASE doc_id % 3 WHEN 0 THEN 'REAL_LEAD' WHEN 1 THEN 'REVIEW' ELSE 'MISTAKE' END AS v FROM labels)
+SELECT doc_id, CASE WHEN lead AND v IN ('REAL_LEAD', 'REVIEW') THEN 'confirmed' WHEN v = 'MISTAKE' THEN 'judged_out' ELSE 'rejected' END AS outcome FROM m""",
+)
+def outcome_selection(spark, d):
+    said = F.when(F.col("doc_id") % 3 == 0, "REAL_LEAD").when(F.col("doc_id") % 3 == 1, "REVIEW").otherwise("MISTAKE")
+    return table(spark, d, "labels").select("doc_id", outcomes.outcome(said, F.col("quality") == 1).alias("outcome"))
+
+
+@query(
+    "judged_default_review",
+    "SELECT d.doc_id, coalesce(l.v, 'REVIEW') AS verdict FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN max(quality) = 1 THEN 'REAL_LEAD' ELSE 'MISTAKE' END AS v FROM labels GROUP BY doc_id) l USING (doc_id)",
+)
+def judged_default_review(spark, d):
+    said = table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "REAL_LEAD").otherwise("MISTAKE").alias("verdict"), F.col("quality").alias("judged_at"))
+    leads = table(spark, d, "documents").select("doc_id", F.lit("x").alias("verdict"))
+    return outcomes.judged(leads, said, "doc_id").select("doc_id", "verdict")
+
+
+@query(
+    "retry_union",
+    """SELECT doc_id AS message_id, CASE WHEN doc_id % 4 = 0 THEN 'fixed' WHEN doc_id % 2 = 0 THEN '[llm] extraction failed: x' ELSE 'fine' END AS rationale FROM labels""",
+)
+def retry_union(spark, d):
+    first = table(spark, d, "labels").select(F.col("doc_id").alias("message_id"), F.when(F.col("doc_id") % 2 == 0, "[llm] extraction failed: x").otherwise("fine").alias("rationale"))
+    again = outcomes.to_retry(first).where("message_id % 4 = 0").withColumn("rationale", F.lit("fixed"))
+    return outcomes.with_retries(first, again)
+
+
+@query(
+    "glossary_summary",
+    """SELECT count(*) AS total, count(*) FILTER (WHERE p_size > 5) AS relevant, count(*) FILTER (WHERE p_size > 5 AND p_size / 50.0 >= 0.8) AS high_confidence,
+round(avg(p_size / 50.0), 4) AS avg_confidence, min(p_size / 50.0) AS min_confidence FROM part""",
+)
+def glossary_summary(spark, d):
+    rows = table(spark, d, "part").select((F.col("p_size") > 5).alias("relevant"), (F.col("p_size") / F.lit(50.0)).cast("double").alias("confidence"))
+    return outcomes.confidence_summary(rows)
+
+
+@query(
+    "duplicate_leads",
+    f"""WITH m AS (SELECT doc_id, lang, length({STRIP.format('text')}) > 100 AS long, {HASHED} AS h FROM documents),
+f AS (SELECT *, min(doc_id) FILTER (WHERE long) OVER (PARTITION BY lang, h) AS first FROM m)
+SELECT doc_id, CASE WHEN long AND first < doc_id THEN 'MISTAKE' ELSE 'REAL' END AS verdict FROM f""",
+)
+def duplicate_leads(spark, d):
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), "text", F.col("lang").alias("lead_type"), F.lit(True).alias("is_lead"), F.lit("REAL").alias("verdict"))
+    return jobs.cross_user_duplicates(rows).select(F.col("message_id").alias("doc_id"), "verdict")
+
+
+@query("glossary_dry_run")
+def glossary_dry_run(spark, d):
+    """All deterministic candidate pools over the documents, clustered."""
+    rows = spread(table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), "text"))
+    plan = jobs.GlossaryPlan(gazetteer=GAZETTEER, brand_patterns=BRANDS)
+    return jobs.build_glossary(rows, plan).withColumn("surface_forms", F.array_join("surface_forms", ","))
