@@ -38,7 +38,7 @@ from tidemark.session import table
 MASKS = ("11011011", "11100111", "10101111")
 MIN_MATCHED = 10
 MIN_IDENTITY = 0.75
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _WORD = re.compile(r"\w+")
 _MISS = -1.5
 
@@ -80,7 +80,7 @@ class SeedIndex:
         flat = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
         order = np.argsort(flat, kind="stable")
         self.hashes = flat[order]
-        self.where = (np.concatenate(where) if where else np.empty((0, 2), dtype=np.int64))[order]
+        self.where = (np.concatenate(where) if where else np.empty((0, 2), dtype=np.int64))[order].astype(np.int32)
         self.bits = max(16, int(math.log2(len(flat) + 1)) + 5)
         self.maybe = np.zeros(1 << self.bits, dtype=bool)
         self.maybe[(self.hashes >> np.uint64(64 - self.bits)).astype(np.int64)] = True
@@ -108,7 +108,7 @@ class SeedIndex:
             at = np.repeat(likely, many)
             entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             pair = self.where[entry]
-            found.append(np.stack((pair[:, 0], at - pair[:, 1]), axis=1))
+            found.append(np.stack((pair[:, 0].astype(np.int64), at - pair[:, 1]), axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
 
     def overlaps(self, text: str | None) -> list[tuple[int, int, int, int, int, int]]:
