@@ -262,10 +262,10 @@ def near_duplicates(
     shard: int = 600,
     max_shard: int = 4000,
 ) -> DataFrame:
-    """(key, fingerprint, component_id, n_links) for every document.
+    """(key, fingerprint, component_id, copies, linked) for every document.
 
-    ``n_links`` counts the other distinct fingerprints at the star centre's side: 0 marks a
-    fingerprint without a near neighbour, 1 one that belongs to a linked class.
+    ``copies`` counts the documents with the same fingerprint, itself included; ``linked``
+    tells whether a different fingerprint is within the radius.
     """
     prints = cut(fingerprints(docs, key, text, shingle), "prints")
     points = cut(prints.groupBy("fp").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("copies")), "points")
@@ -274,12 +274,12 @@ def near_duplicates(
     linked = cut(points.join(labels.unionByName(roots).withColumnRenamed("v", "fp"), "fp").select("fp", "root", "least"), "linked")
     named = linked.groupBy("root").agg(F.min("least").alias("name"))
     classes = linked.join(named, "root").select("fp", "name")
-    named_points = points.join(classes, "fp", "left").select(
-        "fp", F.coalesce("name", "least").alias("component_id"), F.col("name").isNotNull().cast("int").alias("n_links")
+    named_points = points.join(classes.withColumn("linked", F.lit(True)), "fp", "left").select(
+        "fp", F.coalesce("name", "least").alias("component_id"), "copies", F.coalesce("linked", F.lit(False)).alias("linked")
     )
     joined = prints.join(named_points, "fp")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return joined.select(key, hexed.alias("fingerprint"), "component_id", "n_links")
+    return joined.select(key, hexed.alias("fingerprint"), "component_id", "copies", "linked")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
