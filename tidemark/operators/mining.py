@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import bound, form_pattern, norm_key, quoted, token_kind, token_norm, tokens
+from tidemark.functions.text import bound, form_pattern, norm_key, quoted, token_kind, token_norm, tokens, ustrip
 
 
 def message_tokens(messages: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -147,7 +147,7 @@ def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text:
 
 def clean_definition(value: Column) -> Column:
     """Outer punctuation and a closing parenthesis clause dropped."""
-    bare = F.regexp_replace(F.regexp_replace(value, r"(?U)^\s+|\s+$", ""), r"^[.,;:—\-– \t]+|[.,;:—\-– \t]+$", "")
+    bare = F.regexp_replace(ustrip(value), r"^[.,;:—\-– \t]+|[.,;:—\-– \t]+$", "")
     return F.regexp_replace(bare, r"\s*\([^)]*\)\s*$", "")
 
 
