@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import norm_key
+from tidemark.session import dimension
 
 
 def _exploded(rows: DataFrame, key: str, values: str) -> DataFrame:
@@ -20,9 +21,9 @@ def expand_geo(rows: DataFrame, mapping: DataFrame, expansion: DataFrame, key: s
     """
     items = _exploded(rows, key, values)
     known = mapping.select(norm_key(F.col("raw_value")).alias("norm"), F.col("normalized").alias("code"))
-    hits = items.join(known, "norm", "left")
+    hits = items.join(dimension(known), "norm", "left")
     codes = hits.where("code is not null").select("id", "pos", "code")
-    children = codes.join(expansion.select(F.col("parent").alias("code"), "child"), "code")
+    children = codes.join(dimension(expansion.select(F.col("parent").alias("code"), "child")), "code")
     both = codes.select("id", "pos", F.lit("").alias("sub"), F.col("code").alias("v")).unionByName(children.select("id", "pos", F.col("child").alias("sub"), F.col("child").alias("v")))
     geo = both.groupBy(F.col("id").alias(key)).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sub", "v"))), lambda x: x["v"]).alias("geo"))
     unknown = hits.where("code is null").select("id", "raw").distinct()
@@ -37,7 +38,7 @@ def payment_tokens(rows: DataFrame, options: DataFrame, key: str, values: str) -
     items = _exploded(rows, key, values)
     exploded = options.select("token", F.explode(F.concat("aliases", F.array("token"))).alias("alias"))
     names = exploded.groupBy(F.lower("alias").alias("norm")).agg(F.min("token").alias("token"))
-    hits = items.join(names, "norm", "left")
+    hits = items.join(dimension(names), "norm", "left")
     first = hits.where("token is not null").groupBy("id", "token").agg(F.min("pos").alias("pos"))
     tokens = first.groupBy(F.col("id").alias(key)).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
     return tokens, hits.where("token is null").select("id", "raw").distinct()
@@ -48,7 +49,7 @@ def append_implied(geo: DataFrame, tokens: DataFrame, countries: DataFrame, key:
 
     ``countries`` is (token, countries).
     """
-    items = tokens.select(F.col(key).alias("id"), F.posexplode("tokens").alias("pos", "token")).join(countries, "token")
+    items = tokens.select(F.col(key).alias("id"), F.posexplode("tokens").alias("pos", "token")).join(dimension(countries), "token")
     implied = items.groupBy("id").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "countries"))), lambda x: x["countries"]))).alias("implied"))
     both = geo.join(implied, F.col(key) == F.col("id"), "full")
     own = F.coalesce("geo", F.array().cast("array<string>"))
