@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,32 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers then need no path of the driver's; the zip is some hundred kilobytes.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidemark-ship-")), "tidemark.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, files in os.walk(root):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    archive.write(path, os.path.join("tidemark", os.path.relpath(path, root)))
+    context.addPyFile(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; every reader goes through Spark, so any Hadoop path works."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
