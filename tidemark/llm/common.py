@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ship
+
 #: Rows in one Arrow batch of whole texts; bounds a Python worker's memory.
 TEXT_BATCH_ROWS = 1000
 
@@ -27,7 +29,8 @@ def fold(column: Column | str, folds: int) -> Column:
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """Limit the session's Arrow batches, since each may hold whole long texts."""
+    """Limit the session's Arrow batches, since each may hold whole long texts; workers get the package."""
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXT_BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))

@@ -9,7 +9,7 @@ times a (buckets x languages) table; long texts are counted in chunks.
 
 Calibrated rejection: part of the sample is set aside, a temperature is fitted on it by
 likelihood, and the threshold is the score below which only ``reject_share`` of the correct
-set-aside rows fall, never above one half. Rejected texts keep their best language in
+set-aside rows fall, never above ``MAX_REJECT``. Rejected texts keep their best language in
 ``lang_pred`` and are marked in ``rejected``.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected;
@@ -34,6 +34,7 @@ BUCKETS = 1 << BUCKET_BITS
 SAMPLE = 3000
 MAX_LANGS = 256
 CHUNK = 1 << 20
+MAX_REJECT = 0.4
 FOLDS, HELD = 4, 2
 
 
@@ -42,21 +43,31 @@ def has_letter(text: str | None) -> bool:
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """How often each bucket occurs among the text's character 1-, 2- and 3-grams."""
+    """How often each bucket occurs among the character 1-, 2- and 3-grams of the text's words.
+
+    Runs of anything but letters count as one space, so digits, symbols and layout say
+    nothing. Letters are a-z and what lies above them outside the symbol blocks.
+    """
     total = np.zeros(BUCKETS, dtype=np.int64)
     lowered = text.lower()
     shift = np.uint32(32 - BUCKET_BITS)
+    carry = np.array([32], dtype=np.uint32)  # the last kept codes, at first a word's border
     for at in range(0, len(lowered), CHUNK):
-        part = lowered[max(0, at - 2) : at + CHUNK]
-        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        new = min(2, at)  # the first codes only complete grams that cross the chunks' border
-        one = codes * np.uint32(2654435761)
-        two = (one[:-1] ^ (one[:-1] >> np.uint32(15))) * np.uint32(2246822519) + codes[1:]
+        codes = np.frombuffer(lowered[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letters = ((codes >= 97) & (codes <= 122)) | ((codes >= 0xC0) & ((codes < 0x2000) | (codes > 0x2BFF)))
+        codes = np.where(letters, codes, np.uint32(32))
+        border = codes == 32
+        after = np.concatenate(([carry[-1] == 32], border[:-1]))
+        chain = np.concatenate((carry, codes[~(border & after)]))
+        new = len(carry)
+        one = chain * np.uint32(2654435761)
+        two = (one[:-1] ^ (one[:-1] >> np.uint32(15))) * np.uint32(2246822519) + chain[1:]
         two *= np.uint32(3266489917)
-        three = (two[:-1] ^ (two[:-1] >> np.uint32(13))) * np.uint32(668265263) + codes[2:]
+        three = (two[:-1] ^ (two[:-1] >> np.uint32(13))) * np.uint32(668265263) + chain[2:]
         three *= np.uint32(374761393)
-        for grams in (one[new:], two[max(0, new - 1) :], three):
+        for grams in (one[new:], two[new - 1 :], three[max(0, new - 2) :]):
             total += np.bincount(grams >> shift, minlength=BUCKETS)
+        carry = chain[-2:]
     return total
 
 
@@ -96,7 +107,7 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
         aside = own
     weight = 1.0 / np.maximum(1, np.bincount(truth[own], minlength=len(languages)))
     weight /= weight[truth[own]].mean()
-    embed = random.normal(0, 0.3, (BUCKETS, dim)).astype(np.float32)
+    embed = np.zeros((BUCKETS, dim), dtype=np.float32)  # grams never seen say nothing
     out = random.normal(0, 0.3, (dim, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
     for epoch in range(epochs):
@@ -121,8 +132,8 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
     chances = softmax(logits / temperature)
     right = np.argmax(chances, axis=1) == truth[aside]
     sure = chances.max(axis=1)[right]
-    threshold = min(0.5, float(np.quantile(sure, reject_share))) if len(sure) else 0.0
-    return LanguageModel(languages, merged, bias.astype(np.float64), temperature, threshold * 0.9)
+    threshold = min(MAX_REJECT, float(np.quantile(sure, reject_share))) if len(sure) else 0.0
+    return LanguageModel(languages, merged, bias.astype(np.float64), temperature, threshold)
 
 
 def labelled_sample(docs: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
