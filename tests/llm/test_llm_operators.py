@@ -74,6 +74,16 @@ def test_urls_edges(spark):
     assert url_cascade.judge_urls(pages.limit(0), listed).count() == 0
 
 
+def test_hosts_of_many_labels(spark):
+    deep = "a." * 20000
+    rows = [(1, f"http://{deep}bad.example.net/x"), (2, f"http://{deep}example.net/"), (3, "http://bad.example.net"), (4, "http://com/"), (5, f"http://{deep}lone.b.c.d.e/")]
+    pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id bigint, url string, key string")
+    listed = spark.createDataFrame([("bad.example.net",), ("com",), ("lone.b.c.d.e",)], "key string")
+    for bound in (4 << 20, 0):  # cascade, then the semi join
+        got = {r["page_id"]: r["verdict"] for r in url_cascade.judge_urls(pages, listed, max_filter_bytes=bound).collect()}
+        assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "block"}
+
+
 # 2 ---------------------------------------------------------------------------------------
 
 

@@ -61,11 +61,16 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, action
 
 
-def host_keys(host: Column) -> Column:
-    """The host and each parent domain of two labels or more: the keys that a list may hold."""
+def host_keys(host: Column, max_labels: int) -> Column:
+    """The host and its parent domains of two to ``max_labels`` labels: the keys that the list may hold.
+
+    A host of one label is its own key. Longer suffixes than any listed key can't be listed,
+    and without them a host of very many labels costs no square of its length.
+    """
     labels = F.split(host, r"\.")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(labels) - F.lit(1), F.lit(1)))
-    keys = F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    count = F.size(labels)
+    starts = F.sequence(F.greatest(count - F.lit(max_labels - 1), F.lit(1)), F.greatest(count - F.lit(1), F.lit(1)))
+    keys = F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.lit(max_labels)), "."))
     return F.when(F.length(host) > 0, keys).otherwise(F.array().cast("array<string>"))
 
 
@@ -170,14 +175,16 @@ def judge_urls(
     host, path = split_url(F.col(url))
     parts = pages.select(*keep, host.alias("host"), path.alias("path"))
     hosts = parts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    universe = hosts.select(F.explode(host_keys(F.col("host"))).alias("key"))
+    most = listed.agg(F.max(F.size(F.split("key", r"\.")))).first()[0]
+    keys = host_keys(F.col("host"), max(2, most or 0))
+    universe = hosts.select(F.explode(keys).alias("key"))
     levels = build_cascade(universe, listed, max_filter_bytes=max_filter_bytes)
     if levels is None:
-        bad = hosts.select("host", F.explode(host_keys(F.col("host"))).alias("key")).join(listed.select("key").distinct(), "key", "left_semi")
+        bad = hosts.select("host", F.explode(keys).alias("key")).join(listed.select("key").distinct(), "key", "left_semi")
         bad = bad.select("host").distinct().withColumn("listed", F.lit(True))
         parts = parts.join(bad, "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
     else:
-        parts = parts.withColumn("listed", F.exists(host_keys(F.col("host")), lambda k: in_cascade(k, levels)))
+        parts = parts.withColumn("listed", F.exists(keys, lambda k: in_cascade(k, levels)))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(action, F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow")))
     return parts.select(*keep, "host", "path", rule.alias("rule"), verdict.alias("verdict"), "listed")
