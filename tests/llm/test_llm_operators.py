@@ -203,6 +203,8 @@ def test_simhash_empty_and_keep(spark):
     assert simhash_vp.near_duplicates(docs.limit(0)).count() == 0
     kept = simhash_vp.keep_first(docs)
     assert kept.columns == docs.columns
+    clash = docs.select(*[F.lit(1).alias(c) for c in ("component_id", "fingerprint", "__loser")], "text", "doc_id")
+    assert simhash_vp.keep_first(clash).columns == clash.columns and simhash_vp.keep_first(clash).count() == kept.count()
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({1: 1, 4: 2, None: 1, 7: 1, 8: 1, 9: 1})
 
 

@@ -288,8 +288,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     Rows without an id name no component and all stay.
     """
     found = near_duplicates(docs, key, text)
-    losers = found.where(F.col(key) > F.col("component_id")).select(F.col(key).alias("__loser")).distinct()
-    return docs.join(losers, F.col(key) == F.col("__loser"), "left_anti")
+    losers = found.where(F.col(key) > F.col("component_id")).select(key).distinct()
+    return docs.join(losers, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
