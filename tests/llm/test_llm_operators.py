@@ -389,6 +389,23 @@ def test_pii_redaction(spark):
     assert weak_pii.detect(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [0, 5, weak_pii.CHUNK - 1, weak_pii.CHUNK, 5 * weak_pii.CHUNK + 3])
+def test_redaction_against_python(spark, size):
+    random = np.random.default_rng(size)
+    text = "".join(random.choice(list("ab é🙂\n1"), size)) if size else ""
+    cuts = random.integers(0, size + 1, (size // 6, 2)) if size else np.zeros((0, 2), dtype=int)
+    spans = sorted((int(a), int(k), int(b), True) for (a, b), k in zip(np.sort(cuts, axis=1), random.integers(0, 4, len(cuts)), strict=True) if a < b and b - a < 3 * weak_pii.CHUNK)
+    for chosen in (spans, spans[:3], [s for s in spans if s[2] - s[0] < 9], []):
+        wanted, at = "", 0
+        for start, kind, end, _ in chosen:
+            if start >= at:
+                wanted += text[at:start] + f"[{weak_pii.KINDS[kind].upper()}]"
+            at = max(at, end)
+        wanted += text[at:]
+        row = spark.createDataFrame([(text, chosen)], "text string, spans array<struct<start:int,kind:int,end:int,base:boolean>>")
+        assert row.select(weak_pii.redacted(F.col("text"), F.col("spans")).alias("t")).first()["t"] == wanted
+
+
 def test_expectation_maximisation_finds_the_bad_labeler():
     random = np.random.default_rng(4)
     truth = random.random(4000) < 0.6

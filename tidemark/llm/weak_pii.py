@@ -65,6 +65,8 @@ ANNOUNCES = {
 OTHERWISE = r"version|isbn|order|invoice|serial|sku|build|release|ticket|section"
 VOTES = ("rule", "gazetteer", "context", "shape", "edge")
 BLOCK = 64
+#: Code points in a chunk of a text that is redacted.
+CHUNK = 1024
 ACCEPT = 0.9
 CANDIDATES = "array<struct<kind:int,start:int,end:int,base:boolean,rule:int,gazetteer:int,context:int,shape:int,edge:int,size:int>>"
 
@@ -307,22 +309,46 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: flo
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every kept span replaced by its kind; overlapping spans make one replacement."""
+    """The text with every kept span replaced by its kind; overlapping spans make one replacement.
+
+    A substring by code points walks from the text's start, so the text is first cut into
+    chunks; many spans in a long text then cost their number, not their number times its length.
+    """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(s: Column, c: Column) -> Column:
-        fresh = c["start"] >= s["at"]
-        gap = F.substring(text, s["at"] + 1, c["start"] - s["at"])
-        return F.struct(
-            F.greatest(s["at"], c["end"]).alias("at"),
-            F.when(fresh, F.concat(s["out"], gap, F.get(names, c["kind"]))).otherwise(s["out"]).alias("out"),
-        )
+    def between(chunks: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / F.lit(CHUNK)).cast("int"), F.floor(b / F.lit(CHUNK)).cast("int")
+        head, tail = F.coalesce(F.get(chunks, first), F.lit("")), F.coalesce(F.get(chunks, last), F.lit(""))
+        inner = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        across = F.concat(F.substring(head, a % CHUNK + 1, F.lit(CHUNK)), inner, F.substring(tail, F.lit(1), b % CHUNK))
+        return F.when(first == last, F.substring(head, a % CHUNK + 1, b - a)).otherwise(across)
 
-    def finish(s: Column) -> Column:
-        return F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
+    def tops(s: Column) -> Column:
+        blocks = F.sequence(F.lit(0), (F.size(s["ends"]) - 1).bitwiseAND(F.lit(~(BLOCK - 1))), F.lit(BLOCK))
+        made = F.transform(blocks, lambda b: F.array_max(F.slice(s["ends"], b + 1, F.lit(BLOCK))))
+        return F.struct(s["chunks"].alias("chunks"), s["ends"].alias("ends"), made.alias("tops"))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+    def join(s: Column) -> Column:
+        def gap(c: Column, i: Column) -> Column:
+            low = i.bitwiseAND(F.lit(~(BLOCK - 1)))
+            before = F.greatest(
+                F.array_max(F.slice(s["tops"], F.lit(1), F.shiftright(i, 6))),
+                F.array_max(F.slice(s["ends"], low + 1, i - low)),
+                F.lit(0),
+            )
+            return F.struct(before.alias("from"), c["start"].alias("to"), c["kind"].alias("kind"))
+
+        fresh = F.filter(F.transform(spans, gap), lambda g: g["from"] <= g["to"])
+        pieces = F.transform(fresh, lambda g: F.concat(between(s["chunks"], g["from"], g["to"]), F.get(names, g["kind"])))
+        rest = between(s["chunks"], F.array_max(s["tops"]), F.length(text))
+        return F.array_join(F.concat(pieces, F.array(rest)), "")
+
+    first = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}+"), F.lit(0)).alias("chunks"),
+        F.transform(spans, lambda c: c["end"]).alias("ends"),
+    )
+    whole = F.transform(F.transform(F.array(first), tops), join)
+    return F.when(F.size(spans) > 0, F.get(whole, 0)).otherwise(text)
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float = ACCEPT) -> DataFrame:
