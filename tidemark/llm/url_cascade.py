@@ -11,7 +11,8 @@ The bit arrays grow with the *list*, not with the corpus; their size is computed
 they are gathered and beyond ``max_filter_bytes`` membership falls back to a semi join.
 
 Edge cases: a null URL or one without ``://`` has empty host and path, no rule and the
-verdict ``allow``; repeated pages each get a row; an empty table gives no rows; an empty
+verdict ``allow``; of a very long host only suffixes that the list could hold are tested;
+repeated pages each get a row; an empty table gives no rows; an empty
 list blocks nothing. Other columns of the input are ignored.
 """
 
