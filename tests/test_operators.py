@@ -200,3 +200,31 @@ def test_numbering_is_global(spark):
     rows = spark.range(1000).repartition(5)
     got = {r["id"]: r["rn"] for r in sampling.numbered(rows, [F.desc("id")]).collect()}
     assert got == {i: 1000 - i for i in range(1000)}
+
+
+def test_nearest_of_all_asks_every_twentieth_row(spark, tmp_path):
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    vectors = random.normal(size=(130, 8)).astype("float32")
+    vectors[70:90] = vectors[69]  # ties go to the smallest id
+    rows = [(i, vectors[i].tolist(), i % 3) for i in range(130)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+
+    def expected(per_label):
+        made = set()
+        for q in range(0, 130, 20):
+            far = {}
+            for i, v, label in rows:
+                dot, a, b = (sum(float(x) * float(y) for x, y in zip(s, t, strict=True)) for s, t in ((vectors[q], v), (vectors[q], vectors[q]), (v, v)))
+                far.setdefault(label, []).append((1 - dot / (a**0.5 * b**0.5), i))
+            made |= {(q, label, i, r + 1) for label, x in far.items() for r, (_, i) in enumerate(sorted(x)[:per_label])}
+        return made
+
+    from tidemark.operators import retrieve
+    from tidemark.plans import catalogue
+
+    assert {tuple(r) for r in catalogue.QUERIES["rag_topk"](spark, str(tmp_path)).collect()} == expected(2)
+    index = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
+    made = retrieve.nearest_of_all(index, index.where("vec_id % 20 = 0"), per_label=3, block=3)
+    assert {tuple(r) for r in made.collect()} == expected(3)
