@@ -228,3 +228,29 @@ def test_nearest_of_all_asks_every_twentieth_row(spark, tmp_path):
     index = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
     made = retrieve.nearest_of_all(index, index.where("vec_id % 20 = 0"), per_label=3, block=3)
     assert {tuple(r) for r in made.collect()} == expected(3)
+
+
+def test_quotes_of_every_item_equal_the_expression(spark, small, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import text
+    from tidemark.operators import quotes
+    from tidemark.plans import catalogue
+
+    items = spark.read.parquet(f"{small}/benchmark.parquet")
+    extra = [(1000, "ab 12"), (1001, ""), (1002, None), (1003, "Exactly 25 characters! ok?"), (1004, "Ж" * 30)]
+    items = items.unionByName(spark.createDataFrame(extra, "item_id bigint, text string"))
+    held = [r["text"] for r in items.where("item_id > 2 and item_id < 9").orderBy("item_id").collect()]
+    docs = [(n, f"so {t[k : k + size].upper()}; then") for n, (t, k, size) in enumerate((t, k, size) for t in held for k in (0, 7, 20) for size in (13, 24, 25, 26, 40))]
+    docs += [(900, None), (901, ""), (902, "x ab, 12"), (903, "exactly 25 characters ok"), (904, "ж" * 26), (905, "Exactly 25 characters okay")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    pairs = read.crossJoin(F.broadcast(items.withColumnRenamed("text", "q"))).select("doc_id", "item_id", text.quote_supported(F.col("q"), F.col("text")).alias("supported"))
+    expected = sorted(map(tuple, pairs.collect()))
+    assert sum(x[2] for x in expected if x[1] > 2) > 40
+    made = catalogue.QUERIES["quote_support"](spark, str(tmp_path))
+    assert sorted(map(tuple, made.collect())) == expected
+    parts = quotes.supported(read, items, block_bytes=3000)
+    assert sorted(map(tuple, parts.collect())) == expected
