@@ -510,3 +510,41 @@ def test_warc_false_magic_and_ownership():
             starts, data_here = range(0, len(data), step), data
         found = [r[2] for s in starts for r in warc_split.scan_range(lambda at, n: data_here[at : at + n], len(data_here), s, min(len(data_here), s + step))]
         assert found == list(range(len(found))) and (step == 1 or len(found) == 30)
+
+
+def test_op2_segments_that_qualify_inside_longer_ones(spark):
+    words = [f"w{i}" for i in range(200)]
+    item = " ".join(words[:86])
+    index = spaced_seed.SeedIndex([(1, item)])
+
+    def document(*runs):
+        """Runs of equal and of replaced tokens in turn."""
+        made, at = [], 0
+        for n, size in enumerate(runs):
+            made += words[at : at + size] if n % 2 == 0 else [f"x{at + i}" for i in range(size)]
+            at += size
+        return " ".join(made)
+
+    assert index.overlaps(document(13))[0][:2] == (1, 13)
+    assert index.overlaps(document(13, 8, 13, 8, 13)) == [(1, 26, 0, 34, 0, 34)]
+    assert index.overlaps(document(20, 13, 20, 13, 20)) == [(1, 40, 0, 53, 0, 53)]
+    assert index.overlaps(document(9, 30, 6, 2, 6)) == [(1, 12, 39, 53, 39, 53)]
+    assert index.overlaps(document(9, 30, 9)) == []
+
+    random = np.random.default_rng(3)
+    found = 0
+    for _ in range(300):
+        same = random.random(30) < random.choice([0.5, 0.65, 0.8])
+        best = max((int(same[a:b].sum()) for a in range(30) for b in range(a + 1, 31) if same[a:b].sum() >= 0.75 * (b - a)), default=0)
+        start, end = index._widest(same)
+        assert same[start:end].sum() == best and best >= 0.75 * (end - start)
+        text = " ".join(words[i] if x else f"x{i}" for i, x in enumerate(same))
+        if index.hits(np.array([index.vocabulary.get(w, 0) for w in text.split()], dtype=np.uint64)).size:
+            assert bool(index.overlaps(text)) == (best >= 10)
+            found += best >= 10
+    assert found > 50
+
+    docs = spark.createDataFrame([(1, document(13, 8, 13, 8, 13)), (2, document(9, 30, 9))], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert [r["doc_id"] for r in spaced_seed.contamination(docs, bench).collect()] == [1]
+    assert [r["doc_id"] for r in spaced_seed.drop_contaminated(docs, bench).collect()] == [2]

@@ -12,7 +12,10 @@ corpus pass per block. Documents are never shuffled, so a passage that a third o
 share costs no more than any other.
 
 Result: one row per (document, item) whose verified overlap has at least ``min_matched``
-equal tokens and a share of at least ``min_identity``; clean documents have no row.
+equal tokens and a share of at least ``min_identity``; clean documents have no row. Of a
+diagonal counts the segment with the highest score (+1 equal, -1.5 different) or, where that
+one misses a limit, the one with the most equal tokens of all segments of sufficient
+identity: a part that qualifies alone isn't lost in a longer one that doesn't.
 
 Edge cases: null or empty texts and items match nothing; items under the mask span are too
 short to be evidence and match nothing; of ties between equal overlaps the first position
@@ -24,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import repeat
 
 import numpy as np
@@ -58,7 +62,7 @@ class SeedIndex:
         min_matched: int = MIN_MATCHED,
         min_identity: float = MIN_IDENTITY,
     ) -> None:
-        self.min_matched, self.min_identity = min_matched, min_identity
+        self.min_matched, self.min_identity, self.limit = min_matched, min_identity, Fraction(str(min_identity))
         self.span = max(map(len, masks))
         self.at = [np.flatnonzero([c == "1" for c in mask]) for mask in masks]
         random = np.random.default_rng(2024)
@@ -111,6 +115,19 @@ class SeedIndex:
             found.append(np.stack((pair[:, 0].astype(np.int64), at - pair[:, 1]), axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
 
+    def _widest(self, same: np.ndarray) -> tuple[int, int]:
+        """The segment with the most equal tokens of all whose identity suffices, without different tokens at its ends.
+
+        Its end fixes the best start: the first at which the surplus of equal tokens over the
+        limit is no higher than at the end. Whole numbers keep the comparison exact.
+        """
+        count = np.concatenate(([0], np.cumsum(same)))
+        surplus = count * self.limit.denominator - np.arange(len(count)) * self.limit.numerator
+        start = np.searchsorted(-np.minimum.accumulate(surplus), -surplus)
+        end = int(np.argmax(count - count[start]))
+        inside = np.flatnonzero(same[start[end] : end])
+        return (int(start[end] + inside[0]), int(start[end] + inside[-1]) + 1) if len(inside) else (0, 0)
+
     def overlaps(self, text: str | None) -> list[tuple[int, int, int, int, int, int]]:
         """(item, equal tokens, doc start, doc end, item start, item end) of verified overlaps, best per item."""
         words = tokens(text)
@@ -128,6 +145,9 @@ class SeedIndex:
             end = int(np.argmax(gain))
             start = int(np.flatnonzero(run[: end + 1] == run[: end + 1].min())[-1])
             equal = int(same[start:end].sum())
+            if equal < max(self.min_matched, self.min_identity * (end - start)) and same.sum() >= self.min_matched:
+                start, end = self._widest(same)
+                equal = int(same[start:end].sum())
             if equal >= self.min_matched and equal >= self.min_identity * (end - start) and equal > best.get(item, (0,))[0]:
                 a, b = first + start, first + end
                 best[item] = (equal, a + shift, b + shift, a, b)
