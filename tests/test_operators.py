@@ -254,3 +254,28 @@ def test_quotes_of_every_item_equal_the_expression(spark, small, tmp_path):
     assert sorted(map(tuple, made.collect())) == expected
     parts = quotes.supported(read, items, block_bytes=3000)
     assert sorted(map(tuple, parts.collect())) == expected
+
+
+def test_long_conversations_are_merged_and_pruned_whole(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import refine
+    from tidemark.plans import catalogue
+
+    rows = [(c, t, ("user", "model", f"late{t}")[t % 2 if t < 20 else 2], f"alpha beta gamma {'delta' if t % 3 else 'other words ' + str(t)}") for c, n in ((1, 30), (2, 3), (3, 9)) for t in range(n)]
+    rows += [(3, 8, "user", "alpha beta gamma delta"), (3, 8, "user", "unlike all that")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+
+    merged = {r["conv_id"]: r for r in catalogue.QUERIES["fusion_merge"](spark, str(tmp_path)).collect()}
+    for c in (1, 2, 3):
+        said = sorted((t, role) for conv, t, role, _ in rows if conv == c and t % 4 != 3)
+        assert merged[c]["rationale"] == " | ".join(f"{t}.5 ({role}): r" for t, role in said)
+        assert merged[c]["geo"] == ",".join(dict.fromkeys(g for t, role in said for g in (role, f"g{t % 2}")))
+        assert merged[c]["confidence"] == round(sum(t + 0.5 for t, _ in said) / len(said), 3)
+
+    turns = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+    sense = F.struct("turn", F.struct(F.col("text").alias("definition"), F.array((F.col("turn") / 2).cast("bigint")).alias("example_message_ids")).alias("s"))
+    whole = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(sense)), lambda x: x["s"]).alias("senses"))
+    expected = {r["conv_id"]: r["n"] for r in refine.prune_senses(whole).select("conv_id", F.size("senses").alias("n")).collect()}
+    assert {r["conv_id"]: r["kept"] for r in catalogue.QUERIES["sense_prune"](spark, str(tmp_path)).collect()} == expected
+    assert expected[1] > 15

@@ -447,11 +447,15 @@ def severity_penalty(spark, d):
 
 @query("sense_prune")
 def sense_prune(spark, d):
-    """Senses of one term per conversation: its turns as definitions, turn numbers as evidence."""
-    turns = table(spark, d, "conversations").where("turn < 8")
-    sense = F.struct("turn", F.struct(F.col("text").alias("definition"), F.array((F.col("turn") / 2).cast("bigint")).alias("example_message_ids")).alias("s"))
-    grouped = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(sense)), lambda x: x["s"]).alias("senses"))
-    return refine.prune_senses(grouped).select("conv_id", F.size("senses").cast("bigint").alias("kept"))
+    """Senses of one term per conversation: its turns as definitions, turn numbers as evidence.
+
+    A sense has one piece of evidence here and only repeats another with the same one, so
+    each piece is pruned by itself and long conversations are no long folds.
+    """
+    turns = table(spark, d, "conversations").withColumn("evidence", (F.col("turn") / 2).cast("bigint"))
+    sense = F.struct("turn", F.struct(F.col("text").alias("definition"), F.array("evidence").alias("example_message_ids")).alias("s"))
+    grouped = turns.groupBy("conv_id", "evidence").agg(F.transform(F.array_sort(F.collect_list(sense)), lambda x: x["s"]).alias("senses"))
+    return refine.prune_senses(grouped).groupBy("conv_id").agg(F.sum(F.size("senses")).cast("bigint").alias("kept"))
 
 
 @query(
@@ -596,7 +600,7 @@ SELECT conv_id, geo, rationale, confidence FROM
 (SELECT conv_id, string_agg(turn || '.5 (' || role || '): r', ' | ' ORDER BY turn, role) AS rationale, round(avg(confidence), 3) AS confidence FROM p WHERE status = 'ok' GROUP BY conv_id) USING (conv_id)""",
 )
 def fusion_merge(spark, d):
-    turns = table(spark, d, "conversations").where("turn < 8")
+    turns = table(spark, d, "conversations")
     panel = turns.select(
         "conv_id", F.col("turn").alias("position"), F.col("role").alias("model"), F.when(F.col("turn") % 4 == 3, "error").otherwise("ok").alias("status"),
         (F.col("turn") + 0.5).cast("double").alias("confidence"), F.array("role", F.concat(F.lit("g"), (F.col("turn") % 2).cast("string"))).alias("geo"), F.lit(" r ").alias("rationale"),
