@@ -548,3 +548,9 @@ def test_op2_segments_that_qualify_inside_longer_ones(spark):
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     assert [r["doc_id"] for r in spaced_seed.contamination(docs, bench).collect()] == [1]
     assert [r["doc_id"] for r in spaced_seed.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_op8_counts_over_a_million_keep_their_proportions():
+    x, target = np.ones((2, 1)), np.array([1.0, 0.0])
+    weights = weak_pii.fit_classifier(x, target, np.array([9e6, 3e6]))
+    assert abs(1 / (1 + np.exp(-weights[0])) - 0.75) < 1e-4

@@ -235,9 +235,12 @@ def _features(votes: np.ndarray, kinds: np.ndarray, sizes: np.ndarray) -> np.nda
 
 
 def fit_classifier(x: np.ndarray, target: np.ndarray, counts: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Logistic regression on soft targets, by Newton steps."""
+    """Logistic regression on soft targets, by Newton steps.
+
+    Above 1e6 all counts are scaled alike, so the patterns keep their proportions.
+    """
     weights = np.zeros(x.shape[1])
-    mass = np.minimum(counts, 1e6).astype(np.float64)
+    mass = counts * min(1.0, 1e6 / counts.max())
     for _ in range(rounds):
         chance = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         slope = x.T @ (mass * (target - chance)) - ridge * weights
