@@ -554,3 +554,10 @@ def test_op8_counts_over_a_million_keep_their_proportions():
     x, target = np.ones((2, 1)), np.array([1.0, 0.0])
     weights = weak_pii.fit_classifier(x, target, np.array([9e6, 3e6]))
     assert abs(1 / (1 + np.exp(-weights[0])) - 0.75) < 1e-4
+
+
+def test_op10_long_urls_are_read_back(spark, tmp_path):
+    url = "http://a/" + " \x01" * 200_000
+    pages = spark.createDataFrame([(1, url, "x"), (2, "u", "y")], "page_id bigint, url string, html string")
+    got = warc_split.round_trip(pages, str(tmp_path / "warc")).collect()
+    assert sorted(r["page_id"] for r in got) == [1, 2]

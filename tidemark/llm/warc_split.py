@@ -46,7 +46,6 @@ CHUNK_BYTES = 1 << 20
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 18
 HEAD_BYTES = 512
-MAX_HEADER = 1 << 20
 LEVEL = 3
 
 RECORDS = "record_type string, record_id string, page_id bigint, target_uri string, refers_to bigint, declared_digest string, declared_bytes bigint, payload binary"
@@ -154,7 +153,7 @@ def _decode_member(source: Window, at: int) -> tuple[bytes, int] | None:
 def _parse(content: bytes) -> tuple | None:
     """The fields of ``RECORDS``, or None if the header is malformed."""
     head, split, block = content.partition(b"\r\n\r\n")
-    if not split or len(head) > MAX_HEADER:
+    if not split:
         return None
     fields: dict[str, str] = {}
     for line in head.split(b"\r\n")[1:]:
