@@ -561,3 +561,10 @@ def test_op10_long_urls_are_read_back(spark, tmp_path):
     pages = spark.createDataFrame([(1, url, "x"), (2, "u", "y")], "page_id bigint, url string, html string")
     got = warc_split.round_trip(pages, str(tmp_path / "warc")).collect()
     assert sorted(r["page_id"] for r in got) == [1, 2]
+
+
+def test_keep_first_decides_texts_that_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "p"), (5, a, "q"), (5, b, "r"), (6, b, "s"), (7, c, "t"), (8, a, "u"), (None, a, "v")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string")
+    assert sorted(r["fingerprint"] for r in simhash_vp.keep_first(docs).collect()) == ["p", "r", "t", "v"]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts
+from tidemark.llm.common import bounded_batches, map_texts
 from tidemark.session import cut, table
 
 SHINGLE = 4
@@ -285,11 +285,25 @@ def near_duplicates(
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that a smaller id of their component stands for; all columns stay.
 
-    Rows without an id name no component and all stay.
+    Rows without an id name no component and all stay. Texts that share an id are decided one
+    by one, by id and fingerprint; repeated rows of the smallest id all stay.
     """
-    found = near_duplicates(docs, key, text)
-    losers = found.where(F.col(key) > F.col("component_id")).select(key).distinct()
-    return docs.join(losers, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    lost = F.col(key) > F.col("component_id")
+    found = near_duplicates(docs, key, text).where(F.col(key).isNotNull())
+    ids = cut(found.groupBy(key).agg(F.bool_or(lost).alias("some"), F.bool_and(lost).alias("every")).where("some"), "losers")
+    own = [f"`{c}`" for c in docs.columns]
+    kept = docs.join(ids.select(key), key, "left_anti").select(*own)
+    mixed = ids.where("not every").select(key)
+    if mixed.isEmpty():
+        return kept
+
+    def hexed(texts: pa.Array) -> pa.Array:
+        return pa.array([f"{fingerprint(t.as_py()):016x}" for t in texts], pa.string())
+
+    name = "_" * (1 + max(map(len, docs.columns)))  # no column's name
+    again = bounded_batches(docs).join(mixed, key, "left_semi").withColumn(name, F.arrow_udf(hexed, "string")(F.col(text).cast("binary")))
+    losers = found.where(lost).select(key, F.col("fingerprint").alias(name)).distinct()
+    return kept.unionByName(again.join(losers, [key, name], "left_anti").select(*own))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
