@@ -568,3 +568,35 @@ def test_keep_first_decides_texts_that_share_an_id(spark):
     rows = [(1, a, "p"), (5, a, "q"), (5, b, "r"), (6, b, "s"), (7, c, "t"), (8, a, "u"), (None, a, "v")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string")
     assert sorted(r["fingerprint"] for r in simhash_vp.keep_first(docs).collect()) == ["p", "r", "t", "v"]
+
+
+@pytest.mark.parametrize("broadcast_rows", [200_000, 2])
+def test_op10_revisits_beyond_the_broadcast(spark, tmp_path, broadcast_rows):
+    bodies = {"hot": "h" * 150, "b": "b" * 120, "c": "c" * 300, "d": "d" * 101, "small": "s" * 99}
+    rows = [(i, "u", bodies[k]) for i, k in enumerate(["hot"] * 40 + ["b", "c", "d", "small"] * 2 + ["b"])]
+    pages = spark.createDataFrame([*rows, (None, "u", bodies["hot"])], "page_id bigint, url string, html string")
+    path = str(tmp_path / "warc")
+    warc_split.write_archives(pages, path, broadcast_rows=broadcast_rows)
+    read = warc_split.read_archives(spark, path, 500).collect()
+    got = Counter((r["page_id"], r["record_type"], r["refers_to"], None if r["payload"] is None else bytes(r["payload"]).decode()) for r in read)
+    first = {}
+    for i, _, html in rows:
+        first[html] = min(i, first.get(html, i))
+    wanted = Counter()
+    for i, _, html in [*rows, (None, "u", bodies["hot"])]:
+        again = len(html) >= 100 and first[html] != i
+        wanted[i, "revisit" if again else "response", first[html] if again else None, None if again else html] += 1
+    assert got == wanted
+
+
+def test_op10_ranges_share_tasks(spark, tmp_path, monkeypatch):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat("id", F.expr("repeat('x y', 60)")).alias("html"))
+    path = str(tmp_path / "warc")
+    warc_split.write_archives(pages, path)
+    read = warc_split.read_archives(spark, path, 64)
+    assert read.count() == 400 and read.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(warc_split, "_reachable", lambda path: False)
+    assert warc_split.read_archives(spark, path, 64).count() == 400
+    monkeypatch.setattr(warc_split, "WHOLE_FILE_BYTES", 10)
+    with pytest.raises(RuntimeError, match="too large"):
+        warc_split.read_archives(spark, path, 64)

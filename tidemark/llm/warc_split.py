@@ -1,21 +1,23 @@
 """WARC archives: records written through Spark, read back by a splittable reader.
 
 Writing. Of records with equal payloads of at least ``min_revisit`` bytes, the one with the
-smallest id becomes a ``response`` and the others ``revisit`` records that refer to it; the
-join is on the payload digest, whose first ids are pre-aggregated. Every record is its own
-gzip member. Tasks pack members into byte strings of about ``chunk_bytes`` and Spark's text
+smallest id becomes a ``response`` and the others ``revisit`` records that refer to it. Digests
+that occur more than once are pre-aggregated on the map side and written. The
+``broadcast_rows`` commonest are broadcast, so revisits lose their payload in the scan; only
+if there are more does a page move, by its digest, and then no digest left has more than
+one in ``broadcast_rows`` of the pages. Every record is its own gzip member. Tasks pack members into byte strings of about ``chunk_bytes`` and Spark's text
 writer stores those unchanged (Latin-1 separators), so the archives reach any store that
 Spark can write, under its commit protocol: a lost executor leaves no partial file. The
 writer demands a separator; an empty gzip member serves, so each file is plain
 multi-member gzip.
 
-Reading. Files are cut into byte ranges, one task each, without any index. A task scans its
-range for the gzip magic, decompresses the head of each candidate member and takes it for a
+Reading. Files are cut into byte ranges without any index, which are dealt to tasks of at
+most about ``TASK_BYTES``. A task scans each range for the gzip magic, decompresses the head of each candidate member and takes it for a
 record only if a WARC header follows; false magics inside compressed data fail that test. A
-task owns the records that *start* in its range and reads past its end to finish the last
+range owns the records that *start* in it and is read past its end to finish the last
 one, so every record is read exactly once whatever the range size. Memory is bounded by a
 record plus a read buffer. Where executors have no random access to the store, whole files
-are scanned the same way.
+of at most ``WHOLE_FILE_BYTES`` are scanned the same way; larger ones raise an error.
 
 Edge cases: null html is an empty payload; a null URL writes no target; control characters
 in a URL are percent-encoded; a null id is written as such and read back as null; rows that
@@ -34,7 +36,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path, table
+from tidemark.llm.common import bounded_batches
+from tidemark.session import cut, scratch_path, spread, table
 
 MAGIC = b"\x1f\x8b\x08"
 #: A gzip member without content.
@@ -44,6 +47,10 @@ DATE = "2024-01-01T00:00:00Z"
 MIN_REVISIT = 100
 CHUNK_BYTES = 1 << 20
 SPLIT_BYTES = 8 << 20
+TASK_BYTES = 1 << 30
+WHOLE_FILE_BYTES = 64 << 20
+#: Digests that are broadcast at most: 32 bytes and an id each.
+BROADCAST_ROWS = 200_000
 READ_BYTES = 1 << 18
 HEAD_BYTES = 512
 LEVEL = 3
@@ -84,16 +91,38 @@ def record(page_id: int | None, url: str | None, html: bytes, digest: str, size:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT) -> None:
+def mark_revisits(rows: DataFrame, min_revisit: int = MIN_REVISIT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Adds first (the response's id) and again (whether the row revisits it), and empties the body of revisits.
+
+    ``rows`` has id, body, digest (binary) and size.
+    """
+    long = rows.where(F.col("size") >= min_revisit).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = cut(long.where("n > 1 and first is not null"), "digests")
+    more = firsts.count() > broadcast_rows
+    common = firsts.orderBy(F.desc("n"), "digest").limit(broadcast_rows) if more else firsts
+
+    def joined(left: DataFrame, known: DataFrame) -> DataFrame:
+        own = known.select(F.col("digest").alias("__digest"), F.col("first").alias("__first"))
+        # a settled row keeps its answer and is dealt by its id, so that no digest gathers them
+        key = F.when(F.col("first").isNull(), F.col("digest")).otherwise(F.col("id").cast("string").cast("binary"))
+        made = left.withColumn("__key", key).join(own, F.col("__key") == F.col("__digest"), "left")
+        made = made.withColumn("first", F.coalesce("first", F.when(F.col("size") >= min_revisit, F.col("__first")))).drop("__key", "__digest", "__first")
+        again = F.coalesce(~F.col("first").eqNullSafe(F.col("id")) & F.col("first").isNotNull(), F.lit(False))
+        return made.withColumn("again", again).withColumn("body", F.when(again, F.lit(b"")).otherwise(F.col("body")))
+
+    marked = joined(rows.withColumn("first", F.lit(None).cast("bigint")), F.broadcast(common))
+    return joined(marked, firsts) if more else marked
+
+
+def write_archives(
+    pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT, broadcast_rows: int = BROADCAST_ROWS
+) -> None:
     """Write one record per page under ``path``."""
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    rows = pages.select(F.col(key).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("body"))
-    rows = rows.withColumns({"digest": F.sha2("body", 256), "size": F.octet_length("body").cast("bigint")})
-    long = rows.where(F.col("size") >= min_revisit).groupBy("digest")
-    firsts = long.agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
-    marked = rows.join(firsts.select("digest", "first"), "digest", "left")
-    again = F.coalesce((F.col("size") >= min_revisit) & ~F.col("first").eqNullSafe(F.col("id")) & F.col("first").isNotNull(), F.lit(False))
-    marked = marked.select("id", "url", F.when(again, F.lit(b"")).otherwise(F.col("body")).alias("body"), "digest", "size", "first", again.alias("again"))
+    rows = spread(bounded_batches(pages).select(F.col(key).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("body")))
+    rows = rows.withColumns({"digest": F.unhex(F.sha2("body", 256)), "size": F.octet_length("body").cast("bigint")})
+    marked = mark_revisits(rows, min_revisit, broadcast_rows)
+    marked = marked.select("id", "url", "body", F.lower(F.hex("digest")).alias("digest"), "size", "first", "again")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -212,6 +241,15 @@ def _opened(uri: str):
     return system.open_input_file(path)
 
 
+def _reachable(path: str) -> bool:
+    """Whether tasks can open the store by themselves."""
+    try:
+        fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        return True
+    except (OSError, ValueError, pa.ArrowInvalid):
+        return False
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
     names = [part.strip().split(" ")[0] for part in RECORDS.split(",")]
@@ -234,13 +272,10 @@ def _batches(records: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All records under ``path`` with the columns of ``RECORDS``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    try:
-        fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-        reachable = True
-    except (OSError, ValueError, pa.ArrowInvalid):
-        reachable = False
-
-    if not reachable:
+    sizes = files.agg(F.sum("length"), F.max("length"), F.sum(F.ceil(F.col("length") / split_bytes))).first()
+    if not _reachable(path):
+        if (sizes[1] or 0) > WHOLE_FILE_BYTES:
+            raise RuntimeError(f"tasks can't open ranges of {path}, and a file of {sizes[1]} bytes is too large to be read whole")
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -252,7 +287,8 @@ def read_archives(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
 
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("bigint"))
     ranges = files.select("path", "length", F.explode(starts).alias("start"))
-    tasks = max(1, spark.sparkContext.defaultParallelism, ranges.count())
+    at_least = max(4 * spark.sparkContext.defaultParallelism, -(-(sizes[0] or 0) // TASK_BYTES))
+    tasks = max(1, min(at_least, sizes[2] or 0))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
