@@ -600,3 +600,55 @@ def test_op10_ranges_share_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc_split, "WHOLE_FILE_BYTES", 10)
     with pytest.raises(RuntimeError, match="too large"):
         warc_split.read_archives(spark, path, 64)
+
+
+def mixture_of(spark, sizes, **rules):
+    """Tokens by source of the mixture of documents with the given sizes, and the rows."""
+    rows = [(i, "t " * n, s) for i, (s, n) in enumerate((s, n) for s, many in sizes.items() for n in many)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    made = temperature_mix.mix(docs, **rules).collect()
+    used = Counter()
+    for r in made:
+        used[r["source"]] += r["n_tokens"]
+    return used, made
+
+
+def test_op9_long_documents_do_not_empty_their_source(spark):
+    used, _ = mixture_of(spark, {"a": [1000], "b": [1000], "c": [20, 20]}, target_entropy=0.0, budget_share=0.985)
+    assert used["a"] == used["b"] == 1000 and 0 < used["c"] <= 40
+    # one huge document doesn't block the others, which are repeated max_epochs times at most
+    used, made = mixture_of(spark, {"a": [100_000] + [100] * 30, "b": [1000] * 200}, budget_share=0.02, max_epochs=2.0, target_entropy=0.0)
+    share = {r["source"]: r["weight"] for r in made}
+    assert 0 < used["a"] <= round(share["a"] * 303_000 * 0.02) and max(r["n_tokens"] for r in made) == 1000
+    assert max(Counter(r["doc_id"] for r in made).values()) <= 2
+
+
+def test_op9_sources_of_one_too_long_document_keep_to_the_budget(spark):
+    used, made = mixture_of(spark, {f"s{i}": [1000] for i in range(400)}, budget_share=0.1)
+    assert 25 <= len(used) <= 60  # 40 expected
+    assert all(r["position"] == 0.5 and r["epoch"] == 0 for r in made)
+
+
+def test_op9_quotas_are_met_within_the_stated_error(spark):
+    random = np.random.default_rng(12)
+    sizes = {f"s{i}": random.integers(1, 10 ** int(random.integers(1, 4)), int(random.integers(1, 60))).tolist() for i in range(30)}
+    total = sum(map(sum, sizes.values()))
+    used, made = mixture_of(spark, sizes, budget_share=0.5, block_tokens=300, max_epochs=50.0)
+    weight = {r["source"]: r["weight"] for r in made}
+    for s, w in weight.items():
+        quota = round(w * total * 0.5)
+        fitting = [n for n in sizes[s] if n <= 2 * quota]
+        if fitting:
+            assert abs(used[s] - quota) <= max(quota / temperature_mix.COARSE, max(fitting) / 2) + 1, s
+        seen = Counter(r["doc_id"] for r in made if r["source"] == s)
+        assert max(seen.values()) <= quota // max(1, sum(fitting)) + 1
+
+
+def test_op9_carries_columns(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("*", F.lit("x").alias("block"))
+    plain = temperature_mix.mix(docs)
+    carried = temperature_mix.mix(docs, carry=("text", "lang"))
+    assert carried.columns == [*plain.columns, "text", "lang"]
+    assert Counter(map(tuple, carried.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+    said = {r["doc_id"]: (r["text"], r["lang"]) for r in docs.collect()}
+    assert all(said[r["doc_id"]] == (r["text"], r["lang"]) for r in carried.collect())

@@ -14,24 +14,35 @@ last takes blocks, then documents of the block in which the quota ends, while th
 only per-source ordering is over the small block table; a source with a third of all
 documents is just many blocks.
 
+Documents are taken whole, so quotas are met as nearly as documents allow. The one in which
+a quota ends is taken if it holds over 1/``COARSE`` of the quota and at least half of it
+fits; otherwise the quota is kept to. A realised quota is thus off by at most the larger of
+that share and half a document. A document over twice its source's quota can't be part of it
+and is passed over, so it blocks no others, which then fill the quota in at most
+``max_epochs`` passes. A source that has only such documents gives the one of smallest hash
+with the chance quota / size, so that many such sources together keep to the budget.
+
 ``position`` in [0, 1) is the occurrence's place within its source's quota: ordering all
 rows by it interleaves the sources in proportion to their weights at every prefix.
 
 Edge cases: a null source is the source ``<null>``; null or wordless texts have 0 tokens and
 ride along with their block in every pass that takes the whole block; a source without
-tokens has weight 0 and no row; repeated rows are separate documents; ties in hash order
-fall back to id and length; an empty table gives no rows; other columns are ignored.
+tokens has weight 0 and no row, nor has one whose quota rounds to 0; repeated rows are
+separate documents, but the single document of a source without a fitting one counts once;
+ties in hash order fall back to id and length; an empty table gives no rows; other columns
+are ignored unless carried.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.session import cut, table
+from tidemark.session import cut, dimension, table
 
 SECTIONS = 16
 ROUNDS = 6
@@ -40,6 +51,9 @@ MAX_EPOCHS = 4.0
 BLOCK_TOKENS = 1 << 16
 MAX_BLOCKS = 100_000
 NO_SOURCE = "<null>"
+COARSE = 16
+#: Rows of a small side that may be broadcast, after counting.
+BROADCAST_ROWS = 200_000
 
 
 def token_count(text: Column) -> Column:
@@ -47,10 +61,11 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc, source, n_tokens): all that mixing needs of a document."""
+def units(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc, source, n_tokens, carried): all that mixing needs of a document, and a struct of ``carry``."""
     name = F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE))
-    return docs.select(F.col(key).alias("doc"), name.alias("source"), token_count(F.col(text)).alias("n_tokens"))
+    held = [F.struct(*[F.col(f"`{c}`").alias(c) for c in carry]).alias("carried")] if carry else []
+    return docs.select(F.col(key).alias("doc"), name.alias("source"), token_count(F.col(text)).alias("n_tokens"), *held)
 
 
 def _curve(shares: DataFrame, alphas: list[float]) -> list[tuple[float, float]]:
@@ -104,10 +119,12 @@ def mix(
     block_tokens: int = BLOCK_TOKENS,
     max_blocks: int = MAX_BLOCKS,
     seed: int = 11,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, source, n_tokens, epoch, block, position, weight): one row per occurrence in the mixture.
+    """(key, source, n_tokens, epoch, block, position, weight, carried columns): one row per occurrence in the mixture.
 
-    The budget is ``budget_share`` times the corpus's tokens.
+    The budget is ``budget_share`` times the corpus's tokens. Columns in ``carry`` join the
+    rows where they are ordered within their blocks, which moves each occurrence once.
     """
     rows = cut(units(docs, key, text, source), "mix-units")
     totals = cut(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "mix-sources")
@@ -129,22 +146,57 @@ def mix(
         F.round(weight * F.lit(budget)).cast("bigint").alias("quota"),
         F.greatest(F.ceil(F.col("tokens") / F.lit(size)), F.ceil(F.col("docs") / F.lit(per_block)), F.lit(1)).cast("bigint").alias("blocks"),
     )
-    dealt = rows.join(quotas.select("source", "blocks"), "source")
-    dealt = dealt.select("doc", "source", "n_tokens", F.pmod(F.xxhash64("doc", F.lit(seed)), F.col("blocks")).alias("block"))
-    sizes = dealt.groupBy("source", "block").agg(F.sum("n_tokens").alias("size"))
-    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("quota") / F.col("tokens"))))
-    passes = sizes.join(quotas, "source").select("source", "block", "size", "tokens", "quota", "weight", epochs.alias("epoch"))
+    quotas = cut(quotas, "mix-quotas")
+    block = F.pmod(F.xxhash64("doc", F.lit(seed)), F.col("blocks"))
+    fits = F.col("n_tokens") <= F.col("quota") * 2
+
+    def deal(frame: DataFrame) -> DataFrame:
+        own = dimension(quotas.select("source", "blocks", "quota"), BROADCAST_ROWS)
+        return frame.join(own, "source").where(F.col("quota") > 0).withColumn("block", block)
+
+    blocks = deal(rows).groupBy("source", "block").agg(
+        F.sum(F.when(fits, F.col("n_tokens"))).alias("size"), F.min(F.when(~fits, _order("doc", "n_tokens", seed))).alias("over")
+    )
+    blocks = cut(blocks, "mix-blocks")  # at most about max_blocks rows, and one for each source
+    whole = blocks.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("fitting"), F.min("over").alias("over"))
+    limits = quotas.join(whole, "source").withColumn("quota", F.least("quota", (F.col("fitting") * F.lit(max_epochs)).cast("bigint")))
+    sizes = blocks.where("size is not null").select("source", "block", "size")
+    filled = limits.where("fitting > 0")
+    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("quota") / F.col("fitting"))))
+    passes = sizes.join(filled, "source").select("source", "block", "size", "fitting", "quota", "weight", epochs.alias("epoch"))
     shuffled = Window.partitionBy("source", "epoch").orderBy(F.xxhash64("source", "block", "epoch", F.lit(seed)), "block")
     before = F.sum("size").over(shuffled.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    plan = passes.withColumn("begin", F.col("epoch") * F.col("tokens") + before)
+    plan = passes.withColumn("begin", F.col("epoch") * F.col("fitting") + before)
     plan = plan.where((F.col("begin") < F.col("quota")) | ((F.col("size") == 0) & (F.col("begin") <= F.col("quota"))))
-    plan = plan.select(F.col("source").alias("s"), F.col("block").alias("b"), "epoch", "begin", "quota", "weight")
-    taken = dealt.join(plan, (F.col("source") == F.col("s")) & (F.col("block") == F.col("b")))
+    plan = plan.select(F.col("source").alias("s"), F.col("block").alias("b"), "epoch", "begin", F.col("quota").alias("until"), "weight")
+    # sources without any fitting document: the one of smallest hash, by chance
+    chance = F.pmod(F.xxhash64("source", F.lit(seed + 2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    lone = quotas.join(whole.where("fitting = 0 and over is not null").select("source", "over"), "source")
+    lone = lone.where(chance < F.col("quota") / F.col("over.n_tokens")).select(F.col("source").alias("s"), "over", "weight")
+
+    known = units(docs, key, text, source, carry) if carry else rows
+    dealt = deal(known)
+    taken = dealt.where(fits).join(dimension(plan, BROADCAST_ROWS), (F.col("source") == F.col("s")) & (F.col("block") == F.col("b")))
     inner = Window.partitionBy("source", "block", "epoch").orderBy(F.xxhash64("doc", "epoch", F.lit(seed + 1)), "doc", "n_tokens")
     upto = F.col("begin") + F.sum("n_tokens").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = taken.withColumn("upto", upto).where(F.col("upto") <= F.col("quota"))
-    middle = (F.col("upto") - F.col("n_tokens") / F.lit(2.0)) / F.greatest(F.col("quota"), F.lit(1))
-    return placed.select(F.col("doc").alias(key), "source", "n_tokens", F.col("epoch").cast("int").alias("epoch"), "block", middle.alias("position"), "weight")
+    inside = F.col("upto") <= F.col("until")
+    coarse = (F.col("n_tokens") * COARSE > F.col("until")) & (F.col("upto") - F.col("n_tokens") < F.col("until")) & (F.col("upto") * 2 - F.col("n_tokens") <= F.col("until") * 2)
+    placed = taken.withColumn("upto", upto).where(inside | coarse)
+    middle = F.least((F.col("upto") - F.col("n_tokens") / F.lit(2.0)) / F.greatest(F.col("until"), F.lit(1)), F.lit(1 - 1e-9))
+    columns = [F.col("doc").alias(key), "source", "n_tokens", F.col("epoch").cast("int").alias("epoch"), "block", "position", "weight"]
+    columns += [F.col("carried").getField(c).alias(c) for c in carry]
+    placed = placed.withColumn("position", middle).select(*columns)
+    if lone.isEmpty():
+        return placed
+    first = _order("doc", "n_tokens", seed)
+    alone = dealt.where(~fits).join(dimension(lone, BROADCAST_ROWS), (F.col("source") == F.col("s")) & (first == F.col("over")))
+    alone = alone.groupBy("doc", "source", "n_tokens", "block", "weight").agg(*([F.min("carried").alias("carried")] if carry else [F.count(F.lit(1)).alias("n")]))
+    return placed.unionByName(alone.withColumn("epoch", F.lit(0)).withColumn("position", F.lit(0.5)).select(*columns))
+
+
+def _order(doc: str, size: str, seed: int) -> Column:
+    """What the single document of a source without a fitting one is chosen by."""
+    return F.struct(F.xxhash64(doc, F.lit(seed + 3)).alias("hash"), F.col(doc).alias("doc"), F.col(size).alias("n_tokens"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
