@@ -703,3 +703,63 @@ def test_op9_carries_columns(spark, small):
     assert Counter(map(tuple, carried.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
     said = {r["doc_id"]: (r["text"], r["lang"]) for r in docs.collect()}
     assert all(said[r["doc_id"]] == (r["text"], r["lang"]) for r in carried.collect())
+
+
+def test_op5_gradient_steps_lower_the_loss_and_calibration_is_a_quantile():
+    random = np.random.default_rng(9)
+    centres = random.dirichlet(np.full(subword_lid.BUCKETS, 0.01), 3)
+    truth = random.integers(0, 3, 600)
+    noise = random.dirichlet(np.full(subword_lid.BUCKETS, 0.01), 600)
+    mix = random.choice([0.5, 0.9], 600)[:, None]
+    shares = (mix * centres[truth] + (1 - mix) * noise).astype(np.float32)
+    labels = [("aa", "bb", "cc")[k] for k in truth]
+    model = subword_lid.fit(shares, labels, reject_share=0.1)
+    logits = (shares @ model.table + model.bias) / model.temperature
+    chances = subword_lid.softmax(logits)
+    right = chances.argmax(axis=1) == truth
+    assert right.mean() > 0.95
+    lost = (chances.max(axis=1)[right] < model.threshold).mean()
+    assert 0.03 < lost < 0.2  # 0.1 of the right answers set aside
+    # the merged table is what a plain softmax regression from the same averages would score
+    for row in range(5):
+        raised = [math.exp(sum(shares[row, b] * model.table[b, k] for b in np.flatnonzero(shares[row])) / model.temperature + model.bias[k] / model.temperature) for k in range(3)]
+        assert np.allclose(chances[row], np.array(raised) / sum(raised), atol=1e-5)
+
+
+def test_op5_learns_more_languages_than_any_fixed_cap(spark):
+    random = np.random.default_rng(10)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2000)]
+    rows = []
+    for lang in range(300):
+        own = letters[lang * 5 : lang * 5 + 5]
+        rows += [(lang * 40 + i, " ".join("".join(random.choice(own, 4)) for _ in range(30)), f"l{lang:03d}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = subword_lid.train(docs)
+    assert len(model.languages) == 300
+
+
+def test_op5_rejects_texts_of_two_languages(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = subword_lid.train(docs)
+    assert 0 < model.threshold < 1
+    two = spark.createDataFrame([("en", "de"), ("fr", "es")], "a string, b string")
+    clean = docs.where("length(text) between 200 and 1500").select("lang", F.col("text").alias("t"))
+    first = clean.groupBy("lang").agg(F.min("t").alias("t"))
+    mixed = two.join(first.withColumnRenamed("lang", "a"), "a").join(first.select(F.col("lang").alias("b"), F.col("t").alias("u")), "b")
+    texts = mixed.select(F.monotonically_increasing_id().alias("doc_id"), F.concat(F.substring("t", 1, 190), F.lit(" "), F.substring("u", 1, 190)).alias("text"))
+    scores = [r["score"] for r in subword_lid.identify(texts, model).collect()]
+    plain = [r["score"] for r in subword_lid.identify(docs, model).collect() if r["lang_pred"] != "und"]
+    assert max(scores) < np.quantile(plain, 0.1)
+
+
+@pytest.mark.parametrize("name", ["documents", "labels"])
+def test_trained_operators_on_empty_tables(spark, small, tmp_path, name):
+    for table in ("documents", "labels", "benchmark", "conversations", "pages"):
+        rows = spark.read.parquet(f"{small}/{table}.parquet")
+        (rows.limit(0) if table == name or name == "documents" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    expected = 0 if name == "documents" else 200
+    for query in (subword_lid.query, boosted_rules.query, bt_quality.query):
+        assert query(spark, str(tmp_path)).count() == expected
+    if name == "documents":
+        for query in queries.QUERIES.values():
+            assert query(spark, str(tmp_path)).count() == 0

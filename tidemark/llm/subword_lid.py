@@ -3,14 +3,15 @@
 Every text is lower-cased and read as character 1-, 2- and 3-grams hashed to buckets. The
 model averages the buckets' embeddings and applies a softmax, trained in numpy by mini-batch
 stochastic gradient descent on a bounded, repeatable sample of labelled rows: at most
-``sample`` rows, drawn per language by hash so that rare languages take part. Since the
+``sample`` rows, drawn per language by hash so that rare languages take part. No other limit
+holds for the number of languages. Since the
 model is linear after averaging, scoring a text of any length is one histogram of its grams
 times a (buckets x languages) table; long texts are counted in chunks.
 
 Calibrated rejection: part of the sample is set aside, a temperature is fitted on it by
 likelihood, and the threshold is the score below which only ``reject_share`` of the correct
-set-aside rows fall, never above ``MAX_REJECT``. Rejected texts keep their best language in
-``lang_pred`` and are marked in ``rejected``.
+set-aside rows fall: the stated share of right answers that rejection may cost. Rejected
+texts keep their best language in ``lang_pred`` and are marked in ``rejected``.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected;
 rows with null lang or null id are never learned from; with no labelled row at all every
@@ -27,15 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, fold, map_texts
-from tidemark.session import table
+from tidemark.session import cut, dimension, table
 
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 SAMPLE = 3000
-MAX_LANGS = 256
 CHUNK = 1 << 20
-MAX_REJECT = 0.4
 FOLDS, HELD = 4, 2
+REJECT_SHARE = 0.002
 
 
 def has_letter(text: str | None) -> bool:
@@ -94,13 +94,13 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=-1, keepdims=True)
 
 
-def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30, rate: float = 2.0, reject_share: float = 0.002) -> LanguageModel:
+def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30, rate: float = 2.0, reject_share: float = REJECT_SHARE) -> LanguageModel:
     """Train on gram shares (rows x buckets, float32) by stochastic gradient descent, then calibrate."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     random = np.random.default_rng(7)
-    truth = np.array([languages.index(x) for x in labels])
+    truth = np.searchsorted(languages, labels)
     order = random.permutation(len(truth))
     aside, own = order[: len(order) // 5], order[len(order) // 5 :]
     if not len(aside):
@@ -132,19 +132,18 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
     chances = softmax(logits / temperature)
     right = np.argmax(chances, axis=1) == truth[aside]
     sure = chances.max(axis=1)[right]
-    threshold = min(MAX_REJECT, float(np.quantile(sure, reject_share))) if len(sure) else 0.0
+    threshold = float(np.quantile(sure, reject_share)) if len(sure) else 0.0
     return LanguageModel(languages, merged, bias.astype(np.float64), temperature, threshold)
 
 
 def labelled_sample(docs: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
     """At most about ``rows`` labelled rows outside the held-out fold, spread over the languages."""
     ids = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (fold(key, FOLDS) != HELD)).select(key, F.col(label).alias("label"))
-    sizes = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LANGS).collect()}
-    each = max(1, rows // max(1, len(sizes)))
+    sizes = cut(ids.groupBy(F.col("label").alias("__label")).agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
+    each = max(1, rows // max(1, sizes.count()))
     unit = F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 40))
-    limit = F.lit(None).cast("bigint")
-    for value, n in sizes.items():
-        limit = F.when(F.col("label") == value, F.lit(int((1 << 40) * min(1.0, each / n)))).otherwise(limit)
+    ids = ids.join(dimension(sizes), F.col("label") == F.col("__label"))
+    limit = F.lit(float(1 << 40)) * F.least(F.lit(1.0), F.lit(float(each)) / F.col("n"))
     chosen = ids.where(unit <= limit).orderBy(unit, key).limit(rows).select(F.col(key).alias("__id")).distinct()
     return docs.select(key, text, label).join(F.broadcast(chosen), F.col(key) == F.col("__id"), "left_semi")  # at most `rows` ids
 
