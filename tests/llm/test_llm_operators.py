@@ -763,3 +763,55 @@ def test_trained_operators_on_empty_tables(spark, small, tmp_path, name):
     if name == "documents":
         for query in queries.QUERIES.values():
             assert query(spark, str(tmp_path)).count() == 0
+
+
+def brute_overlaps(docs, items):
+    """(document row, item row) -> equal tokens of the best qualifying segment on a diagonal that a masked window hits."""
+    masks = [[i for i, c in enumerate(m) if c == "1"] for m in spaced_seed.MASKS]
+    split = lambda t: re.findall(r"\w+", (t or "").lower())
+    windows = defaultdict(set)
+    for n, (_, text) in enumerate(items):
+        words = split(text)
+        for at in range(len(words) - 7):
+            for k, mask in enumerate(masks):
+                windows[k, tuple(words[at + i] for i in mask)].add((n, at))
+    found = {}
+    for d, (_, text) in enumerate(docs):
+        words = split(text)
+        diagonals = set()
+        for at in range(len(words) - 7):
+            for k, mask in enumerate(masks):
+                diagonals |= {(n, at - own) for n, own in windows.get((k, tuple(words[at + i] for i in mask)), ())}
+        for n, shift in diagonals:
+            own = split(items[n][1])
+            same = [words[i + shift] == w if 0 <= i + shift < len(words) else None for i, w in enumerate(own)]
+            same = [x for x in same if x is not None]
+            sums = np.concatenate(([0], np.cumsum(same)))
+            size = np.arange(len(sums))
+            equal, length = sums[None, :] - sums[:, None], size[None, :] - size[:, None]
+            good = (length > 0) & (equal >= min(10, len(own))) & (4 * equal >= 3 * length)
+            if good.any():
+                found[d, n] = max(found.get((d, n), 0), int(equal[good].max()))
+    return found
+
+
+def test_op2_against_brute_force(spark, small):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").orderBy("item_id").collect()]
+    random = np.random.default_rng(6)
+    for n, (_, text) in enumerate(items[:30]):  # passages with a share of their words replaced
+        words = text.split()
+        lost = random.random(len(words)) < n / 60
+        docs.append((10_000 + n, "before it " + " ".join(f"z{i}" if x else w for i, (w, x) in enumerate(zip(words, lost, strict=True))) + " after"))
+    items += [(900, "nine words stand here in a row for once"), (901, "seven words are far too few here"), (902, items[0][1]), (903, None)]
+    docs += [(20_000, "so nine words stand here in a row for once more"), (20_001, "so nine words stand here in another row for once"), (20_002, "seven words are far too few here"), (20_003, None), (20_004, "")]
+    docs.append((20_005, " ".join(["filler"] * 50_000) + " " + items[1][1] + " " + " ".join(["filler"] * 50_000)))
+    wanted = {(docs[d][0], items[n][0]) for d, n in brute_overlaps(docs, items)}
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    for size in (spaced_seed.BLOCK_BYTES, 2000):
+        rows = spaced_seed.contamination(*frames, block_bytes=size).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in rows} == wanted
+        assert all(10 <= r["n_matched"] or r["item_id"] == 900 for r in rows) and all(4 * r["n_matched"] >= 3 * r["n_overlap"] for r in rows)
+        kept = spaced_seed.drop_contaminated(*frames, block_bytes=size)
+        assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {d for d, _ in wanted}
+    assert (20_000, 900) in wanted and (20_001, 900) not in wanted and (20_005, 1) in wanted and len(wanted) > 20

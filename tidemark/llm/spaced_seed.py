@@ -8,17 +8,20 @@ that tolerates further substitutions.
 
 The index is the only thing sent to executors. Its size is bounded: the benchmark is
 measured first and beyond ``block_bytes`` it is cut into blocks by hash of the item id, one
-corpus pass per block. Documents are never shuffled, so a passage that a third of them
+corpus pass per block. Each pass is written before the next block is fetched, so the driver
+and the workers hold one. Documents are never shuffled, so a passage that a third of them
 share costs no more than any other.
 
 Result: one row per (document, item) whose verified overlap has at least ``min_matched``
-equal tokens and a share of at least ``min_identity``; clean documents have no row. Of a
+equal tokens (all of them for a shorter item) and a share of at least ``min_identity``; clean
+documents have no row. Of a
 diagonal counts the segment with the highest score (+1 equal, -1.5 different) or, where that
 one misses a limit, the one with the most equal tokens of all segments of sufficient
 identity: a part that qualifies alone isn't lost in a longer one that doesn't.
 
-Edge cases: null or empty texts and items match nothing; items under the mask span are too
-short to be evidence and match nothing; of ties between equal overlaps the first position
+Edge cases: null or empty texts and items match nothing; items under the mask span (eight
+tokens) are too short to be evidence and match nothing, items of eight or nine must match
+whole; of ties between equal overlaps the first position
 wins; repeated documents and repeated items each report; other columns are ignored.
 """
 
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches
-from tidemark.session import table
+from tidemark.session import cut, table
 
 #: 1: the position counts, 0: it may differ.
 MASKS = ("11011011", "11100111", "10101111")
@@ -145,22 +148,28 @@ class SeedIndex:
             end = int(np.argmax(gain))
             start = int(np.flatnonzero(run[: end + 1] == run[: end + 1].min())[-1])
             equal = int(same[start:end].sum())
-            if equal < max(self.min_matched, self.min_identity * (end - start)) and same.sum() >= self.min_matched:
+            least = min(self.min_matched, len(own))
+            if equal < max(least, self.min_identity * (end - start)) and same.sum() >= least:
                 start, end = self._widest(same)
                 equal = int(same[start:end].sum())
-            if equal >= self.min_matched and equal >= self.min_identity * (end - start) and equal > best.get(item, (0,))[0]:
+            if equal >= least and equal >= self.min_identity * (end - start) and equal > best.get(item, (0,))[0]:
                 a, b = first + start, first + end
                 best[item] = (equal, a + shift, b + shift, a, b)
         return [(self.items[item][0], *found) for item, found in sorted(best.items())]
 
 
-def seed_indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES, **rules) -> list[SeedIndex]:
-    """One index per block of at most about ``block_bytes`` of benchmark text."""
+def seed_indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES, **rules) -> tuple[int, Iterator[SeedIndex]]:
+    """How many blocks of at most about ``block_bytes`` of benchmark text there are, and one index for each, made when asked for."""
     items = benchmark.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    parts = (items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == i) if blocks > 1 else items for i in range(blocks))
-    return [SeedIndex([(r["id"], r["text"]) for r in part.orderBy("id", "text").collect()], **rules) for part in parts]
+
+    def made() -> Iterator[SeedIndex]:
+        for i in range(blocks):
+            part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == i) if blocks > 1 else items
+            yield SeedIndex([(r["id"], r["text"]) for r in part.orderBy("id", "text").collect()], **rules)
+
+    return blocks, made()
 
 
 def contamination(
@@ -192,14 +201,15 @@ def contamination(
 
         return source.mapInArrow(run, schema)
 
-    passes = [scan(index) for index in seed_indexes(benchmark, item_key, text, block_bytes, **rules)]
-    result = passes[0]
-    for other in passes[1:]:
-        result = result.unionByName(other)
+    blocks, indexes = seed_indexes(benchmark, item_key, text, block_bytes, **rules)
+    result = None
+    for index in indexes:
+        found = cut(scan(index), "seed-pass") if blocks > 1 else scan(index)
+        result = found if result is None else result.unionByName(found)
     return result
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **rules) -> DataFrame:
     """The documents without a verified overlap; all columns stay, nothing is shuffled."""
 
     def without(kept: DataFrame, index: SeedIndex) -> DataFrame:
@@ -209,8 +219,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text")
         return kept.where(F.arrow_udf(clean, "boolean")(F.col(text)))
 
     kept = bounded_batches(docs)
-    for index in seed_indexes(benchmark):
-        kept = without(kept, index)
+    blocks, indexes = seed_indexes(benchmark, text=text, block_bytes=block_bytes, **rules)
+    for index in indexes:
+        kept = cut(without(kept, index), "seed-pass") if blocks > 1 else without(kept, index)
     return kept
 
 
