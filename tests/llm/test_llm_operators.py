@@ -815,3 +815,32 @@ def test_op2_against_brute_force(spark, small):
         kept = spaced_seed.drop_contaminated(*frames, block_bytes=size)
         assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {d for d, _ in wanted}
     assert (20_000, 900) in wanted and (20_001, 900) not in wanted and (20_005, 1) in wanted and len(wanted) > 20
+
+
+@pytest.mark.parametrize("many", [0, 1, 63, 64, 65, 400])
+def test_op8_loose_candidates_that_overlap_no_base_span(spark, many):
+    random = np.random.default_rng(many)
+
+    def spans(n):
+        made = []
+        for kind in range(4):
+            cuts = np.sort(random.choice(40 * (n + 1), 2 * n, replace=False)).tolist()
+            made += [(kind, a, b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        return made
+
+    base, loose = spans(many), spans(30)
+    kind = "array<struct<kind:int,start:int,end:int>>"
+    row = spark.createDataFrame([(base, loose)], f"base {kind}, loose {kind}")
+    got = row.select(weak_pii.free(F.col("base"), F.col("loose")).alias("x")).first()["x"]
+    wanted = [c for c in loose if not any(b[0] == c[0] and b[1] < c[2] and c[1] < b[2] for b in base)]
+    assert list(map(tuple, got)) == wanted
+
+
+def test_op8_gazetteers():
+    ending = re.compile(rf"^(?:(?!(?:{weak_pii.UNUSED_COUNTRIES})$)[a-z]{{2}}|{'|'.join(weak_pii.GENERIC_ENDINGS)})$")
+    assert all(ending.match(x) for x in ("de", "uk", "com", "museum")) and not any(ending.match(x) for x in ("zz", "xk", "qz", "comm", "aa"))
+    code = [re.compile(f"^(?:{c})") for c in weak_pii.CALLING]
+    assert code[1].match("49301234567") and code[2].match("380441234567") and code[0].match("12125550100")
+    assert not any(c.match("2101234567") for c in code) and not any(c.match("0301234567") for c in code)
+    issued = lambda d: any(len(d) in sizes and re.match(f"(?:{p})", d) for p, sizes in weak_pii.ISSUERS)
+    assert issued("4111111111111111") and issued("378282246310005") and not issued("37828224631000") and not issued("9111111111111111")

@@ -5,8 +5,8 @@ their spans always stand. Looser patterns propose further candidates of the same
 (addresses with a spelled-out ``at``, long-form network addresses, numbers without a country
 prefix, and card or telephone numbers that a neighbouring number runs into, so that the base
 rule's longest match has too many digits and is dropped). Five labelers vote +1, 0 or -1 on every candidate,
-base ones included: the strict rule, a gazetteer (known endings, issuer and dialling ranges),
-context words before the span, the span's shape, and the characters beside it.
+base ones included: the strict rule, a gazetteer (address endings, set-aside networks, issuer
+prefixes with their lengths, calling codes), context words before the span, the span's shape, and the characters beside it.
 
 Expectation-maximisation estimates each labeler's vote distribution given "is personal" and
 "is not" from vote-pattern counts (at most kinds x 3^5 x buckets rows reach the driver,
@@ -53,8 +53,34 @@ LOOSE = {
 }
 #: A text without any of these has no candidate.
 SIGN = r"[0-9@]|[\[({]at[\])}]"
-#: Endings of addresses that are in common use.
-ENDINGS = ("com", "net", "org", "edu", "gov", "io", "info", "biz", "de", "fr", "es", "uk", "it", "nl", "ru", "eu", "us", "ch", "at", "ca")
+#: Gazetteers. Address endings: any country code (two letters) or one of these generic ones.
+GENERIC_ENDINGS = (
+    "com", "net", "org", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "mobi", "aero", "coop", "museum",
+    "jobs", "travel", "tel", "asia", "cat", "post", "app", "dev", "cloud", "online", "site", "store", "shop", "tech",
+    "xyz", "blog", "email", "live", "club", "agency", "company", "digital", "group", "media", "news", "space", "studio",
+)
+#: Country codes of two letters that are assigned to no country and no other use.
+UNUSED_COUNTRIES = "aa|q[m-z]|x[a-z]|zz"
+#: First network octets that are set aside: this network, loop-back, multicast and reserved.
+RESERVED_OCTETS = "0|127|22[4-9]|2[34][0-9]|25[0-5]"
+#: Issuer prefixes with the lengths that the issuer gives out.
+ISSUERS = (
+    (r"4", (13, 16, 19)),
+    (r"5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720", (16,)),
+    (r"3[47]", (15,)),
+    (r"30[0-5]|309|36|3[89]", (14, 15, 16, 17, 18, 19)),
+    (r"6011|64[4-9]|65", (16, 17, 18, 19)),
+    (r"62|81", (16, 17, 18, 19)),
+    (r"352[89]|35[3-8]", (16, 17, 18, 19)),
+    (r"50|5[6-9]|6[0137-9]", (12, 13, 14, 15, 16, 17, 18, 19)),
+    (r"220[0-4]", (16, 17, 18, 19)),
+)
+#: Country calling codes by their length.
+CALLING = (
+    r"1[2-9]|7[3-9]",
+    r"2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]",
+    r"21[12368]|22[0-9]|23[0-9]|24[0-9]|25[0-8]|26[0-9]|29[01789]|35[0-9]|37[0-8]|38[0-35-79]|42[013]|50[0-9]|59[0-9]|67[02-9]|68[0-35-9]|69[0-2]|85[02356]|88[06]|96[0-8]|97[0-7]|99[2-68]",
+)
 #: Words that announce a kind, and words that announce some other number.
 ANNOUNCES = {
     "email": r"mail|contact|write|kontakt|correo|courriel",
@@ -142,23 +168,26 @@ def _judge(kind: str, strict: bool):
         if kind == "email":
             rule = F.rlike(value, F.lit(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"))
             base, rule = F.lit(strict), _sign(rule, F.lit(False))
-            known = F.lower(F.regexp_extract(value, r"([A-Za-z]+)$", 1)).isin(*ENDINGS)
+            known = F.rlike(F.lower(F.regexp_extract(value, r"([A-Za-z]+)$", 1)), F.lit(rf"^(?:(?!(?:{UNUSED_COUNTRIES})$)[a-z]{{2}}|{'|'.join(GENERIC_ENDINGS)})$"))
             shape = _sign(~F.rlike(value, F.lit(r"\.\.|^\.|\.@|@-")), F.lit(True))
         elif kind == "ip":
             base = F.lit(strict) & ip_parts_ok(value)
             rule = _sign(base, F.lit(strict))
-            known = F.rlike(value, F.lit(r"^0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])\.|^[0-9A-Fa-f]+:"))
+            known = ~F.rlike(value, F.lit(rf"^0*(?:{RESERVED_OCTETS})\.|^0+:"))
             shape = _sign(~F.rlike(value, F.lit(r"(?:^|\.)0[0-9]")), F.lit(True))
         elif kind == "card":
             passes = luhn(digits)
             base = F.lit(strict) & n.between(14, 19) & passes
             rule = _sign(n.between(13, 19) & passes, F.lit(True))
-            known = F.rlike(digits, F.lit(r"^(?:4|5[1-5]|2[2-7]|3[4-6]|38|6011|65)"))
+            known = F.lit(False)
+            for prefix, sizes in ISSUERS:
+                known = known | (n.isin(*sizes) & F.rlike(digits, F.lit(f"^(?:{prefix})")))
             shape = _sign(n.isin(15, 16), F.lit(True))
         else:
             base = F.lit(strict) & n.between(10, 15)
             rule = _sign(value.startswith("+") & n.between(10, 15), ~n.between(10, 15))
-            known = F.rlike(digits, F.lit(r"^(?:1[2-9][0-9]{9}|[2-9][0-9]{7,14})$"))
+            dialled = F.rlike(digits, F.lit(rf"^(?:{CALLING[0]})[0-9]{{9}}$|^(?:{CALLING[1]})[0-9]{{6,13}}$|^(?:{CALLING[2]})[0-9]{{5,12}}$"))
+            known = F.when(value.startswith("+"), dialled).otherwise(F.rlike(digits, F.lit("^[2-9][0-9]{9}$")))
             shape = _sign(F.rlike(value, F.lit(r"\(|[0-9][\x20.-][0-9]")) & n.between(10, 12), ~n.between(10, 15))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
@@ -191,13 +220,38 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.when(gate, F.concat(*strict)).otherwise(empty).alias("strict"),
         F.when(gate, F.concat(*loose)).otherwise(empty).alias("loose"),
     )
-    base = F.filter("strict", lambda c: c["base"])
+    rows = rows.withColumn("base", F.filter("strict", lambda c: c["base"]))
+    return rows.select(key, F.concat("base", F.when(F.size("loose") > 0, free(F.col("base"), F.col("loose"))).otherwise(empty)).alias("found"))
 
-    def free(c: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["kind"] == c["kind"]) & (b["start"] < c["end"]) & (c["start"] < b["end"]))
 
-    rows = rows.withColumn("base", base)
-    return rows.select(key, F.concat("base", F.when(F.size("loose") > 0, F.filter("loose", free)).otherwise(empty)).alias("found"))
+def free(base: Column, loose: Column) -> Column:
+    """The loose candidates that no base span of their kind overlaps.
+
+    Base spans of a kind don't overlap, so in order of kind and start their ends rise too: the
+    first that ends after a candidate's start is in the first block whose last one does. Only
+    that block is searched, so many spans in a text don't cost their square.
+    """
+
+    def place(kind: Column, at: Column) -> Column:
+        return F.shiftleft(kind.cast("bigint"), 40) + at
+
+    def tops(s: Column) -> Column:
+        blocks = F.sequence(F.lit(0), (F.size(s["held"]) - 1).bitwiseAND(F.lit(~(BLOCK - 1))), F.lit(BLOCK))
+        made = F.transform(blocks, lambda b: F.get(s["held"], F.least(b + BLOCK, F.size(s["held"])) - 1)["end"])
+        return F.struct(s["held"].alias("held"), made.alias("tops"))
+
+    def kept(s: Column) -> Column:
+        def clear(c: Column) -> Column:
+            start, end = place(c["kind"], c["start"]), place(c["kind"], c["end"])
+            block = F.size(F.filter(s["tops"], lambda t: t <= start))
+            near = F.slice(s["held"], block * BLOCK + 1, F.lit(BLOCK))
+            return ~F.exists(near, lambda b: (b["end"] > start) & (b["start"] < end))
+
+        return F.filter(loose, clear)
+
+    held = F.array_sort(F.transform(base, lambda b: F.struct(place(b["kind"], b["start"]).alias("start"), place(b["kind"], b["end"]).alias("end"))))
+    whole = F.transform(F.transform(F.array(F.struct(held.alias("held"))), tops), kept)
+    return F.when(F.size(base) > 0, F.get(whole, 0)).otherwise(loose)
 
 
 def expectation_maximisation(votes: np.ndarray, kinds: np.ndarray, counts: np.ndarray, rounds: int = 60) -> np.ndarray:
