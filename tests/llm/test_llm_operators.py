@@ -844,3 +844,53 @@ def test_op8_gazetteers():
     assert not any(c.match("2101234567") for c in code) and not any(c.match("0301234567") for c in code)
     issued = lambda d: any(len(d) in sizes and re.match(f"(?:{p})", d) for p, sizes in weak_pii.ISSUERS)
     assert issued("4111111111111111") and issued("378282246310005") and not issued("37828224631000") and not issued("9111111111111111")
+
+
+def query_points(spark, sf_dir):
+    """The distinct fingerprints that the query pairs."""
+    prints = simhash_vp.fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return prints.select("fp").distinct().cache()
+
+
+def test_op3_query_splits_trees_and_compares_few_pairs(spark):
+    points = query_points(spark, "/root/testdata/sf0.01")
+    n = points.count()
+    made = simhash_vp.join_statistics(points, n).agg(F.sum("splits"), F.sum("compared"), F.max("points")).first()
+    assert n > 800 and made[0] > 0 and made[1] < 0.2 * n * n and made[2] < n
+
+
+def test_op3_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    assert Counter(tuple(r)[:3] for r in simhash_vp.query(spark, folder).collect()) == brute_components(rows)
+
+
+@pytest.mark.parametrize("max_shard", [200, 20])
+def test_op3_hot_shards_are_dealt_by_the_other_bits(spark, max_shard):
+    random = np.random.default_rng(21)
+    low = np.uint64((1 << 52) - 1)
+    loose = random.integers(0, 2**63, 1500, dtype=np.uint64) & low  # equal in the highest block
+    ball = [np.uint64(0xABC << 40) ^ np.bitwise_or.reduce(np.uint64(1) << random.integers(0, 30, 3, dtype=np.uint64)) for _ in range(700)]
+    near = loose[:300] ^ (np.uint64(1) << random.integers(0, 52, 300, dtype=np.uint64))
+    points = np.unique(np.concatenate((loose, np.array(ball, dtype=np.uint64), near)).view(np.int64))
+    frame = spark.createDataFrame([(int(p),) for p in points], "fp bigint")
+    spread, keys = simhash_vp.cells(frame, len(points), max_shard=max_shard)
+    sizes = [r["n"] for r in spread.groupBy(*keys).agg(F.count_distinct("fp").alias("n")).collect()]
+    assert max(sizes) <= 2 * max_shard and "sub" in keys  # parts are dealt by hash, so small ones vary
+    bits = points.view(np.uint64)
+    left, right = np.nonzero(np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 4)
+    expected = simhash_vp.components(len(points), left, right)
+    stars = simhash_vp.connect(simhash_vp.link_stars(frame, len(points), max_shard=max_shard))
+    roots = {r["v"]: r["root"] for r in stars.collect()}
+    got = defaultdict(set)
+    wanted = defaultdict(set)
+    for p, c in zip(points.tolist(), expected.tolist(), strict=True):
+        got[roots.get(p, p)].add(p)
+        wanted[c].add(p)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_op3_dense_classes_are_not_compared_in_full():
+    points = np.arange(1 << 13, dtype=np.int64)  # every point has 13 neighbours at one bit
+    join = simhash_vp.VantageJoin(points)
+    assert (join.classes() == 0).all() and join.compared < 0.2 * len(points) ** 2 and join.splits > 100

@@ -11,11 +11,15 @@
    (the shards overlap), and no link can cross shards in all of them. With full-width
    distances a radius of 4 covers most of the ring structure (their standard deviation is
    also 4) and every split would copy two thirds of the points; block distances avoid that.
-4. Inside a shard a vantage-point dual-tree join finds all pairs within T bits: a branch
-   pair is visited only if the triangle bound ``|d(x,v) - d(y,v)| <= T`` allows a link. A
-   shard over ``max_shard`` points is cut into parts and every pair of parts is joined, so
-   no task holds more than two parts. Each shard emits a star per connected class, never all
-   pairs.
+4. Inside a shard a vantage-point tree splits the points at the median distance to one of
+   them until ``LEAF`` are left; a branch pair is visited only for the points near the
+   boundary, where the triangle bound ``|d(x,v) - d(y,v)| <= T`` allows a link, and not if
+   all its points are known to be connected. A shard over ``max_shard`` points is dealt anew
+   by the blocks of the bits that its own block set leaves out: five copies for shards a
+   thousandth as large. What is still over ``max_shard`` then (very many fingerprints within
+   few bits of each other) is cut into parts of half that size and every pair of parts is
+   joined, so no task holds more than ``max_shard`` points. Each shard emits a star per
+   connected class, never all pairs.
 5. Components of the stars come from alternating large-star / small-star rounds, each a
    pair of joins cut to the shared folder.
 
@@ -26,6 +30,7 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -35,12 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, map_texts
-from tidemark.session import cut, table
+from tidemark.session import cut, dimension, table
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-LEAF = 768
+LEAF = 32
+#: Points a shard should hold, and those that one task may hold (8 bytes each).
+SHARD, MAX_SHARD = 128, 50_000
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -101,77 +108,75 @@ class VantageJoin:
 
     def __init__(self, points: np.ndarray, radius: int = RADIUS, leaf: int = LEAF) -> None:
         self.points, self.radius, self.leaf = points.view(np.uint64), radius, leaf
-        self.left: list[np.ndarray] = []
-        self.right: list[np.ndarray] = []
-        self.compared = 0
+        self.label = np.arange(len(points))  # the smallest point known to be connected with each
+        self.compared = self.splits = 0
 
     def classes(self) -> np.ndarray:
-        self._within(np.arange(len(self.points)))
-        if not self.left:
-            return np.arange(len(self.points))
-        return components(len(self.points), np.concatenate(self.left), np.concatenate(self.right))
+        todo: list[tuple[np.ndarray, ...]] = [(np.arange(len(self.points)),)]
+        while todo:  # depth first, so branches are connected within before they are joined
+            todo += reversed(self._branches(*todo.pop()))
+        return self.label
+
+    def _connect(self, left: np.ndarray, right: np.ndarray) -> None:
+        a, b = self.label[left], self.label[right]
+        apart = a != b
+        if not apart.any():
+            return
+        names, at = np.unique(np.concatenate((a[apart], b[apart])), return_inverse=True)
+        half = len(at) // 2
+        to = np.arange(len(self.label))
+        to[names] = names[components(len(names), at[:half], at[half:])]
+        self.label = to[self.label]
 
-    def _star(self, ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
-        label = components(len(ids), left, right)
-        moved = np.flatnonzero(label != np.arange(len(ids)))
-        self.left.append(ids[moved])
-        self.right.append(ids[label[moved]])
+    def _connected(self, *groups: np.ndarray) -> bool:
+        first = self.label[groups[0][0]]
+        return all((self.label[g] == first).all() for g in groups)
 
     def _compare(self, a: np.ndarray, b: np.ndarray) -> None:
-        step = max(1, self.leaf * self.leaf // max(1, len(b)))
+        step = max(1, (1 << 18) // max(1, len(b)))
         for at in range(0, len(a), step):
             part = a[at : at + step]
             self.compared += len(part) * len(b)
             apart = np.bitwise_count(self.points[part][:, None] ^ self.points[b][None, :])
             i, j = np.nonzero(apart <= self.radius)
-            if len(i):
-                self._star(np.concatenate((part, b)), i, j + len(part))
-
-    def _split(self, ids: np.ndarray, vantage: np.uint64) -> np.ndarray:
-        return np.bitwise_count(self.points[ids] ^ vantage).astype(np.int64)
-
-    def _within(self, ids: np.ndarray) -> None:
-        if len(ids) <= self.leaf:
-            if len(ids) > 1:
-                self._compare(ids, ids)
-            return
-        away = self._split(ids, self.points[ids[len(ids) // 2]])
-        ring = int(np.median(away))
-        inner, outer = away <= ring, away > ring
-        if not outer.any():
+            self._connect(part[i], b[j])
+
+    def _halves(self, a: np.ndarray, b: np.ndarray | None) -> list[tuple[np.ndarray, ...]] | None:
+        """The branches inside, outside and across the median distance to one of the points; None if one holds nearly all pairs."""
+        groups = (a,) if b is None else (a, b)
+        vantage = self.points[a[len(a) // 2]]
+        away = [np.bitwise_count(self.points[g] ^ vantage).astype(np.int64) for g in groups]
+        whole = np.concatenate(away)
+        ring = int(np.median(whole))
+        if (whole < ring).sum() > (whole > ring).sum():  # the better balance of the two
             ring -= 1
-            inner, outer = away <= ring, away > ring
-        if not inner.any() or not outer.any():
-            self._compare(ids, ids)
-            return
-        self._within(ids[inner])
-        self._within(ids[outer])
-        self._across(ids[inner & (away > ring - self.radius)], ids[outer & (away <= ring + self.radius)])
-
-    def _across(self, a: np.ndarray, b: np.ndarray) -> None:
-        if not len(a) or not len(b):
-            return
-        if len(a) * len(b) <= self.leaf * self.leaf:
-            self._compare(a, b)
-            return
-        away_a, away_b = (self._split(x, self.points[a[len(a) // 2]]) for x in (a, b))
-        ring = int(np.median(np.concatenate((away_a, away_b))))
-        in_a, in_b = away_a <= ring, away_b <= ring
-        if (in_a.all() and in_b.all()) or not (in_a.any() or in_b.any()):
-            self._compare(a, b)
-            return
-        near_a, near_b = (away_a > ring - self.radius), (away_b > ring - self.radius)
-        far_a, far_b = (away_a <= ring + self.radius), (away_b <= ring + self.radius)
-        self._across(a[in_a], b[in_b])
-        self._across(a[~in_a], b[~in_b])
-        self._across(a[in_a & near_a], b[~in_b & far_b])
-        self._across(a[~in_a & far_a], b[in_b & near_b])
-
-
-def _blocks(count: int) -> list[int]:
-    """Masks of ``count`` contiguous bit blocks that cover 64 bits."""
-    edges = [64 * i // count for i in range(count + 1)]
-    return [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
+        pairs = [(g, d <= ring, d > ring - self.radius, d <= ring + self.radius) for g, d in zip(groups, away, strict=True)]
+        inner, outer = [g[low] for g, low, _, _ in pairs], [g[~low] for g, low, _, _ in pairs]
+        # by the triangle inequality a link across has both ends within the radius of the boundary
+        below, above = [g[low & near] for g, low, near, _ in pairs], [g[~low & far] for g, low, _, far in pairs]
+        if b is None:
+            branches = [(inner[0],), (outer[0],), (below[0], above[0])]
+            return branches if 0.1 * len(a) <= len(inner[0]) <= 0.9 * len(a) else None
+        branches = [(inner[0], inner[1]), (outer[0], outer[1]), (below[0], above[1]), (above[0], below[1])]
+        return branches if max(len(x) * len(y) for x, y in branches) <= 0.9 * len(a) * len(b) else None
+
+    def _branches(self, a: np.ndarray, b: np.ndarray | None = None) -> list[tuple[np.ndarray, ...]]:
+        """Links the points within ``a``, or between ``a`` and ``b``, or names the branches in which links may be."""
+        if not len(a) or (len(a) < 2 if b is None else not len(b)) or self._connected(*((a,) if b is None else (a, b))):
+            return []
+        small = len(a) <= self.leaf if b is None else len(a) * len(b) <= 4 * self.leaf * self.leaf
+        branches = None if small else self._halves(a, b)
+        if branches is None:
+            self._compare(a, a if b is None else b)
+            return []
+        self.splits += 1
+        return branches
+
+
+def _masks(bits: Sequence[int], count: int) -> list[int]:
+    """Masks of ``count`` runs of nearly equal size that cover the given bits."""
+    edges = [len(bits) * i // count for i in range(count + 1)]
+    return [sum(1 << b for b in bits[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
 
 
 def _signed(value: int) -> int:
@@ -187,39 +192,62 @@ def _plan(points: int, radius: int, shard: int) -> tuple[int, int]:
     return blocks, int(min(12 * (blocks - radius), np.ceil(wanted / 1.8)))
 
 
-def shard_points(points: DataFrame, count: int, radius: int = RADIUS, shard: int = 600) -> DataFrame:
-    """(fp, tree, ring): one row per block set; ring encodes the distances to its vantage points."""
+def _block_sets(count: int, radius: int, shard: int) -> tuple[list[int], int]:
+    """(masks of the block sets, vantage points for each)."""
     blocks, vantages = _plan(count, radius, shard)
-    masks = _blocks(blocks)
+    masks = _masks(range(64), blocks)
+    return [sum(masks[i] for i in chosen) for chosen in combinations(range(blocks), blocks - radius)], vantages
+
+
+def shard_points(points: DataFrame, count: int, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """(fp, tree, ring): one row per block set; ring encodes the distances to its vantage points."""
+    sets, vantages = _block_sets(count, radius, shard)
     trees = []
-    for tree, chosen in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = sum(masks[i] for i in chosen)
-        ring = F.lit(tree).cast("bigint")
+    for tree, mask in enumerate(sets):
+        away = []
         for j in range(vantages):
             vantage = xxhash.xxh64_intdigest(f"{tree}:{j}".encode(), SEED) & mask
-            away = F.bit_count(F.col("fp").bitwiseAND(F.lit(_signed(mask))).bitwiseXOR(F.lit(_signed(vantage))))
-            ring = F.xxhash64(ring, away) if j % 8 == 7 else ring * F.lit(65) + away
+            away.append(F.bit_count(F.col("fp").bitwiseAND(F.lit(_signed(mask))).bitwiseXOR(F.lit(_signed(vantage)))))
+        ring = F.xxhash64(F.lit(tree), *away)
         trees.append(F.struct(F.lit(tree).alias("tree"), ring.alias("ring")))
     spread = points.select("fp", F.explode(F.array(*trees)).alias("at"))
     return spread.select("fp", F.col("at.tree").alias("tree"), F.col("at.ring").alias("ring"))
 
 
-def link_stars(points: DataFrame, count: int, radius: int = RADIUS, shard: int = 600, max_shard: int = 4000) -> DataFrame:
+def _over(spread: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """(keys, n) of the shards over ``most`` points, written."""
+    return cut(spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most), "hot-shards")
+
+
+def cells(points: DataFrame, count: int, radius: int = RADIUS, shard: int = SHARD, max_shard: int = MAX_SHARD) -> tuple[DataFrame, list[str]]:
+    """(rows of fp and cell keys, the keys): every two linked points share a cell of at most about ``max_shard`` points."""
+    spread = shard_points(points, count, radius, shard).withColumn("sub", F.lit(-1))
+    keys = ["tree", "ring"]
+    hot = _over(spread, keys, max_shard)
+    if hot.isEmpty():
+        return spread, keys
+    # once more by blocks of the bits outside the shard's block set: of these, too, one is equal
+    finer = [_masks([b for b in range(64) if not mask >> b & 1], radius + 1) for mask in _block_sets(count, radius, shard)[0]]
+    own = F.get(F.array(*[F.array(*[F.lit(_signed(m)) for m in masks]) for masks in finer]), F.col("tree"))
+    again = F.transform(own, lambda m, i: F.struct(i.alias("sub"), F.xxhash64("ring", i, F.col("fp").bitwiseAND(m)).alias("ring")))
+    once = [F.struct(F.lit(-1).alias("sub"), F.col("ring"))]
+    dealt = spread.drop("sub").join(dimension(hot), keys, "left")
+    dealt = dealt.select("fp", "tree", F.explode(F.when(F.col("n").isNull(), F.array(*once)).otherwise(again)).alias("at"))
+    spread = dealt.select("fp", "tree", F.col("at.ring").alias("ring"), F.col("at.sub").alias("sub"))
+    keys = ["tree", "ring", "sub"]
+    hot = _over(spread, keys, max_shard)
+    if hot.isEmpty():
+        return spread, keys
+    parts = F.ceil(F.col("n") / F.lit(max_shard / 2.0)).cast("bigint")
+    spread = spread.join(dimension(hot), keys, "left")
+    mine = F.coalesce(F.pmod(F.xxhash64("fp", F.lit(7)), parts), F.lit(0))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(parts, F.lit(1)) - 1))
+    spread = spread.select("fp", *keys, mine.alias("mine"), other.alias("other"))
+    return spread.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")}), [*keys, "low", "high"]
+
+
+def link_stars(points: DataFrame, count: int, radius: int = RADIUS, shard: int = SHARD, max_shard: int = MAX_SHARD) -> DataFrame:
     """(a, b): each fingerprint's link to the smallest of its class within a shard, a > b."""
-    spread = shard_points(points, count, radius, shard)
-    sizes = spread.groupBy("tree", "ring").agg(F.count(F.lit(1)).alias("n"))
-    hot = cut(sizes.where(F.col("n") > max_shard), "hot-shards")
-    if hot.limit(1).count():
-        parts = F.ceil(F.col("n") / F.lit(max_shard / 2.0)).cast("bigint")
-        spread = spread.join(hot, ["tree", "ring"], "left")
-        mine = F.coalesce(F.pmod(F.xxhash64("fp", F.lit(7)), parts), F.lit(0))
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(parts, F.lit(1)) - 1))
-        spread = spread.select("fp", "tree", "ring", mine.alias("mine"), other.alias("other"))
-        cell = F.concat_ws(":", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string"))
-        spread = spread.select("fp", "tree", "ring", cell.alias("cell"))
-        keys = ["tree", "ring", "cell"]
-    else:
-        keys = ["tree", "ring"]
 
     def join(group: pa.Table) -> pa.Table:
         fps = np.unique(group.column("fp").to_numpy())
@@ -227,9 +255,23 @@ def link_stars(points: DataFrame, count: int, radius: int = RADIUS, shard: int =
         moved = np.flatnonzero(label != np.arange(len(fps)))
         return pa.table({"a": fps[moved], "b": fps[label[moved]]})
 
+    spread, keys = cells(points, count, radius, shard, max_shard)
     return spread.groupBy(*keys).applyInArrow(join, "a bigint, b bigint")
 
 
+def join_statistics(points: DataFrame, count: int, radius: int = RADIUS, shard: int = SHARD, max_shard: int = MAX_SHARD) -> DataFrame:
+    """(points, splits, compared) of every shard's tree: what ``link_stars`` does, counted."""
+
+    def count_up(group: pa.Table) -> pa.Table:
+        fps = np.unique(group.column("fp").to_numpy())
+        join = VantageJoin(fps, radius)
+        join.classes()
+        return pa.table({"points": [len(fps)], "splits": [join.splits], "compared": [join.compared]})
+
+    spread, keys = cells(points, count, radius, shard, max_shard)
+    return spread.groupBy(*keys).applyInArrow(count_up, "points bigint, splits bigint, compared bigint")
+
+
 def _lowest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
@@ -259,8 +301,8 @@ def near_duplicates(
     text: str = "text",
     radius: int = RADIUS,
     shingle: int = SHINGLE,
-    shard: int = 600,
-    max_shard: int = 4000,
+    shard: int = SHARD,
+    max_shard: int = MAX_SHARD,
 ) -> DataFrame:
     """(key, fingerprint, component_id, copies, linked) for every document.
 
