@@ -894,3 +894,17 @@ def test_op3_dense_classes_are_not_compared_in_full():
     points = np.arange(1 << 13, dtype=np.int64)  # every point has 13 neighbours at one bit
     join = simhash_vp.VantageJoin(points)
     assert (join.classes() == 0).all() and join.compared < 0.2 * len(points) ** 2 and join.splits > 100
+
+
+def test_op1_cascade_of_many_keys_against_a_join(spark):
+    listed = spark.range(60_000).select(F.concat(F.lit("d"), F.col("id") * 7, F.lit(".example.net")).alias("key"))
+    pages = spark.range(3000).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://www."), F.when(F.col("id") % 3 == 0, F.concat(F.lit("d"), F.col("id") * 5, F.lit(".example.net"))).otherwise(F.lit("open.example.com")), F.lit("/x")).alias("url")
+    )
+    repeated = pages.unionByName(pages.where("page_id < 20"))
+    rows = url_cascade.judge_urls(repeated, listed).collect()
+    assert len(rows) == 3020
+    for r in rows:
+        number = r["page_id"] * 5
+        assert r["listed"] == (r["page_id"] % 3 == 0 and number % 7 == 0 and number < 420_000)
+    assert any(r["listed"] for r in rows)

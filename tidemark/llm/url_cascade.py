@@ -8,7 +8,8 @@ them, and a page is judged by bit tests alone: no join, no shuffle of pages.
 
 Only the key universe (distinct host suffixes, pre-aggregated on the map side) is shuffled.
 The bit arrays grow with the *list*, not with the corpus; their size is computed before
-they are gathered and beyond ``max_filter_bytes`` membership falls back to a semi join.
+they are gathered and beyond ``max_filter_bytes`` a level (some 16 million listed keys)
+membership falls back to a semi join, which is exact too.
 
 Edge cases: a null URL or one without ``://`` has empty host and path, no rule and the
 verdict ``allow``; of a very long host only suffixes that the list could hold are tested;
@@ -22,6 +23,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ LISTED_SUFFIXES = ("example.com", "example.net", "example.org")
 LISTED = tuple(f"{label}.{suffix}" for label in LISTED_LABELS for suffix in LISTED_SUFFIXES)
 
 _LOW32 = 0xFFFFFFFF
+#: Bytes of one level's filter, which every task of a scan receives: some 16 million listed keys.
+MAX_FILTER_BYTES = 16 << 20
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -82,7 +86,7 @@ class Level:
     number: int
     bits: int
     hashes: int
-    words: tuple[int, ...]
+    words: np.ndarray
 
 
 def _positions(key: Column, number: int, bits: int, hashes: int) -> Column:
@@ -91,22 +95,15 @@ def _positions(key: Column, number: int, bits: int, hashes: int) -> Column:
     return F.array(*[(low + high * F.lit(i)) % F.lit(bits) for i in range(hashes)])
 
 
-def _words(level: Level) -> Column:
-    """The words as one constant array, folded by the optimizer."""
-    return F.split(F.lit(",".join(map(str, level.words))), ",").cast("array<bigint>")
+def _passes(key: Column, level: Level) -> Column:
+    """All bits of the key are set. The words are one constant array, which a plan holds once for each level."""
+    words = F.lit(level.words)
 
+    def set_at(at: Column) -> Column:
+        word = F.get(words, F.shiftright(at, 6).cast("int"))
+        return F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-def _passes(key: Column, level: Level) -> Column:
-    words = _words(level)
-    hit = F.lit(True)
-    mixed = F.xxhash64(key, F.lit(level.number))
-    low, high = mixed.bitwiseAND(F.lit(_LOW32)), F.shiftrightunsigned(mixed, 32)
-    for i in range(level.hashes):
-        at = (low + high * F.lit(i)) % F.lit(level.bits)
-        word = F.get(words, (at / F.lit(64)).cast("int"))
-        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % F.lit(64)).cast("int"))
-        hit = hit & (word.bitwiseAND(one) != F.lit(0))
-    return hit
+    return F.forall(_positions(key, level.number, level.bits, level.hashes), set_at)
 
 
 def in_cascade(key: Column, levels: Sequence[Level]) -> Column:
@@ -128,18 +125,17 @@ def _build(keys: DataFrame, count: int, number: int, bits_per_key: float) -> Lev
     bits, hashes = _shape(count, bits_per_key)
     at = keys.select(F.explode(_positions(F.col("key"), number, bits, hashes)).alias("at"))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))
-    rows = at.groupBy((F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits")).collect()
-    words = [0] * (bits // 64)
-    for row in rows:  # at most bits / 64 rows, checked by the caller
-        words[row["word"]] = row["bits"]
-    return Level(number, bits, hashes, tuple(words))
+    rows = at.groupBy((F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = np.zeros(bits // 64, dtype=np.int64)  # at most bits / 64 rows, checked by the caller
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return Level(number, bits, hashes, words)
 
 
 def build_cascade(
     universe: DataFrame,
     listed: DataFrame,
     bits_per_key: tuple[float, float] = (8.0, 3.0),
-    max_filter_bytes: int = 4 << 20,
+    max_filter_bytes: int = MAX_FILTER_BYTES,
     max_levels: int = 60,
 ) -> list[Level] | None:
     """Levels that are exact over ``universe`` (column ``key``) and ``listed``; None beyond the size bound."""
@@ -170,7 +166,7 @@ def judge_urls(
     rules: Sequence[tuple[str, str]] = RULES,
     url: str = "url",
     keep: Sequence[str] = ("page_id",),
-    max_filter_bytes: int = 4 << 20,
+    max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
     """``keep``, host, path, rule, verdict and listed (the cascade's answer) for every page."""
     host, path = split_url(F.col(url))
