@@ -80,7 +80,8 @@ def dimension(df: DataFrame, rows: int = 20_000) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the cluster names none (local tests) a temporary one is set.
+    Where none is named, a local master gets a temporary one; on a cluster that is an error,
+    since executors would write to disks of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -88,6 +89,8 @@ def shared_dir(spark: SparkSession) -> str:
         held = context.getCheckpointDir()
         named = held.get() if held.isDefined() else None
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -124,4 +127,12 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._tidemark_path = path
+    return made
+
+
+def release(df: DataFrame) -> None:
+    """Remove what ``cut`` wrote for this very frame; any other frame is left alone."""
+    if path := getattr(df, "_tidemark_path", None):
+        remove_path(df.sparkSession, path)
