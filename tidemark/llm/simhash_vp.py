@@ -304,10 +304,12 @@ def near_duplicates(
     shard: int = SHARD,
     max_shard: int = MAX_SHARD,
 ) -> DataFrame:
-    """(key, fingerprint, component_id, copies, linked) for every document.
+    """(key, fingerprint, component_id, copies, linked, class) for every document.
 
     ``copies`` counts the documents with the same fingerprint, itself included; ``linked``
-    tells whether a different fingerprint is within the radius.
+    tells whether a different fingerprint is within the radius; ``class`` is the smallest
+    fingerprint of the component as a signed number, and unlike the smallest id its own even
+    where documents of several components share an id.
     """
     prints = cut(fingerprints(docs, key, text, shingle), "prints")
     points = cut(prints.groupBy("fp").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("copies")), "points")
@@ -315,26 +317,30 @@ def near_duplicates(
     roots = labels.select(F.col("root").alias("v"), "root").distinct()
     linked = cut(points.join(labels.unionByName(roots).withColumnRenamed("v", "fp"), "fp").select("fp", "root", "least"), "linked")
     named = linked.groupBy("root").agg(F.min("least").alias("name"))
-    classes = linked.join(named, "root").select("fp", "name")
+    classes = linked.join(named, "root").select("fp", "name", "root")
     named_points = points.join(classes.withColumn("linked", F.lit(True)), "fp", "left").select(
-        "fp", F.coalesce("name", "least").alias("component_id"), "copies", F.coalesce("linked", F.lit(False)).alias("linked")
+        "fp", F.coalesce("name", "least").alias("component_id"), "copies", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("root", "fp").alias("class")
     )
     joined = prints.join(named_points, "fp")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return joined.select(key, hexed.alias("fingerprint"), "component_id", "copies", "linked")
+    return joined.select(key, hexed.alias("fingerprint"), "component_id", "copies", "linked", "class")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that a smaller id of their component stands for; all columns stay.
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """One document of each component, that of the smallest id; all columns stay.
 
     Rows without an id name no component and all stay. Texts that share an id are decided one
-    by one, by id and fingerprint; repeated rows of the smallest id all stay.
+    by one: of repeated rows, and of rows of one id and component, the one of smallest
+    fingerprint and contents stays. Up to ``broadcast_rows`` ids of documents to go are
+    broadcast, and no document moves; more are joined by id.
     """
     lost = F.col(key) > F.col("component_id")
     found = near_duplicates(docs, key, text).where(F.col(key).isNotNull())
-    ids = cut(found.groupBy(key).agg(F.bool_or(lost).alias("some"), F.bool_and(lost).alias("every")).where("some"), "losers")
+    found = cut(found.select(key, "fingerprint", "class", lost.alias("lost")), "decisions")
+    ids = found.groupBy(key).agg(F.bool_or("lost").alias("some"), F.bool_and("lost").alias("every"), F.count(F.lit(1)).alias("n"))
+    ids = cut(ids.where("some or n > 1"), "losers")
     own = [f"`{c}`" for c in docs.columns]
-    kept = docs.join(ids.select(key), key, "left_anti").select(*own)
+    kept = docs.join(dimension(ids.select(key), broadcast_rows), key, "left_anti").select(*own)
     mixed = ids.where("not every").select(key)
     if mixed.isEmpty():
         return kept
@@ -342,10 +348,15 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def hexed(texts: pa.Array) -> pa.Array:
         return pa.array([f"{fingerprint(t.as_py()):016x}" for t in texts], pa.string())
 
-    name = "_" * (1 + max(map(len, docs.columns)))  # no column's name
-    again = bounded_batches(docs).join(mixed, key, "left_semi").withColumn(name, F.arrow_udf(hexed, "string")(F.col(text).cast("binary")))
-    losers = found.where(lost).select(key, F.col("fingerprint").alias(name)).distinct()
-    return kept.unionByName(again.join(losers, [key, name], "left_anti").select(*own))
+    name = "_" * (1 + max(map(len, docs.columns)))  # no column's name, nor are longer ones
+    again = bounded_batches(docs).join(dimension(mixed, broadcast_rows), key, "left_semi").select(
+        F.col(key).alias(name), F.struct(*own).alias(f"{name}row"), F.arrow_udf(hexed, "string")(F.col(text).cast("binary")).alias(f"{name}print")
+    )
+    winners = found.where("not lost").select(F.col(key).alias(name), F.col("fingerprint").alias(f"{name}print"), F.col("class").alias(f"{name}class")).distinct()
+    held = again.join(winners, [name, f"{name}print"])
+    order = F.struct(f"{name}print", F.to_json(f"{name}row"))
+    one = held.groupBy(name, f"{name}class").agg(F.min_by(f"{name}row", order).alias(f"{name}row"))
+    return kept.unionByName(one.select(*[F.col(f"{name}row").getField(c).alias(c) for c in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
