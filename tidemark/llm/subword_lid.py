@@ -8,9 +8,10 @@ holds for the number of languages. Since the
 model is linear after averaging, scoring a text of any length is one histogram of its grams
 times a (buckets x languages) table; long texts are counted in chunks.
 
-Calibrated rejection: part of the sample is set aside, a temperature is fitted on it by
-likelihood, and the threshold is the score below which only ``reject_share`` of the correct
-set-aside rows fall: the stated share of right answers that rejection may cost. Rejected
+Calibrated rejection: every row of the sample is scored by a model that didn't see it (five
+folds), a temperature is fitted on these scores by likelihood, and the threshold is the
+score below which only ``reject_share`` of the correct ones fall: the stated share of right
+answers that rejection may cost. Rejected
 texts keep their best language in ``lang_pred`` and are marked in ``rejected``.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected;
@@ -36,6 +37,7 @@ SAMPLE = 3000
 CHUNK = 1 << 20
 FOLDS, HELD = 4, 2
 REJECT_SHARE = 0.002
+CALIBRATION_FOLDS = 5
 
 
 def has_letter(text: str | None) -> bool:
@@ -99,17 +101,33 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    random = np.random.default_rng(7)
     truth = np.searchsorted(languages, labels)
-    order = random.permutation(len(truth))
-    aside, own = order[: len(order) // 5], order[len(order) // 5 :]
-    if not len(aside):
-        aside = own
-    weight = 1.0 / np.maximum(1, np.bincount(truth[own], minlength=len(languages)))
+    classes, rows = len(languages), np.arange(len(truth))
+    fold_of = np.random.default_rng(5).permutation(len(truth)) % CALIBRATION_FOLDS
+    logits = np.zeros((len(truth), classes))
+    for fold in range(CALIBRATION_FOLDS):
+        aside, own = rows[fold_of == fold], rows[fold_of != fold]
+        if len(aside):
+            merged, bias = _descend(shares, truth, own if len(own) else aside, classes, dim, epochs, rate)
+            logits[aside] = shares[aside] @ merged + bias
+    grid = np.geomspace(0.2, 5, 41)
+    losses = [-np.log(softmax(logits / t)[rows, truth] + 1e-12).mean() for t in grid]
+    temperature = float(grid[int(np.argmin(losses))])
+    chances = softmax(logits / temperature)
+    sure = chances.max(axis=1)[np.argmax(chances, axis=1) == truth]
+    threshold = float(np.quantile(sure, reject_share)) if len(sure) else 0.0
+    merged, bias = _descend(shares, truth, rows, classes, dim, epochs, rate)
+    return LanguageModel(languages, merged, bias, temperature, threshold)
+
+
+def _descend(shares: np.ndarray, truth: np.ndarray, own: np.ndarray, classes: int, dim: int, epochs: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """(embeddings times output weights, bias) after mini-batch descent on the rows ``own``."""
+    random = np.random.default_rng(7)
+    weight = 1.0 / np.maximum(1, np.bincount(truth[own], minlength=classes))
     weight /= weight[truth[own]].mean()
     embed = np.zeros((BUCKETS, dim), dtype=np.float32)  # grams never seen say nothing
-    out = random.normal(0, 0.3, (dim, len(languages))).astype(np.float32)
-    bias = np.zeros(len(languages), dtype=np.float32)
+    out = random.normal(0, 0.3, (dim, classes)).astype(np.float32)
+    bias = np.zeros(classes, dtype=np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         shuffled = random.permutation(own)
@@ -124,16 +142,7 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
             out -= step * (hidden.T @ error)
             bias -= step * error.sum(axis=0)
             embed -= step * 20 * (x.T @ back)  # a bucket's share is small; its own larger rate
-    merged = (embed @ out).astype(np.float64)
-    logits = shares[aside] @ merged + bias
-    grid = np.geomspace(0.2, 5, 41)
-    losses = [-np.log(softmax(logits / t)[np.arange(len(aside)), truth[aside]] + 1e-12).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(losses))])
-    chances = softmax(logits / temperature)
-    right = np.argmax(chances, axis=1) == truth[aside]
-    sure = chances.max(axis=1)[right]
-    threshold = float(np.quantile(sure, reject_share)) if len(sure) else 0.0
-    return LanguageModel(languages, merged, bias.astype(np.float64), temperature, threshold)
+    return (embed @ out).astype(np.float64), bias.astype(np.float64)
 
 
 def labelled_sample(docs: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
