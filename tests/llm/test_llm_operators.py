@@ -720,7 +720,8 @@ def test_op5_gradient_steps_lower_the_loss_and_calibration_is_a_quantile():
     right = chances.argmax(axis=1) == truth
     assert right.mean() > 0.95
     lost = (chances.max(axis=1)[right] < model.threshold).mean()
-    assert 0.03 < lost < 0.2  # 0.1 of the right answers
+    assert lost < 0.13  # at most 0.1 of the right answers, but for chance
+    assert model.threshold < subword_lid.fit(shares, [("aa", "bb", "cc")[k] for k in truth], reject_share=0.5).threshold
     # the merged table is what a plain softmax regression from the same averages would score
     for row in range(5):
         raised = [math.exp(sum(shares[row, b] * model.table[b, k] for b in np.flatnonzero(shares[row])) / model.temperature + model.bias[k] / model.temperature) for k in range(3)]

@@ -10,8 +10,8 @@ times a (buckets x languages) table; long texts are counted in chunks.
 
 Calibrated rejection: every row of the sample is scored by a model that didn't see it (five
 folds), a temperature is fitted on these scores by likelihood, and the threshold is the
-score below which only ``reject_share`` of the correct ones fall: the stated share of right
-answers that rejection may cost. Rejected
+score below which only ``reject_share`` of the correct ones fall: the share of right answers
+that rejection may cost (less in fact, as the final model has learned from more rows). Rejected
 texts keep their best language in ``lang_pred`` and are marked in ``rejected``.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected;
