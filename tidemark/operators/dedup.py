@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import is_blank, norm_key, text_hash
+from tidemark.session import cut, dimension
 
 #: A user's next message within the hold is a duplicate; the same text within the window is too.
 HOLD_SECONDS = 3 * 60
@@ -22,24 +23,44 @@ def first_per_text(messages: DataFrame, order: Sequence[str], text: str = "text"
 
     A min-aggregate finds the first row's order key with map-side combination, so a text
     that a third of the corpus repeats costs one row per task, not one sorted group. Texts
-    meet by their SHA-256, so no text is shuffled as a key.
+    meet by their SHA-256. Only texts that occur more than once are looked up again; where
+    they are few (counted) they are broadcast and no text moves.
     """
     key = F.unhex(F.sha2(norm_key(F.col(text)).cast("binary"), 256))
     named = messages.withColumn("__key", key).withColumn("__at", F.struct(*order))
     keys = ["__key", *by]
-    first = named.groupBy(*keys).agg(F.min("__at").alias("__first"))
-    renamed = first.select(*[F.col(k).alias(f"__own_{k}") for k in keys], "__first")
-    same = F.lit(True)
+    firsts = named.groupBy(*keys).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    renamed = cut(firsts.select(*[F.col(k).alias(f"__own_{k}") for k in keys], "__first"), "repeated")
+    later = ~F.col("__at").eqNullSafe(F.col("__first"))
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__own_{k}"))
-    return named.join(renamed, same & F.col("__at").eqNullSafe(F.col("__first")), "left_semi").drop("__key", "__at")
+        later = later & F.col(k).eqNullSafe(F.col(f"__own_{k}"))
+    return named.join(dimension(renamed, 200_000), later, "left_anti").drop("__key", "__at")
+
+
+def first_values(messages: DataFrame, order: Sequence[str], values: Mapping[str, Column], text: str = "text", by: Sequence[str] = ()) -> DataFrame:
+    """Some values of the first message of each text: all that is needed of it travels, the text doesn't."""
+    key = F.unhex(F.sha2(norm_key(F.col(text)).cast("binary"), 256))
+    slim = messages.select(key.alias("__key"), *by, F.struct(*order).alias("__at"), F.struct(*[v.alias(n) for n, v in values.items()]).alias("__v"))
+    first = slim.groupBy("__key", *by).agg(F.min_by("__v", "__at").alias("__v"))
+    return first.select(*by, "__v.*")
 
 
 def duplicate_probe(messages: DataFrame, key: str, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    """Each message with its text hash and the smallest key that holds the same text (and ``by``)."""
-    hashed = messages.withColumn("text_hash", text_hash(F.col(text)))
-    first = hashed.where(~is_blank(F.col(text))).groupBy("text_hash", *by).agg(F.min(key).alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    return hashed.join(first, ["text_hash", *by], "left")
+    """Each message with its text hash and the smallest key that holds the same text (and ``by``, null matching null).
+
+    Only keys and hashes go through the aggregate; callers drop the text before if they can,
+    by passing a column ``text_hash`` (null for a blank text) in its place.
+    """
+    ready = "text_hash" in messages.columns
+    hashed = messages if ready else messages.withColumn("text_hash", text_hash(F.col(text)))
+    some = F.col("text_hash").isNotNull() if ready else ~is_blank(F.col(text))
+    names = ["text_hash", *by]
+    grouped = hashed.where(some).groupBy(*names).agg(F.min(key).alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    first = grouped.select(*[F.col(n).alias(f"__own_{n}") for n in names], "first_id", "copies")
+    same = F.col("text_hash") == F.col("__own_text_hash")
+    for n in by:
+        same = same & F.col(n).eqNullSafe(F.col(f"__own_{n}"))
+    return hashed.join(first, same, "left").drop(*[f"__own_{n}" for n in names])
 
 
 def _step(hold: int, window: int):

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import is_blank
+from tidemark.session import dimension
+
 
 def ratio(part: Column, whole: Column, digits: int = 4) -> Column:
     """Rounded share, 0 where there is nothing to divide by."""
@@ -43,15 +48,24 @@ def verdict_summary(rows: DataFrame, verdict: str = "verdict") -> DataFrame:
 
 
 def usage(calls: DataFrame, stage: str, units: str, prices: DataFrame | None = None, model: str = "model") -> DataFrame:
-    """Calls, units and cost per stage and in total; models without a price cost 0."""
-    priced = calls.withColumn("price", F.lit(1.0)) if prices is None else calls.join(F.broadcast(prices.limit(10_000)), model, "left")
+    """Calls, units and cost per stage and in total; models without a price cost 0, of several prices the highest counts."""
+    priced = calls.withColumn("price", F.lit(1.0)) if prices is None else calls.join(dimension(prices.groupBy(model).agg(F.max("price").alias("price"))), model, "left")
     cost = F.col(units) * F.coalesce("price", F.lit(0.0))
     totals = priced.withColumn("__cost", cost).rollup(stage).agg(F.grouping(stage).alias("__all"), F.count(F.lit(1)).alias("calls"), F.sum(units).alias("units"), F.sum("__cost").alias("cost"))
     return totals.select(F.when(F.col("__all") == 1, F.lit("TOTAL")).otherwise(F.col(stage)).alias("stage"), "calls", "units", "cost")
 
 
-def corpus_stats(rows: DataFrame, at: str, user: str) -> DataFrame:
-    return rows.agg(F.count(F.lit(1)).alias("messages"), F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count_distinct(user).alias("users"))
+def graded(decisions: DataFrame, truth: DataFrame, order: Sequence[str], key: str = "message_id", predicted: str = "is_lead", actual: str = "actual") -> DataFrame:
+    """Confusion of decisions and truth by key; of repeated decisions the last by ``order`` counts."""
+    last = decisions.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(predicted, F.struct(*order, predicted)).alias("__p"))
+    known = truth.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(actual).alias("__a"))
+    return confusion(last.join(known, key), F.coalesce("__p", F.lit(False)), F.coalesce("__a", F.lit(False)))
+
+
+def corpus_stats(rows: DataFrame, at: str, user: str, name: str | None = None) -> DataFrame:
+    """Messages, first and last time, distinct users and, of a name column, distinct names that aren't blank."""
+    names = [F.count_distinct(F.when(~is_blank(F.col(name)), F.col(name))).alias("names")] if name else []
+    return rows.agg(F.count(F.lit(1)).alias("messages"), F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count_distinct(user).alias("users"), *names)
 
 
 def top_items(rows: DataFrame, items: Column, n: int = 5) -> DataFrame:

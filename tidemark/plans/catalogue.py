@@ -60,9 +60,9 @@ FROM firsts WHERE rn = 1 GROUP BY lang""",
 )
 def flagship_gate(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang").where(gates.long_enough(F.col("text")))
-    first = dedup.first_per_text(docs, ["doc_id"])
     passed = text.contains_any(F.col("text"), TERMS) | text.contains_any(F.col("text"), SIGNALS)
-    return first.groupBy("lang").agg(F.count(F.lit(1)).alias("messages"), F.count_if(passed).alias("passed"))
+    first = dedup.first_values(docs, ["doc_id"], {"lang": F.col("lang"), "passed": passed})
+    return first.groupBy("lang").agg(F.count(F.lit(1)).alias("messages"), F.count_if("passed").alias("passed"))
 
 
 @query("length_author_gate", f"SELECT doc_id FROM documents WHERE length({STRIP.format('text')}) >= 20 AND coalesce(source NOT IN ('src1', 'src3'), true)")
@@ -154,9 +154,11 @@ def cascade_first_match(spark, d):
 SELECT doc_id, CASE WHEN first < doc_id THEN 'duplicate' WHEN source IN ('src2') THEN 'banned' WHEN {any_of('lower(text)', SIGNALS)} THEN 'scam' WHEN {any_of('lower(text)', STOP)} THEN 'blocked' ELSE 'classify' END AS disposition FROM f""",
 )
 def gate_chain_disposition(spark, d):
-    docs = dedup.duplicate_probe(table(spark, d, "documents").select("doc_id", "text", "source"), "doc_id")
     low = F.col("text")
-    made = pipelines.disposition(docs, F.col("first_id") < F.col("doc_id"), F.col("source") == "src2", text.contains_any(low, SIGNALS), text.contains_any(low, STOP))
+    flags = {"scam": text.contains_any(low, SIGNALS), "stop": text.contains_any(low, STOP), "text_hash": text.text_hash(low)}
+    slim = table(spark, d, "documents").select("doc_id", "source", *[v.alias(n) for n, v in flags.items()])  # the text stays behind
+    docs = dedup.duplicate_probe(slim, "doc_id")
+    made = pipelines.disposition(docs, F.col("first_id") < F.col("doc_id"), F.col("source") == "src2", F.col("scam"), F.col("stop"))
     return made.select("doc_id", "disposition")
 
 
@@ -165,12 +167,13 @@ def gate_chain_disposition(spark, d):
 
 @query("exact_dedup_first", f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY lower({STRIP.format('text')})")
 def exact_dedup_first(spark, d):
-    return dedup.first_per_text(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id")
+    return dedup.first_values(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], {"doc_id": F.col("doc_id")})
 
 
 @query("exact_dedup_by_author", f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY source, lower({STRIP.format('text')})")
 def exact_dedup_by_author(spark, d):
-    return dedup.first_per_text(table(spark, d, "documents").select("doc_id", "text", "source"), ["doc_id"], by=["source"]).select("doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    return dedup.first_values(docs, ["doc_id"], {"doc_id": F.col("doc_id")}, by=["source"]).select("doc_id")
 
 
 HASHED = f"md5(lower({STRIP.format('text')}))"
@@ -194,7 +197,7 @@ def _events(spark, d):
 
 @query(
     "dedup_state_machine",
-    """WITH RECURSIVE rows AS (
+    STATE_MACHINE := """WITH RECURSIVE rows AS (
   SELECT event_id, user_id, md5(event_type) AS h, CAST(floor(epoch(ts)) AS BIGINT) AS sec, row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)), event_id) AS rn FROM events
 ), fold AS (
   SELECT event_id, user_id, rn, 'keep' AS verdict, h AS sh, sec AS sat FROM rows WHERE rn = 1
@@ -211,13 +214,20 @@ def dedup_state_machine(spark, d):
     return dedup.user_dedup(_events(spark, d), "event_id", "user_id", "event_type", "at", hold=180 * 60)
 
 
-@query("dedup_stream")
+def _stream_path(spark, d, name: str) -> str:
+    """A stream reads folders or patterns: a table of one file is matched by a pattern that fits nothing else."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{d}/{name}.parquet")
+    single = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
+    return f"{d}/{name}.parque[t]" if single else f"{d}/{name}.parquet"
+
+
+@query("dedup_stream", STATE_MACHINE)
 def dedup_stream(spark, d):
     """The streaming twin over the same events, one available-now run into the shared folder."""
     from tidemark.session import scratch_path
     from tidemark.streaming.dedup import dedup_stream as streamed
 
-    source = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    source = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events"))
     rows = source.withColumn("at", F.unix_timestamp(F.col("ts").cast("timestamp")))
     out = scratch_path(spark, "stream")
     made = streamed(rows, "event_id", "user_id", "event_type", "at", hold=180 * 60)
@@ -481,12 +491,12 @@ _DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1]::DOUBLE * p[2
 
 @query(
     "rag_topk",
-    f"""WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id < 10),
+    f"""WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
 d AS (SELECT query_id, label, vec_id, 1 - {_DOT.format(a='q.e', b='x.embedding')} / (sqrt({_DOT.format(a='q.e', b='q.e')}) * sqrt({_DOT.format(a='x.embedding', b='x.embedding')})) AS dist FROM q, embeddings x)
 SELECT query_id, label, vec_id, CAST(row_number() OVER (PARTITION BY query_id, label ORDER BY dist, vec_id) AS INT) AS rank FROM d QUALIFY rank <= 2""",
 )
 def rag_topk(spark, d):
-    """Every row whose id is divisible by 20 is a query; the SQL holds ten others and so can't confirm it."""
+    """Every row whose id is divisible by 20 is a query."""
     index = table(spark, d, "embeddings")
     return retrieve.nearest_of_all(spread(index), index.where("vec_id % 20 = 0"), per_label=2)
 
@@ -592,9 +602,9 @@ def fusion_vote(spark, d):
 
 @query(
     "fusion_merge",
-    """WITH p AS (SELECT conv_id, turn, role, CASE WHEN turn % 4 = 3 THEN 'error' ELSE 'ok' END AS status, turn + 0.5 AS confidence FROM conversations WHERE turn < 8),
-u AS (SELECT conv_id, turn, unnest([role, 'g' || turn % 2]) AS g, unnest([0, 1]) AS sub FROM p WHERE status = 'ok'),
-f AS (SELECT conv_id, g, min(turn * 10 + sub) AS pos FROM u GROUP BY conv_id, g)
+    """WITH p AS (SELECT conv_id, turn, role, CASE WHEN turn % 4 = 3 THEN 'error' ELSE 'ok' END AS status, turn + 0.5 AS confidence FROM conversations),
+u AS (SELECT conv_id, turn, role, unnest([role, 'g' || turn % 2]) AS g, unnest([0, 1]) AS sub FROM p WHERE status = 'ok'),
+f AS (SELECT conv_id, g, min((turn, role, sub)) AS pos FROM u GROUP BY conv_id, g)
 SELECT conv_id, geo, rationale, confidence FROM
 (SELECT conv_id, string_agg(g, ',' ORDER BY pos) AS geo FROM f GROUP BY conv_id) JOIN
 (SELECT conv_id, string_agg(turn || '.5 (' || role || '): r', ' | ' ORDER BY turn, role) AS rationale, round(avg(confidence), 3) AS confidence FROM p WHERE status = 'ok' GROUP BY conv_id) USING (conv_id)""",
@@ -761,11 +771,11 @@ _NORM = "trim(regexp_replace(lower({}), '[^a-zA-Z0-9Ѐ-ӿ]+', ' ', 'g'), ' ')"
 
 @query(
     "quote_support",
-    f"""WITH q AS (SELECT item_id, {_NORM.format('text')} AS q FROM benchmark WHERE item_id < 3), t AS (SELECT doc_id, {_NORM.format('text')} AS t FROM documents)
+    f"""WITH q AS (SELECT item_id, {_NORM.format('text')} AS q FROM benchmark), t AS (SELECT doc_id, {_NORM.format('text')} AS t FROM documents)
 SELECT doc_id, item_id, contains(t, q) OR (length(q) >= 25 AND len(list_filter(range(1, length(q) - 23), lambda i: contains(t, substr(q, i, 25)))) > 0) AS supported FROM t, q""",
 )
 def quote_support(spark, d):
-    """Every document against every benchmark item; the SQL holds the first three items and so can't confirm it."""
+    """Every document against every benchmark item."""
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return quotes.supported(docs, table(spark, d, "benchmark"))
 

@@ -10,19 +10,37 @@ from pyspark.sql import functions as F
 from tidemark.session import cut
 
 
-def latest_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last by ``order``; a null in any key never conflicts, so those rows all stay.
-
-    A max-aggregate over structs combines on the map side, so a hot key is no hot task.
-    """
+def _whole(keys: Sequence[str]) -> Column:
+    """No key is null; a null in any key never conflicts with anything."""
     whole = F.lit(True)
     for key in keys:
         whole = whole & F.col(key).isNotNull()
+    return whole
+
+
+def _ranked(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns in a form that can be compared: maps as JSON."""
+    kinds = dict(rows.dtypes)
+    return [F.to_json(F.struct(F.col(c))) if "map<" in kinds[c] else F.col(c) for c in columns]
+
+
+def _one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
+    """One row of each whole key, by ``order``, ties by all other columns; rows with a null in a key all stay.
+
+    An aggregate over structs combines on the map side, so a hot key is no hot task.
+    """
     rest = [c for c in rows.columns if c not in keys and c not in order]
-    packed = F.struct(*order, *rest)
-    best = rows.where(whole).groupBy(*keys).agg(F.max_by(packed, F.struct(*order)).alias("__r"))
+    if not order and not rest:
+        return rows.where(_whole(keys)).distinct().unionByName(rows.where(~_whole(keys)))
+    rank = F.struct(*_ranked(rows, [*order, *rest]))
+    best = rows.where(_whole(keys)).groupBy(*keys).agg(pick(F.struct(*order, *rest), rank).alias("__r"))
     merged = best.select(*[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in rows.columns])
-    return merged.unionByName(rows.where(~whole))
+    return merged.unionByName(rows.where(~_whole(keys)))
+
+
+def latest_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the last by ``order`` and then by all other columns, so reruns agree."""
+    return _one_per_key(rows, keys, order, F.max_by)
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,22 +49,65 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequ
     return latest_wins(marked, keys, ["__new", *order]).drop("__new")
 
 
-def update_columns(target: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Rows whose key the delta holds get its values for some columns; nothing is inserted."""
-    new = delta.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns])
-    joined = target.join(new, F.col(key) == F.col("__key"), "left")
-    hit = F.col("__key").isNotNull()
-    return joined.select(*[F.when(hit, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])
+def _joined(target: DataFrame, delta: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The target's rows with some columns taken from the delta, which has one row per key."""
+    new = delta.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *[F.col(c).alias(f"__new_{c}") for c in columns], F.lit(True).alias("__hit"))
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"__key_{key}"))
+    joined = target.join(new, same, "left")
+    return joined.select(*[F.when(F.col("__hit"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])
+
+
+def update_columns(target: DataFrame, delta: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Rows whose key the delta holds get its values for some columns; nothing is inserted.
+
+    Of repeated delta keys the last by ``order`` counts, so no target row is multiplied.
+    """
+    last = latest_wins(delta.select(key, *dict.fromkeys([*order, *columns])).where(F.col(key).isNotNull()), [key], order)
+    return _joined(target, last, [key], columns)
+
+
+def narrow_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """On a conflict only ``columns`` are overwritten; rows without one are inserted whole. A null key never conflicts."""
+    last = latest_wins(delta, keys, order)
+    fresh = last.join(target.select(*keys), list(keys), "left_anti").select(*delta.columns)
+    return _joined(target, last.where(_whole(keys)), keys, columns).unionByName(fresh, allowMissingColumns=True)
 
 
-def insert_if_absent(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The delta's rows whose key the target lacks, one per key."""
-    return delta.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+def insert_if_absent(target: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The delta's rows whose key the target lacks, the first per whole key; rows with a null key all go in."""
+    return _one_per_key(delta, keys, order, F.min_by).join(target.select(*keys), list(keys), "left_anti").select(*delta.columns)
 
 
 def replace_table(frame: DataFrame, path: str) -> None:
-    """Overwrite a table that ``frame`` may read from: staged in the shared folder first."""
-    cut(frame, "staged").write.mode("overwrite").parquet(path)
+    """Overwrite a table that ``frame`` may read from.
+
+    The new table is written beside the old one and takes its name by renames; a crash between
+    them leaves both whole under ``path`` + ``.next`` and ``.old``.
+    """
+    spark = frame.sparkSession
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + end) for end in ("", ".next", ".old")]
+    system = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    frame.write.mode("overwrite").parquet(path + ".next")
+    system.delete(paths[2], True)
+    if system.exists(paths[0]) and not system.rename(paths[0], paths[2]):
+        raise OSError(f"cannot move {path} aside")
+    if not system.rename(paths[1], paths[0]):
+        raise OSError(f"cannot rename {path}.next")
+    system.delete(paths[2], True)
+
+
+def merge_buckets(delta: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> None:
+    """Upsert into a table partitioned by a hash of its keys: only partitions that the delta touches are rewritten."""
+    spark = delta.sparkSession
+    marked = delta.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = [r[0] for r in marked.select("bucket").distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return
+    base = spark.read.parquet(path).where(F.col("bucket").isin(touched)) if _exists(spark, path) else marked.limit(0)
+    merged = cut(upsert(base, marked, keys, order), "merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def pending(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -75,7 +136,7 @@ def export_glossary(terms: DataFrame, path: str, least: float = 0.0, first_sense
 
 
 def marked_csv(rows: DataFrame, path: str) -> None:
-    """Semicolons, every value quoted; new lines as bars, lists joined."""
+    """Semicolons, every value quoted; new lines as bars, lists joined; files begin with a byte order mark."""
     columns = []
     for name, kind in rows.dtypes:
         value = F.array_join(F.col(name).cast("array<string>"), "; ") if kind.startswith("array") else F.col(name).cast("string")
