@@ -112,7 +112,7 @@ def test_replies_and_prior(spark):
 def test_definitions_and_brands(spark):
     rows = spark.createDataFrame([(1, "FTD (first time deposit) ok"), (2, "ftd: First Time deposit!"), (3, "FTD means a new payer."), (4, "xFTD means nothing at all"), (5, "FTD = cash")], "id bigint, text string")
     got = [(r["pattern"], r["definition"]) for r in mining.self_definitions(rows, ["FTD"], "id").orderBy("id").collect()]
-    assert got == [("parenthetical", "first time deposit"), ("colon", "First Time deposit!"), ("means", "a new payer")]
+    assert got == [("parenthetical", "first time deposit"), ("colon", "First Time deposit!"), ("en_means", "a new payer")]
     urls = spark.createDataFrame([("see Stripe.com and stripe.io, STRIPE.com",), ("Stripe.com",)], "text string")
     made = mining.mine_brands(urls, {"domain": r"\b([a-zA-Z][\w\-]{2,28})\.(?:com|io)\b"}).collect()
     assert [(r["brand"], r["frequency"], r["contexts"]) for r in made] == [("Stripe", 4, {"domain": 4})]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import bound, form_pattern, norm_key, quoted, token_kind, token_norm, tokens, ustrip
+from tidemark.operators.sampling import sample_order
+from tidemark.patterns import DEFINITIONS, ready
 
 
 def message_tokens(messages: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -57,7 +59,7 @@ def hash_examples(units: DataFrame, per_term: int = 25, seed: int = 42) -> DataF
     ``units`` is (id, norm). Candidates are thinned within hash buckets first, so a term that
     most messages hold is never sorted in one task.
     """
-    one = units.select("norm", "id").distinct().withColumn("at", F.xxhash64("id", F.lit(seed)))
+    one = units.select("norm", "id").distinct().withColumn("at", sample_order("id", seed))
     bucket = Window.partitionBy("norm", F.pmod(F.col("id"), F.lit(64))).orderBy("at", "id")
     near = one.withColumn("r", F.row_number().over(bucket)).where(F.col("r") <= per_term)
     whole = Window.partitionBy("norm").orderBy("at", "id")
@@ -67,16 +69,22 @@ def hash_examples(units: DataFrame, per_term: int = 25, seed: int = 42) -> DataF
 def gazetteer_scan(messages: DataFrame, entries: Sequence[Mapping], key: str, text: str = "text", least: int = 1) -> DataFrame:
     """(term, kind, frequency, surface_forms) of curated entries; one message counts once, under its first form.
 
-    Each entry is a chain of patterns evaluated in the scan; only hits are exploded, so
-    there is no join of messages with terms.
+    A text is searched for the forms as plain substrings first, in one expression however many
+    there are; only forms found are tried as patterns, and only hits are exploded.
     """
-    hits = []
-    for entry in entries:
-        found = F.lit(None).cast("string")
-        for form in reversed(entry["forms"]):
-            found = F.when(F.rlike(F.col(text), F.lit(form_pattern(form))), F.lit(form)).otherwise(found)
-        hits.append(F.struct(F.lit(entry["canonical"]).alias("term"), F.lit(f"gazetteer:{entry['category']}").alias("kind"), found.alias("form")))
-    rows = messages.select(F.explode(F.array(*hits)).alias("h")).where("h.form is not null").select("h.*")
+    forms = [(e["canonical"], f"gazetteer:{e['category']}", form) for e in entries for form in e["forms"]]
+    known = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(k).alias("kind"), F.lit(f).alias("form"), F.lit(f.lower()).alias("low"), F.lit(form_pattern(f)).alias("pattern")) for t, k, f in forms])
+
+    def verified(low: Column) -> Column:
+        near = F.filter(known, lambda e: F.contains(low, e["low"]))
+        return F.filter(near, lambda e: F.rlike(F.col(text), e["pattern"]))
+
+    def first_of_each(found: Column) -> Column:
+        terms = F.transform(found, lambda e: e["term"])
+        return F.filter(found, lambda e, i: F.array_position(terms, e["term"]) == i + 1)
+
+    hits = bound(bound(F.lower(F.coalesce(F.col(text), F.lit(""))), verified), first_of_each)
+    rows = messages.select(F.explode(hits).alias("h")).select("h.term", "h.kind", "h.form")
     counted = rows.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("frequency"), F.array_sort(F.collect_set("form")).alias("surface_forms"))
     return counted.where(F.col("frequency") >= least)
 
@@ -114,31 +122,25 @@ def mine_brands(messages: DataFrame, patterns: Mapping[str, str], text: str = "t
     return names.join(contexts, "key").select("brand", "frequency", "contexts")
 
 
-#: (label, pattern around {term}, capturing the definition); most specific first.
-DEFINITIONS = (
-    ("means", r"(?iu)(?<![\p{{L}}\p{{N}}_]){term}(?![\p{{L}}\p{{N}}_])\s+means\s+([^.\n]{{4,140}})"),
-    ("stands_for", r"(?iu)(?<![\p{{L}}\p{{N}}_]){term}(?![\p{{L}}\p{{N}}_])\s+stands\s+for\s+([^.\n]{{4,140}})"),
-    ("parenthetical", r"(?iu)(?<![\p{{L}}\p{{N}}_]){term}(?![\p{{L}}\p{{N}}_])\s*\(\s*([^()]{{4,120}}?)\s*\)"),
-    ("equals", r"(?iu)(?<![\p{{L}}\p{{N}}_]){term}(?![\p{{L}}\p{{N}}_])\s*=\s*([^.\n]{{4,140}})"),
-    ("colon", r"(?iu)(?<![\p{{L}}\p{{N}}_]){term}(?![\p{{L}}\p{{N}}_])\s*:\s*([A-Za-zЀ-ӿ][^.\n]{{4,140}})"),
-)
-
-
-def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text: str = "text", templates=DEFINITIONS, per_term: int = 3) -> DataFrame:
+def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text: str = "text", templates: Sequence[tuple[str, str]] = DEFINITIONS, per_term: int = 3) -> DataFrame:
     """(term, definition, pattern, id): the first distinct inline definitions of each term.
 
-    Order is message, then template. Equal definitions meet first (min-aggregate); the
-    survivors per term are few.
+    Order is message, then template. A text is searched for the terms as substrings, and only
+    (text, term) pairs found meet the templates. Equal definitions meet first (min-aggregate);
+    the survivors per term are few.
     """
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    structs = []
-    for term in terms:
-        for at, (label, template) in enumerate(templates):
-            hit = F.regexp_extract(F.col(text), template.format(term=quoted(term)), 1)
-            value = F.when(F.contains(low, F.lit(term.lower())), hit).otherwise(F.lit(""))
-            structs.append(F.struct(F.lit(term).alias("term"), F.lit(at).alias("at"), F.lit(label).alias("pattern"), value.alias("definition")))
-    found = F.filter(F.array(*structs), lambda s: s["definition"] != "")
-    rows = messages.select(F.col(key).alias("id"), F.explode(found).alias("s")).select("id", "s.*")
+    known = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(t.lower()).alias("low"), F.lit(quoted(t)).alias("quoted")) for t in terms])
+    asked = [(at, label, ready([template.replace("{{", "{").replace("}}", "}")])[0]) for at, (label, template) in enumerate(templates)]
+    patterns = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(label).alias("pattern"), F.lit(p).alias("template")) for at, label, p in asked])
+    near = bound(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda low: F.filter(known, lambda t: F.contains(low, t["low"])))
+    pairs = messages.select(F.col(key).alias("id"), F.col(text).alias("said"), F.explode(near).alias("t"))
+
+    def tried(t: Column) -> Column:
+        hit = F.call_function("regexp_extract", F.col("said"), F.replace(t["template"], F.lit("{term}"), F.col("t.quoted")), F.lit(1))
+        return F.struct(t["at"].alias("at"), t["pattern"].alias("pattern"), hit.alias("definition"))
+
+    found = F.filter(F.transform(patterns, tried), lambda s: s["definition"] != "")
+    rows = pairs.select("id", "t.term", F.explode(found).alias("s")).select("id", "term", "s.*")
     rows = rows.withColumn("definition", clean_definition(F.col("definition"))).where(F.length("definition") >= 4)
     first = rows.groupBy("term", F.lower("definition").alias("low")).agg(F.min(F.struct("id", "at", "pattern", "definition")).alias("m"))
     ranked = first.select("term", "m.*").withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy("id", "at", "definition")))
@@ -146,28 +148,41 @@ def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text:
 
 
 def clean_definition(value: Column) -> Column:
-    """Outer punctuation and a closing parenthesis clause dropped."""
-    bare = F.regexp_replace(ustrip(value), r"^[.,;:—\-– \t]+|[.,;:—\-– \t]+$", "")
-    return F.regexp_replace(bare, r"\s*\([^)]*\)\s*$", "")
+    """Without punctuation at either end, and without a remark in parentheses that closes it."""
+    bare = F.btrim(ustrip(value), F.lit(".,;:—-– \t"))
+    remark = F.regexp_extract(bare, r"\s*\([^)]*\)\s*$", 0)
+    return F.substring(bare, F.lit(1), F.length(bare) - F.length(remark))
 
 
-def cluster(terms: DataFrame, lemma: Column | None = None) -> DataFrame:
-    """(cluster, term, kind, frequency, surface_forms): candidates merged by lemma key.
+def cluster(terms: DataFrame, lemma: Column | None = None, examples: int = 30) -> DataFrame:
+    """(cluster, term, kind, frequency, surface_forms[, examples]): candidates merged by lemma key.
 
     The default key is the lower-cased, stripped term. The most frequent member names the
-    cluster; differing kinds make a phrase.
+    cluster; differing kinds make a phrase; forms that differ in case alone are one, in the
+    first member's spelling. Where members have ``examples`` (message ids), the first distinct
+    ones of the cluster are kept, at most ``examples``.
     """
     key = norm_key(F.col("term")) if lemma is None else lemma
     rank = F.struct(F.col("frequency").alias("f"), F.col("term").alias("t"))
-    members = F.reverse(F.array_sort(F.collect_list(F.struct("frequency", "term", "surface_forms"))))
-    spelled = F.flatten(F.transform(members, lambda m: F.concat(F.array(m["term"]), m["surface_forms"])))
+    with_examples = "examples" in terms.columns
+    members = F.reverse(F.array_sort(F.collect_list(F.struct("frequency", "term", "surface_forms", *(["examples"] if with_examples else [])))))
     merged = terms.groupBy(key.alias("cluster")).agg(
         F.max_by("term", rank).alias("term"),
         F.when(F.count_distinct("kind") == 1, F.min("kind")).otherwise("phrase").alias("kind"),
         F.sum("frequency").alias("frequency"),
-        F.array_sort(F.array_distinct(F.transform(spelled, F.lower))).alias("surface_forms"),
+        members.alias("__m"),
     )
-    return merged
+    spelled = F.filter(F.flatten(F.transform("__m", lambda m: F.concat(F.array(m["term"]), F.coalesce(m["surface_forms"], F.array().cast("array<string>"))))), lambda s: s != "")
+    merged = merged.withColumn("surface_forms", bound(spelled, _first_spellings))
+    if with_examples:
+        kept = F.array_distinct(F.flatten(F.transform("__m", lambda m: F.coalesce(m["examples"], F.array().cast(dict(terms.dtypes)["examples"])))))
+        merged = merged.withColumn("examples", F.slice(kept, 1, examples))
+    return merged.drop("__m")
+
+
+def _first_spellings(forms: Column) -> Column:
+    low = F.transform(forms, F.lower)
+    return F.filter(forms, lambda f, i: F.array_position(low, F.lower(f)) == i + 1)
 
 
 def pooled(*pools: DataFrame) -> DataFrame:

@@ -36,13 +36,19 @@ def answered_yes(raw: Column) -> Column:
     return F.upper(ustrip(F.coalesce(raw, F.lit("")))).startswith("YES")
 
 
-def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "text", fail_open: bool = True) -> DataFrame:
+def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "text", fail_open: bool = True, stage1: str | None = None, extra: str | None = None) -> DataFrame:
     """Length gate, lexical gate, yes/no stage, extraction: one row per message with its ending stage.
 
     Too short -> skipped; gate -> not a lead with confidence 1; stage 1 rejects only exact
-    negatives when ``fail_open`` (else needs a yes); a failed extraction is not a lead with
-    confidence 0; ``lead_type`` survives only for leads.
+    negatives when ``fail_open`` (else needs a yes), or as ``stage1`` names it (see
+    ``classifiers.lets_through``); a failed extraction is not a lead with confidence 0;
+    ``lead_type`` survives only for leads. ``extra`` names one more field of the extraction
+    (name and type), which becomes a column.
     """
+    from tidemark.operators.classifiers import lets_through
+
+    field, kind = extra.split(" ", 1) if extra else (None, None)
+    messages = messages.withColumn(field, F.lit(None).cast(kind)) if extra else messages
     why = F.when(~long_enough(F.col(text)), "skip").when(~gate(F.col(text), pack), "prefilter")
     rows = opened(messages).withColumn("__why", why)
     early = rows.where("__why is not null")
@@ -50,10 +56,10 @@ def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "
     early = early.withColumns({"stage": F.col("__why"), "is_lead": F.lit(False), "confidence": F.lit(1.0), "rationale": told}).drop("__why")
     # what a scorer said is written before it is read twice, so no model is called twice
     live = cut(scorer.score(rows.where("__why is null").drop("__why"), "stage1"), "stage1")
-    rejects = answered_no(F.col("raw")) if fail_open else ~answered_yes(F.col("raw"))
+    rejects = ~lets_through(F.col("raw"), stage1 or ("not_no" if fail_open else "starts_yes"))
     rejected = _closed(live.where(rejects).drop("raw"), "stage1", 1.0, "[stage1: NO]")
     said = cut(scorer.score(live.where(~rejects).drop("raw"), "extract"), "extract")
-    data = F.from_json(json_object(F.col("raw")), "is_lead boolean, confidence string, lead_type string, rationale string")
+    data = F.from_json(json_object(F.col("raw")), "is_lead boolean, confidence string, lead_type string, rationale string" + (f", {extra}" if extra else ""))
     said = said.withColumn("__d", data).drop("raw")
     broken = F.col("__d").isNull() | F.col("__d.is_lead").isNull()
     failed = _closed(said.where(broken).drop("__d"), "error", 0.0, "extraction failed")
@@ -65,6 +71,7 @@ def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "
             "lead_type": F.when(lead, F.col("__d.lead_type")),
             "rationale": F.col("__d.rationale"),
             "stage": F.when(lead, "extracted").otherwise("not_lead"),
+            **({field: F.col(f"__d.{field}")} if extra else {}),
         }
     )
     return early.unionByName(rejected).unionByName(failed).unionByName(decided.drop("__d"))

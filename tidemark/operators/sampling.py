@@ -35,13 +35,25 @@ def systematic(rows: DataFrame, order: Sequence[str | Column], n: int) -> DataFr
     return marked.where(((F.col("rn") - 1) % step == 0) & (F.col("rn") <= step * n)).drop("rn")
 
 
+def sample_order(key: str | Column, seed: int = 42) -> Column:
+    """A repeatable random order that other systems can compute too: the MD5 of seed and key."""
+    value = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat(F.lit(f"{seed}:"), value.cast("string")).cast("binary"))
+
+
 def hashed(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A repeatable random sample of n rows."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(sample_order(key, seed), key).limit(n)
 
 
 def hash_batches(rows: DataFrame, key: str, size: int = 20, batches: int = 30, seed: int = 42) -> DataFrame:
     """A shuffled selection dealt into at most ``batches`` batches of ``size``."""
     chosen = hashed(rows, key, size * batches, seed)
-    at = F.row_number().over(Window.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key))  # size * batches rows
+    at = F.row_number().over(Window.orderBy(sample_order(key, seed), key))  # size * batches rows
     return chosen.withColumn("batch", F.floor((at - 1) / size).cast("int"))
+
+
+def in_order(rows: DataFrame, corpus: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
+    """Rows numbered (``rn``) and sorted as their messages come in the corpus: the order that parallel work lost."""
+    places = numbered(corpus.select(key, *[F.col(o) if isinstance(o, str) else o for o in order if o != key]), order).groupBy(key).agg(F.min("rn").alias("rn"))
+    return rows.join(places, key).orderBy("rn")

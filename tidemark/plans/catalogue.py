@@ -324,7 +324,12 @@ def cluster_merge(spark, d):
     return mining.cluster(_terms(spark, d)).select("cluster", "term", "kind", "frequency")
 
 
-@query("hash_examples")
+@query(
+    "hash_examples",
+    f"""WITH {UNITS}, one AS (SELECT DISTINCT norm, id FROM units WHERE kind = 'acronym'),
+sampled AS (SELECT norm, id, CAST(row_number() OVER (PARTITION BY norm ORDER BY md5('42:' || id), id) AS INT) AS r FROM one)
+SELECT norm, id, r FROM sampled WHERE r <= 25""",
+)
 def hash_examples(spark, d):
     units = mining.message_tokens(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id")
     names = mining.classified(units.select("surface").distinct()).where("kind = 'acronym'").select("surface", "norm")
@@ -368,21 +373,21 @@ def gazetteer_scan(spark, d):
     return made.withColumn("surface_forms", F.array_join("surface_forms", ","))
 
 
-BRANDS = {"domain": r"([a-zA-Z][A-Za-z0-9_\-]{2,28})\.(?:com|io|app|uk|net|co|gg|finance|pay|fi)", "mailbox": r"@([a-zA-Z][A-Za-z0-9_\-]{2,28})\."}
+BRANDS = {"site": r"([A-Za-z][A-Za-z0-9-]+)\.(?:example|org|com|net)", "mailbox": r"@([A-Za-z][A-Za-z0-9-]*)\."}
 
 
 @query(
     "brand_domains",
     f"""WITH hits AS (
-  SELECT 'domain' AS pattern, unnest(regexp_extract_all(url, '{BRANDS['domain']}', 1)) AS b FROM pages
-  UNION ALL SELECT 'mailbox', unnest(regexp_extract_all(url, '{BRANDS['mailbox']}', 1)) FROM pages
+  SELECT 'site' AS pattern, unnest(regexp_extract_all(said, '{BRANDS['site']}', 1)) AS b FROM (SELECT concat_ws(' ', url, html) AS said FROM pages)
+  UNION ALL SELECT 'mailbox', unnest(regexp_extract_all(said, '{BRANDS['mailbox']}', 1)) FROM (SELECT concat_ws(' ', url, html) AS said FROM pages)
 ), rows AS (SELECT pattern, regexp_replace(b, '^[.,;:''" \t-]+|[.,;:''" \t-]+$', '', 'g') AS b FROM hits),
 cells AS (SELECT lower(b) AS k, b, pattern, count(*) AS n FROM rows WHERE length(b) >= 4 AND lower(b) <> 'spam-farm' GROUP BY ALL),
 names AS (SELECT k, arg_max(b, (n, b)) AS brand, CAST(sum(n) AS BIGINT) AS frequency FROM (SELECT k, b, sum(n) AS n FROM cells GROUP BY k, b) GROUP BY k)
 SELECT brand, frequency FROM names""",
 )
 def brand_domains(spark, d):
-    pages = table(spark, d, "pages").select(F.col("url").alias("text"))
+    pages = table(spark, d, "pages").select(F.concat_ws(" ", "url", "html").alias("text"))
     return mining.mine_brands(pages, BRANDS, skip=("Spam-Farm",)).select("brand", "frequency")
 
 
@@ -393,9 +398,9 @@ DEFINED = ("Nation", "Region")
     "self_definitions",
     """WITH src AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'In short: Nation means ' || c_mktsegment || ' of ' || c_nationkey || '.' ELSE 'x Region = area ' || (c_custkey % 11) || ' (big). Nation: ' || c_mktsegment || '!' END AS text FROM customer),
 hits AS (
-  SELECT id, 'Nation' AS term, 0 AS pos, 'means' AS pattern, regexp_extract(text, '(?i)Nation\\s+means\\s+([^.\\n]{4,140})', 1) AS def FROM src
-  UNION ALL SELECT id, 'Nation', 4, 'colon', regexp_extract(text, '(?i)Nation\\s*:\\s*([A-Za-z][^.\\n]{4,140})', 1) FROM src
-  UNION ALL SELECT id, 'Region', 3, 'equals', regexp_extract(text, '(?i)Region\\s*=\\s*([^.\\n]{4,140})', 1) FROM src
+  SELECT id, 'Nation' AS term, 6 AS pos, 'en_means' AS pattern, regexp_extract(text, '(?i)Nation\\s+means\\s+([^.\\n]{4,140})', 1) AS def FROM src
+  UNION ALL SELECT id, 'Nation', 20, 'colon', regexp_extract(text, '(?i)Nation\\s*:\\s*([A-Za-z][^.\\n]{4,140})', 1) FROM src
+  UNION ALL SELECT id, 'Region', 18, 'equals', regexp_extract(text, '(?i)Region\\s*=\\s*([^.\\n]{4,140})', 1) FROM src
 ), clean AS (SELECT id, term, pos, pattern, regexp_replace(trim(def), '\\s*\\([^)]*\\)\\s*$', '') AS definition FROM hits WHERE def <> ''),
 firsts AS (SELECT term, lower(definition) AS k, min((id, pos, pattern, definition)) AS m FROM clean WHERE length(definition) >= 4 GROUP BY term, lower(definition)),
 ranked AS (SELECT term, m[4] AS definition, m[3] AS pattern, m[1] AS id, row_number() OVER (PARTITION BY term ORDER BY m[1], m[2], m[4]) AS r FROM firsts)
@@ -455,7 +460,15 @@ def severity_penalty(spark, d):
     return made.select("doc_id", F.round(F.col("confidence") * 1000).cast("bigint").alias("confidence_milli"), "relevant")
 
 
-@query("sense_prune")
+@query(
+    "sense_prune",
+    """WITH RECURSIVE t AS (SELECT conv_id, turn // 2 AS evidence, row_number() OVER (PARTITION BY conv_id, turn // 2 ORDER BY turn, text) AS rn,
+  list_distinct(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: length(w) > 2)) AS words FROM conversations),
+fold AS (SELECT conv_id, evidence, rn, [words] AS kept FROM t WHERE rn = 1
+  UNION ALL SELECT t.conv_id, t.evidence, t.rn, CASE WHEN len(list_filter(f.kept, lambda k: len(k) > 0 AND len(t.words) > 0 AND len(list_intersect(k, t.words)) / len(list_distinct(list_concat(k, t.words))) >= 0.55)) > 0 THEN f.kept ELSE list_append(f.kept, t.words) END
+  FROM fold f JOIN t ON t.conv_id = f.conv_id AND t.evidence = f.evidence AND t.rn = f.rn + 1)
+SELECT conv_id, CAST(sum(n) AS BIGINT) AS kept FROM (SELECT conv_id, evidence, max(len(kept)) AS n FROM fold GROUP BY ALL) GROUP BY conv_id""",
+)
 def sense_prune(spark, d):
     """Senses of one term per conversation: its turns as definitions, turn numbers as evidence.
 
@@ -510,7 +523,11 @@ def systematic_sample(spark, d):
     return sampling.systematic(table(spark, d, "documents").select("doc_id"), ["doc_id"], 50)
 
 
-@query("hash_batches")
+@query(
+    "hash_batches",
+    """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents)
+SELECT doc_id, CAST((rn - 1) // 20 AS INT) AS batch FROM r WHERE rn <= 600""",
+)
 def hash_batches(spark, d):
     return sampling.hash_batches(table(spark, d, "documents").select("doc_id"), "doc_id")
 
