@@ -1,4 +1,7 @@
-"""Command line: python -m tidemark query|list|mine|evaluate ..."""
+"""Command line: python -m tidemark query|list|show|mine|extract|judge|index|evaluate ...
+
+Commands that ask a model replay recorded replies: JSON lines of message_id, stage, raw.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +9,20 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.evaluate import confusion
-from tidemark.operators.outcomes import listing
+from tidemark.operators.evaluate import graded
+from tidemark.operators.gates import DomainPack
+from tidemark.operators.outcomes import append_new, listing
+from tidemark.operators.pipelines import extract, judge
+from tidemark.operators.scoring import ReplayScorer
 from tidemark.plans import catalogue
 from tidemark.plans.jobs import GlossaryPlan, build_glossary
 from tidemark.session import build_session
-from tidemark.sources.readers import read_messages_csv, truth_of
+from tidemark.sources.readers import read_messages_csv, read_truth, sniff
 from tidemark.sources.sinks import export_glossary
 
+REPLIES = "message_id bigint, stage string, raw string"
+DECISIONS = "message_id bigint, text string, stage string, is_lead boolean, confidence double, lead_type string, verdict string, rationale string"
+
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark")
@@ -31,6 +40,21 @@ def main(args: list[str] | None = None) -> None:
     mine.add_argument("messages")
     mine.add_argument("out")
     mine.add_argument("--least", type=int, default=3)
+    shown = commands.add_parser("show", help="one entry of a stored glossary")
+    shown.add_argument("glossary")
+    shown.add_argument("term")
+    taken = commands.add_parser("extract", help="decisions of a gated extraction over a message CSV, as JSON lines; a rerun adds what is missing")
+    taken.add_argument("messages")
+    taken.add_argument("replies")
+    taken.add_argument("out")
+    taken.add_argument("--signals", default="need,looking for")
+    judged = commands.add_parser("judge", help="verdicts on extracted leads, as JSON lines")
+    judged.add_argument("decisions")
+    judged.add_argument("replies")
+    judged.add_argument("out")
+    held = commands.add_parser("index", help="a retrieval index from labelled examples (CSV of text and label)")
+    held.add_argument("examples")
+    held.add_argument("out")
     grade = commands.add_parser("evaluate", help="decisions (JSON lines) against ground truth (CSV)")
     grade.add_argument("decisions")
     grade.add_argument("truth")
@@ -42,12 +66,25 @@ def main(args: list[str] | None = None) -> None:
     elif given.command == "list":
         terms = spark.read.parquet(given.glossary)
         export_glossary(terms, given.export, given.least) if given.export else listing(terms, given.least, given.limit).show(given.limit, truncate=60)
+    elif given.command == "show":
+        spark.read.parquet(given.glossary).where(F.lower("term") == given.term.lower()).show(1, truncate=False, vertical=True)
+    elif given.command == "extract":
+        scorer = ReplayScorer(spark.read.schema(REPLIES).json(given.replies))
+        pack = DomainPack(signals=tuple(w for w in given.signals.split(",") if w))
+        rows = extract(read_messages_csv(spark, given.messages, None).where("message_id is not null").select("message_id", "text"), pack, scorer)
+        print(append_new(rows, given.out, "message_id"))
+    elif given.command == "judge":
+        rows = judge(spark.read.schema(DECISIONS).json(given.decisions), ReplayScorer(spark.read.schema(REPLIES).json(given.replies)))
+        print(append_new(rows.where("is_lead").select("message_id", "verdict"), given.out, "message_id"))
+    elif given.command == "index":
+        rows = spark.read.csv(given.examples, sep=sniff(spark, given.examples), header=True, multiLine=True, escape='"')
+        known = F.lower(F.trim("label")).isin("true", "1", "yes", "provider", "lead")
+        rows.where("text is not null").select(F.xxhash64("text").alias("id"), "text", F.coalesce(known, F.lit(False)).alias("label")).dropDuplicates(["id"]).write.mode("overwrite").parquet(given.out)
     elif given.command == "mine":
         build_glossary(read_messages_csv(spark, given.messages, None), GlossaryPlan(least=given.least)).write.mode("overwrite").parquet(given.out)
     else:
-        truth = truth_of(spark.read.csv(given.truth, header=True)).withColumnRenamed("is_lead", "actual")
-        rows = spark.read.json(given.decisions).select("message_id", "is_lead").join(truth.dropDuplicates(["message_id"]), "message_id")
-        confusion(rows, F.col("is_lead"), F.col("actual")).show()
+        said = spark.read.json(given.decisions).withColumn("__at", F.monotonically_increasing_id())
+        graded(said, read_truth(spark, given.truth).withColumnRenamed("is_lead", "actual"), ["__at"]).show()
 
 
 if __name__ == "__main__":

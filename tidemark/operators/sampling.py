@@ -54,6 +54,9 @@ def hash_batches(rows: DataFrame, key: str, size: int = 20, batches: int = 30, s
 
 
 def in_order(rows: DataFrame, corpus: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
-    """Rows numbered (``rn``) and sorted as their messages come in the corpus: the order that parallel work lost."""
-    places = numbered(corpus.select(key, *[F.col(o) if isinstance(o, str) else o for o in order if o != key]), order).groupBy(key).agg(F.min("rn").alias("rn"))
+    """Rows numbered (``rn``) and sorted as their messages come in the corpus: the order that parallel work lost.
+
+    ``corpus`` should hold no more than the key and what it is ordered by.
+    """
+    places = numbered(corpus, order).groupBy(key).agg(F.min("rn").alias("rn"))
     return rows.join(places, key).orderBy("rn")

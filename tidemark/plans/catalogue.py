@@ -943,3 +943,6 @@ def glossary_dry_run(spark, d):
     rows = spread(table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), "text"))
     plan = jobs.GlossaryPlan(gazetteer=GAZETTEER, brand_patterns=BRANDS)
     return jobs.build_glossary(rows, plan).withColumn("surface_forms", F.array_join("surface_forms", ","))
+
+
+from tidemark.plans import decisions  # noqa: E402, F401 - registers its queries too
