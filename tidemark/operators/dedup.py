@@ -79,6 +79,28 @@ def _step(hold: int, window: int):
     return step
 
 
+def _runs(live: DataFrame, hold: int, window: int) -> DataFrame:
+    """Adds ``run``: time and id of the message at which the row's run begins."""
+    rows = live.withColumn("bucket", F.floor(F.col("at") / F.lit(max(1, window))))
+    own = Window.partitionBy("user", "bucket").orderBy("at", "id")
+    alike = Window.partitionBy("user", "hash", "bucket").orderBy("at", "id")
+    rows = rows.withColumns({"before": F.lag("at").over(own), "same": F.lag("at").over(alike)})
+    # the last message of the user's previous bucket, and of the same text in the bucket just before
+    across = Window.partitionBy("user").orderBy("bucket")
+    ends = rows.groupBy("user", "bucket").agg(F.max("at").alias("end"))
+    ends = ends.select("user", "bucket", F.lag("end").over(across).alias("end"))
+    texts = rows.groupBy("user", "hash", "bucket").agg(F.max("at").alias("end_same")).withColumn("bucket", F.col("bucket") + 1)
+    rows = rows.join(ends, ["user", "bucket"]).join(texts, ["user", "hash", "bucket"], "left")
+    gap, since = F.col("at") - F.coalesce("before", "end"), F.col("at") - F.coalesce("same", "end_same")
+    fresh = F.coalesce(gap >= max(hold, 0), F.lit(True)) & F.coalesce(since >= window, F.lit(True))
+    rows = rows.withColumn("begin", F.when(fresh, F.struct("at", "id"))).drop("before", "same", "end", "end_same")
+    rows = rows.withColumn("last", F.max("begin").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    starts = rows.groupBy("user", "bucket").agg(F.max("begin").alias("begun"))
+    earlier = F.max("begun").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    starts = starts.select("user", "bucket", earlier.alias("begun"))
+    return rows.join(starts, ["user", "bucket"]).withColumn("run", F.coalesce("last", "begun"))
+
+
 def user_dedup(
     messages: DataFrame,
     key: str,
@@ -90,10 +112,13 @@ def user_dedup(
 ) -> DataFrame:
     """(key, verdict): keep, hold or text, from a per-user state machine over event time.
 
-    The state is the last *accepted* message, so this is a fold, not a lag. Each user's rows
-    are folded in segments that no duplicate can cross: a gap of at least the window resets
-    the machine whatever the state, so a heavy user's history splits there and no task
-    folds an unbounded group. Messages without user or text are kept and leave no state.
+    The state is the last *accepted* message, so this is a fold, not a lag. A user's rows are
+    folded in runs. A run begins where a message is accepted whatever the state: at least the
+    hold after the message before it, and without the same text within the window before it.
+    So only a stretch of messages that repeat or follow each other within the hold is one run,
+    and it alone is gathered. Predecessors are found within a user's time buckets (as long as
+    the window) and through one row per bucket, so a user who wrote a third of all messages is
+    spread over tasks by time. Messages without user or text are kept and leave no state.
     """
     blank = is_blank(F.col(text)) | F.col(user).isNull()
     rows = messages.select(
@@ -104,10 +129,7 @@ def user_dedup(
         blank.alias("skip"),
     )
     live, skipped = rows.where(~F.col("skip")), rows.where("skip")
-    order = Window.partitionBy("user").orderBy("at", "id")
-    fresh = F.coalesce((F.col("at") - F.lag("at").over(order) >= window).cast("int"), F.lit(0))
-    runs = live.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    groups = runs.groupBy("user", "run").agg(F.array_sort(F.collect_list(F.struct("at", "id", "hash", "skip"))).alias("rows"))
+    groups = _runs(live, hold, window).groupBy("user", "run").agg(F.array_sort(F.collect_list(F.struct("at", "id", "hash", "skip"))).alias("rows"))
     start = F.struct(
         F.lit(None).cast("string").alias("hash"),
         F.lit(None).cast("bigint").alias("at"),
