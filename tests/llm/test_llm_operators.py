@@ -922,3 +922,30 @@ def test_keep_first_keeps_one_of_repeated_rows(spark, broadcast_rows):
     kept = Counter(r["doc_id"] for r in simhash_vp.keep_first(docs, broadcast_rows=broadcast_rows).collect())
     assert kept == Counter({1: 1 if linked.bit_count() <= 4 else 2, 3: 2, 4: 1, None: 1})
     assert simhash_vp.keep_first(docs.limit(0)).count() == 0
+
+
+def test_op6_rejects_bad_documents_beyond_the_base_rule(spark, small):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    rows = [r for r in boosted_rules.query(spark, "/root/testdata/sf0.01").collect() if r["doc_id"] in labels and not r["base_failed"]]
+    bad, good = [r for r in rows if labels[r["doc_id"]] == 0], [r for r in rows if labels[r["doc_id"]] == 1]
+    assert len(bad) >= 10 and sum(not r["kept"] for r in bad) > 0.8 * len(bad)
+    assert sum(r["kept"] for r in good) > 0.97 * len(good)
+
+
+def test_op9_placement_against_a_walk_through_the_blocks(spark):
+    """Every pass visits all blocks before it repeats one, and positions rise with the tokens before them."""
+    rows = [(i, "t " * (1 + i % 7), "a" if i % 3 else "b") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    made = temperature_mix.mix(docs, target_entropy=1.0, max_epochs=5.0, block_tokens=100).collect()
+    size = {i: 1 + i % 7 for i in range(600)}
+    for source in "ab":
+        own = sorted((r for r in made if r["source"] == source), key=lambda r: r["position"])
+        total = sum(size[i] for i, _, s in rows if s == source)
+        quota = round(own[0]["weight"] * sum(size.values()))
+        at, blocks = 0, []
+        for r in own:
+            assert math.isclose(r["position"], (at + size[r["doc_id"]] / 2) / quota, abs_tol=1e-9) and r["epoch"] == at // total
+            at += size[r["doc_id"]]
+            if not blocks or blocks[-1] != (r["epoch"], r["block"]):
+                blocks.append((r["epoch"], r["block"]))
+        assert len(set(blocks)) == len(blocks) and quota - at < 7  # no block is left and entered again
