@@ -101,3 +101,23 @@ def test_stream_into_upserts(spark, tmp_path):
     stream = spark.readStream.schema("message_id bigint, text string, at int").option("maxFilesPerTrigger", 1).parquet(str(source))
     jobs.serve(stream, [lambda f, _: f.withColumn("n", F.length("text"))], upsert_sink(out, ["message_id"], ["at"]), str(tmp_path / "c")).awaitTermination()
     assert {r["message_id"] for r in spark.read.parquet(out).collect()} == {1, 10, 11}
+
+
+def test_brands_are_confirmed_and_low_drafts_researched(spark):
+    brands = spark.createDataFrame([("Acme", 3), ("Other", 2), ("Odd", 1)], "brand string, frequency int")
+    rules = {"brands": F.when(F.col("text") == "Acme", '{"is_brand": true}').when(F.col("text") == "Other", '{"is_brand": false}')}
+    assert [tuple(r) for r in jobs.confirmed_brands(brands, scoring.RuleScorer(rules)).collect()] == [("Acme", 3)]
+    senses = [("old", ["c"], [1]), ("second", [], [])]
+    kind = f"message_id bigint, relevant boolean, confidence double, senses {jobs.SENSES}"
+    drafts = spark.createDataFrame([(1, True, 0.4, senses), (2, True, 0.4, senses), (3, True, 0.9, senses), (4, False, 0.1, senses), (5, True, 0.2, [])], kind)
+    reply = F.when(F.col("message_id") == 2, '{"accept_web_info": false}').otherwise('{"accept_web_info": true, "definition": "new", "confidence": 1.7}')
+    got = {r["message_id"]: r for r in jobs.researched(drafts, scoring.RuleScorer({"research": reply})).collect()}
+    assert [s["definition"] for s in got[1]["senses"]] == ["new", "second"] and got[1]["confidence"] == 1.0 and got[1]["senses"][0]["context_clues"] == ["c"]
+    assert got[2]["senses"][0]["definition"] == got[3]["senses"][0]["definition"] == got[4]["senses"][0]["definition"] == "old"
+    assert [s["definition"] for s in got[5]["senses"]] == ["new"] and got[5]["source_stage"] == "research" and got[2]["source_stage"] == "inference"
+
+
+def test_confidence_inside_a_sense_counts(spark):
+    draft = F.lit('{"relevant": true, "senses": [{"definition": "d", "confidence": "0.7"}]}')
+    rows = jobs.build_glossary(messages(spark), jobs.GlossaryPlan(least=2), scoring.RuleScorer({"phrases": F.lit("{}"), "inference": draft, "validation": F.lit(None).cast("string")})).collect()
+    assert rows and {r["confidence"] for r in rows} == {0.7}

@@ -60,6 +60,40 @@ def extract_phrases(messages: DataFrame, scorer: Scorer, plan: GlossaryPlan, key
     return [r["p"] for r in kept.limit(plan.phrase_batch * plan.phrase_batches).collect()]
 
 
+def confirmed_brands(brands: DataFrame, scorer: Scorer, key: str = "message_id") -> DataFrame:
+    """The mined brands that the scorer calls brands (stage ``brands``, JSON ``is_brand``); a failed call confirms none."""
+    asked = brands.withColumns({key: F.xxhash64("brand"), "text": F.col("brand")})
+    said = cut(scorer.score(asked, "brands"), "brands")
+    return said.where(F.lower(F.get_json_object(json_object(F.col("raw")), "$.is_brand")) == "true").select(*brands.columns)
+
+
+def researched(drafts: DataFrame, scorer: Scorer, at_most: float = 0.5) -> DataFrame:
+    """Relevant drafts of low confidence take a researched definition of their first sense, where the reply accepts it.
+
+    The stage ``research`` answers with accept_web_info, definition and confidence; what it
+    leaves out stays as drafted. ``source_stage`` tells whose the definition is.
+    """
+    wanted = refine.wants_research(F.col("relevant"), F.col("confidence"), at_most)
+    said = cut(on_subset(drafts.withColumn("__w", wanted), F.col("__w"), scorer, "research"), "researched")
+    answer = F.from_json(json_object(F.col("raw")), "accept_web_info boolean, definition string, confidence string")
+    rows = said.withColumn("__a", answer)
+    taken = F.col("__w") & F.coalesce(F.col("__a.accept_web_info"), F.lit(False))
+    old = F.get("senses", 0)
+    first = F.struct(
+        F.coalesce(F.nullif(ustrip(F.col("__a.definition")), F.lit("")), old["definition"]).alias("definition"),
+        F.coalesce(old["context_clues"], F.array().cast("array<string>")).alias("context_clues"),
+        F.coalesce(old["example_message_ids"], F.array().cast("array<bigint>")).alias("example_message_ids"),
+    )
+    rest = F.when(F.size("senses") > 1, F.slice("senses", 2, F.size("senses"))).otherwise(F.array().cast(SENSES))
+    return rows.withColumns(
+        {
+            "senses": F.when(taken, F.concat(F.array(first).cast(SENSES), rest)).otherwise(F.col("senses")),
+            "confidence": F.when(taken, F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__a.confidence").try_cast("double"))), F.col("confidence"))).otherwise(F.col("confidence")),
+            "source_stage": F.when(taken, F.lit("research")).otherwise(F.lit("inference")),
+        }
+    ).drop("__a", "__w", "raw")
+
+
 def build_glossary(messages: DataFrame, plan: GlossaryPlan, scorer: Scorer | None = None, key: str = "message_id") -> DataFrame:
     """(term, kind, frequency, surface_forms[, relevant, confidence, senses]): without a scorer a dry run ends after clustering.
 
@@ -73,7 +107,11 @@ def build_glossary(messages: DataFrame, plan: GlossaryPlan, scorer: Scorer | Non
     top = cut(pooled.orderBy(F.desc("frequency"), "term").limit(plan.top), "candidates")
     asked = top.withColumn("message_id", F.xxhash64("term")).withColumn("text", F.col("term"))
     drafted = cut(scorer.score(asked, "inference"), "drafts").withColumn("d", F.from_json(json_object(F.col("raw")), DRAFT))
-    drafts = drafted.select("term", "kind", "frequency", "surface_forms", "message_id", "text", F.coalesce("d.relevant", F.lit(False)).alias("relevant"), F.coalesce("d.confidence", F.lit(0.0)).alias("confidence"), F.coalesce("d.senses", F.array().cast(SENSES)).alias("senses"))
+    # some models put the confidence inside a sense: the first found there counts where the entry has none
+    nested = F.from_json(json_object(F.col("raw")), "senses array<struct<confidence:string>>")["senses"]["confidence"]
+    inside = F.get(F.filter(F.transform(nested, lambda c: c.try_cast("double")), lambda c: c.isNotNull()), 0)
+    drafted_confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("d.confidence", inside, F.lit(0.0))))
+    drafts = drafted.select("term", "kind", "frequency", "surface_forms", "message_id", "text", F.coalesce("d.relevant", F.lit(False)).alias("relevant"), drafted_confidence.alias("confidence"), F.coalesce("d.senses", F.array().cast(SENSES)).alias("senses"))
     checked = cut(on_subset(drafts, F.col("relevant"), scorer, "validation"), "checked")
     critique = F.from_json(json_object(F.col("raw")), "issue_severity string, domain_specific boolean, wrongly_admitted_noise boolean")
     rows = checked.withColumn("c", critique).withColumns(
