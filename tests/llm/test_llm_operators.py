@@ -949,3 +949,28 @@ def test_op9_placement_against_a_walk_through_the_blocks(spark):
             if not blocks or blocks[-1] != (r["epoch"], r["block"]):
                 blocks.append((r["epoch"], r["block"]))
         assert len(set(blocks)) == len(blocks) and quota - at < 7  # no block is left and entered again
+
+
+def test_op7_fit_is_the_minimum_of_the_pairwise_loss():
+    random = np.random.default_rng(14)
+    x = random.normal(size=(60, 3))
+    y = (x[:, 0] + 0.5 * random.normal(size=60) > 0).astype(int)
+    ranker = bt_quality.fit(x, y, pairs=10**6, rounds=4000)
+    wide = ranker.expand(x)
+    drawn = np.random.default_rng(5)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    count = len(good) * len(bad)
+    pairs = list(zip(drawn.choice(good, count).tolist(), drawn.choice(bad, count).tolist(), strict=True))
+
+    def loss(w):
+        return sum(math.log1p(math.exp(-float((wide[i] - wide[j]) @ w))) for i, j in pairs) / count + 0.5e-3 * float(w @ w)
+
+    best = loss(ranker.weights)
+    for k in range(len(ranker.weights)):
+        step = np.zeros_like(ranker.weights)
+        step[k] = 1e-3
+        assert loss(ranker.weights + step) >= best - 1e-7 and loss(ranker.weights - step) >= best - 1e-7
+        assert abs(loss(ranker.weights + step) - loss(ranker.weights - step)) / 2e-3 < 1e-3
+    strength = ranker.strength(x)
+    assert (strength < ranker.threshold).sum() == len(bad)
+    assert np.mean([strength[i] > strength[j] for i in good for j in bad]) > 0.85
