@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import __main__ as command
 from tidemark import patterns
 from tidemark.functions import text
-from tidemark.operators import classifiers, dedup, evaluate, gates, mining, scoring
+from tidemark.operators import classifiers, context, dedup, evaluate, gates, mining, scoring
 from tidemark.sources import readers, sinks
 from tidemark.streaming.dedup import dedup_stream, upsert_sink
 
@@ -176,3 +176,13 @@ def test_replayed_scorer_reads_by_stage(spark):
     recorded = spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], "message_id bigint, stage string, raw string")
     rows = spark.createDataFrame([(1,), (2,)], "message_id bigint")
     assert {r["message_id"]: r["raw"] for r in scoring.ReplayScorer(recorded).score(rows, "b").collect()} == {1: "y", 2: None}
+
+
+def test_neighbours_of_hot_groups_equal_windows(spark):
+    rows = spark.range(700).select(F.when(F.col("id") % 50 == 49, F.lit(None).cast("string")).when(F.col("id") % 3 == 0, F.lit("a")).when(F.col("id") > 600, F.lit("tiny")).otherwise(F.lit("hot")).alias("g"), ((F.col("id") * 37) % 701).alias("at"), F.concat(F.lit("t"), "id").alias("text"))
+    for before, after in ((5, 1), (3, 0), (1, 4)):
+        plain = context.with_context(rows, ["g"], ["at"], F.col("text"), before, after)
+        cut = context.with_context(rows, ["g"], ["at"], F.col("text"), before, after, hot_rows=10, chunk_rows=25)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(*plain.columns).collect()))
+    plain, cut = (context.author_history(rows, ["g"], ["at"], last=4, cap=11, **more) for more in ({}, {"hot_rows": 10, "chunk_rows": 9}))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(*plain.columns).collect()))

@@ -65,5 +65,4 @@ def collapse_traffic_type(types: Column) -> Column:
         .when(has("live_traffic"), "live_traffic")
         .when(has("database"), "database")
         .when(has("infra"), "infra")
-        .otherwise("unclear")
     )

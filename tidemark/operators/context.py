@@ -9,15 +9,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import is_blank
+from tidemark.operators.sampling import numbered
 
 
-def with_context(messages: DataFrame, group: Sequence[str], order: Sequence[str], payload: Column, before: int = 5, after: int = 1) -> DataFrame:
+#: Rows of a group that one task may sort, and rows of a chunk of a larger one.
+HOT_ROWS, CHUNK_ROWS = 200_000, 10_000
+
+
+def _neighbours(messages: DataFrame, group: Sequence[str], order: Sequence[str], payload: Column, before: int, after: int, hot_rows: int, chunk_rows: int) -> DataFrame:
+    """Adds ``__past`` and ``__ahead``: payloads of the rows before and after in the group, in order.
+
+    Groups are windows. If one has over ``hot_rows`` rows (counted), all rows are numbered
+    through a range partitioning instead and cut into chunks of that order, to which the rows
+    at the edges of the next chunks are copied; so no task sorts a whole group.
+    """
+    largest = messages.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= hot_rows:
+        frame = Window.partitionBy(*group).orderBy(*order)
+        return messages.withColumns({"__past": F.collect_list(payload).over(frame.rowsBetween(-before, -1)), "__ahead": F.collect_list(payload).over(frame.rowsBetween(1, max(1, after)))})
+    size = max(chunk_rows, before + after + 1)
+    held = numbered(messages.withColumn("__payload", payload), [*group, *order], "__rn").withColumn("__own", F.floor((F.col("__rn") - 1) / F.lit(size)))
+    at = (F.col("__rn") - 1) % F.lit(size)
+    copies = F.array(F.col("__own"), F.when(at >= size - before, F.col("__own") + 1), F.when(at < after, F.col("__own") - 1))
+    dealt = held.withColumn("__chunk", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+    frame = Window.partitionBy("__chunk").orderBy("__rn")
+    item = F.struct(F.struct(*group).alias("g"), F.col("__payload").alias("p"))
+
+    def same(found: Column) -> Column:
+        return F.transform(F.filter(found, lambda x: x["g"].eqNullSafe(F.struct(*group))), lambda x: x["p"])
+
+    made = dealt.withColumns({"__past": F.collect_list(item).over(frame.rowsBetween(-before, -1)), "__ahead": F.collect_list(item).over(frame.rowsBetween(1, max(1, after)))})
+    made = made.where(F.col("__chunk") == F.col("__own")).withColumns({"__past": same(F.col("__past")), "__ahead": same(F.col("__ahead"))})
+    return made.drop("__payload", "__rn", "__own", "__chunk")
+
+
+def with_context(
+    messages: DataFrame, group: Sequence[str], order: Sequence[str], payload: Column, before: int = 5, after: int = 1, hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """Adds ``context``: up to ``before`` preceding and ``after`` following messages of the group."""
-    frame = Window.partitionBy(*group).orderBy(*order)
-    past = F.collect_list(payload).over(frame.rowsBetween(-before, -1)) if before else None
-    ahead = F.collect_list(payload).over(frame.rowsBetween(1, after)) if after else None
-    parts = [p for p in (past, ahead) if p is not None]
-    return messages.withColumn("context", F.concat(*parts))
+    rows = _neighbours(messages, group, order, payload, max(1, before), after, hot_rows, chunk_rows)
+    parts = [F.col(name) for name, wanted in (("__past", before), ("__ahead", after)) if wanted]
+    return rows.withColumn("context", F.concat(*parts)).drop("__past", "__ahead")
 
 
 def merge_replies(messages: DataFrame, key: str, parent: str, text: str = "text", order: Sequence[str] = ()) -> DataFrame:
@@ -29,11 +61,13 @@ def merge_replies(messages: DataFrame, key: str, parent: str, text: str = "text"
     return joined.withColumn(text, merged.otherwise(F.col(text))).drop("__parent", "__said")
 
 
-def author_history(messages: DataFrame, author: Sequence[str], order: Sequence[str], text: str = "text", last: int = 10, cap: int = 3000) -> DataFrame:
+def author_history(
+    messages: DataFrame, author: Sequence[str], order: Sequence[str], text: str = "text", last: int = 10, cap: int = 3000, hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """Adds ``history``: the author's up to ``last`` earlier texts, newest first, joined and cut at ``cap``."""
-    frame = Window.partitionBy(*author).orderBy(*order).rowsBetween(-last, -1)
-    earlier = F.reverse(F.collect_list(F.coalesce(F.col(text), F.lit(""))).over(frame))
-    return messages.withColumn("history", F.substring(F.array_join(earlier, "\n"), 1, cap))
+    said = F.substring(F.coalesce(F.col(text), F.lit("")), 1, cap)
+    rows = _neighbours(messages, author, order, said, last, 0, hot_rows, chunk_rows)
+    return rows.withColumn("history", F.substring(F.array_join(F.reverse("__past"), "\n"), 1, cap)).drop("__past", "__ahead")
 
 
 def with_bio(messages: DataFrame, users: DataFrame, author: str = "username", name: str = "username", bio: str = "bio") -> DataFrame:

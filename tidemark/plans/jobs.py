@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import json_object, text_hash, ustrip
 from tidemark.functions.unicode import repaired_json
-from tidemark.operators import dedup, gates, mining, pipelines, refine, sampling
+from tidemark.operators import classifiers, dedup, gates, mining, pipelines, refine, sampling
 from tidemark.operators.scoring import Scorer, on_subset
 from tidemark.session import cut
 
@@ -154,11 +154,15 @@ def classify(messages: DataFrame, pipeline: Pipeline, scorer: Scorer) -> DataFra
 
 
 def classify_all(messages: DataFrame, chosen: Sequence[Pipeline], scorer: Scorer) -> DataFrame:
-    """The decisions of several pipelines, one row per message and pipeline; a pipeline sees nothing of the others."""
-    result = classify(messages, chosen[0], scorer)
-    for other in chosen[1:]:
-        result = result.unionByName(classify(messages, other, scorer))
-    return result
+    """The decisions of several pipelines, one row per message and pipeline.
+
+    A pipeline sees nothing of the others, and one that fails is logged and has no row; only
+    if all fail is that an error.
+    """
+    made, errors = classifiers.isolated(messages, {p.name: lambda rows, p=p: classify(rows, p, scorer) for p in chosen})
+    if made is None:
+        raise RuntimeError(f"every pipeline failed: {errors}")
+    return made
 
 
 def classify_batch(messages: DataFrame, pipeline: Pipeline, scorer: Scorer, done: DataFrame | None = None, key: str = "message_id", sample: int | None = None) -> DataFrame:

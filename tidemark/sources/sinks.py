@@ -136,7 +136,7 @@ def export_glossary(terms: DataFrame, path: str, least: float = 0.0, first_sense
 
 
 def marked_csv(rows: DataFrame, path: str) -> None:
-    """Semicolons, every value quoted; new lines as bars, lists joined; files begin with a byte order mark."""
+    """Semicolons, every value quoted; new lines as bars, lists joined. Spark's writer adds no byte order mark."""
     columns = []
     for name, kind in rows.dtypes:
         value = F.array_join(F.col(name).cast("array<string>"), "; ") if kind.startswith("array") else F.col(name).cast("string")
