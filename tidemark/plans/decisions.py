@@ -8,7 +8,7 @@ from tidemark import packs, patterns
 from tidemark.functions import text
 from tidemark.operators import classifiers, context, dedup, evaluate, gates, geo, outcomes, prompts, refine, sampling, scoring
 from tidemark.plans.catalogue import any_of, query
-from tidemark.session import table
+from tidemark.session import spread, table
 from tidemark.sources import readers, sinks
 
 NEED = gates.DomainPack(signals=("need",))
@@ -18,7 +18,7 @@ REASONS = ("survey_question",)
 def _messages(spark, d):
     """Every event as a message; a ninth are too short and a ninth say nothing of interest."""
     said = F.when(F.col("event_id") % 9 == 0, F.lit("short")).when(F.col("event_id") % 9 == 1, F.lit("nothing of interest in here")).otherwise(F.concat(F.lit("we need a provider, message "), F.col("event_id").cast("string")))
-    return table(spark, d, "events").select(F.col("event_id").alias("message_id"), said.alias("text"), "user_id")
+    return spread(table(spark, d, "events").select("event_id", "user_id")).select(F.col("event_id").alias("message_id"), said.alias("text"), "user_id")
 
 
 def _k():
@@ -134,7 +134,7 @@ _SAID = "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enume
 
 
 def _phrases(spark, d):
-    rows = table(spark, d, "events").select(F.col("event_id").alias("message_id"), "user_id")
+    rows = spread(table(spark, d, "events").select(F.col("event_id").alias("message_id"), "user_id"))
     said = F.get(F.array(*[F.lit(x) for x in SAID]), (F.col("message_id") % 8).cast("int"))
     return rows.select("message_id", "user_id", said.alias("text"), F.when(_k() % 10 != 0, _k()).alias("source_lead_id"))
 
