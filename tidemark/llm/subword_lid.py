@@ -104,6 +104,8 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
     truth = np.searchsorted(languages, labels)
     classes, rows = len(languages), np.arange(len(truth))
     fold_of = np.random.default_rng(5).permutation(len(truth)) % CALIBRATION_FOLDS
+    used = np.flatnonzero(shares.any(axis=0))  # other grams keep the embedding zero
+    shares = np.ascontiguousarray(shares[:, used])
     logits = np.zeros((len(truth), classes))
     for fold in range(CALIBRATION_FOLDS):
         aside, own = rows[fold_of == fold], rows[fold_of != fold]
@@ -116,8 +118,9 @@ def fit(shares: np.ndarray, labels: list[str], dim: int = 24, epochs: int = 30,
     chances = softmax(logits / temperature)
     sure = chances.max(axis=1)[np.argmax(chances, axis=1) == truth]
     threshold = float(np.quantile(sure, reject_share)) if len(sure) else 0.0
-    merged, bias = _descend(shares, truth, rows, classes, dim, epochs, rate)
-    return LanguageModel(languages, merged, bias, temperature, threshold)
+    table = np.zeros((BUCKETS, classes))
+    table[used], bias = _descend(shares, truth, rows, classes, dim, epochs, rate)
+    return LanguageModel(languages, table, bias, temperature, threshold)
 
 
 def _descend(shares: np.ndarray, truth: np.ndarray, own: np.ndarray, classes: int, dim: int, epochs: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +128,7 @@ def _descend(shares: np.ndarray, truth: np.ndarray, own: np.ndarray, classes: in
     random = np.random.default_rng(7)
     weight = 1.0 / np.maximum(1, np.bincount(truth[own], minlength=classes))
     weight /= weight[truth[own]].mean()
-    embed = np.zeros((BUCKETS, dim), dtype=np.float32)  # grams never seen say nothing
+    embed = np.zeros((shares.shape[1], dim), dtype=np.float32)  # grams never seen say nothing
     out = random.normal(0, 0.3, (dim, classes)).astype(np.float32)
     bias = np.zeros(classes, dtype=np.float32)
     for epoch in range(epochs):
