@@ -186,3 +186,10 @@ def test_neighbours_of_hot_groups_equal_windows(spark):
         assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(*plain.columns).collect()))
     plain, cut = (context.author_history(rows, ["g"], ["at"], last=4, cap=11, **more) for more in ({}, {"hot_rows": 10, "chunk_rows": 9}))
     assert sorted(map(str, plain.collect())) == sorted(map(str, cut.select(*plain.columns).collect()))
+
+
+def test_replies_are_written_once_and_only_for_survivors(spark):
+    rows = spark.range(10).withColumn("raw_text", F.lit("x"))
+    made = scoring.asked(rows, F.when(F.col("id") < 7, F.col("id") % 2 == 0), scoring.RuleScorer({"s": F.uuid()}), "s")
+    first, second = ({r["id"]: r["raw"] for r in made.collect()} for _ in range(2))
+    assert first == second and {k for k, v in first.items() if v} == {0, 2, 4, 6} and len(first) == 10

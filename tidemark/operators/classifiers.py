@@ -1,8 +1,8 @@
 """The message classifiers: stage-1 readings, verified gates, provider, traffic and coin-buyer decisions.
 
 Each takes messages and a scorer and adds the decision columns of ``pipelines.opened``. A
-model sees only rows that every earlier stage let through, and its replies are written
-before they are read twice.
+model sees only rows that every earlier stage let through, and only those are written, with
+its replies, before they are read twice.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from tidemark import patterns
 from tidemark.functions.text import hit_count, is_blank, json_object, ustrip
 from tidemark.operators.gates import DomainPack
 from tidemark.operators.pipelines import answered_no, answered_yes, certainty, expected_verdict, extract, opened, resolve_mismatch, traffic_stage
-from tidemark.operators.scoring import Scorer, on_subset
-from tidemark.session import cut
+from tidemark.operators.scoring import Scorer, asked
+from tidemark.session import cut, dimension
 
 #: Verdicts, roles and reasons that the decisions are written with.
 CODEBOOK = {"LEAD": ("REAL_PROVIDER", "CERTAIN", None), "UNCERTAIN": ("REAL_PROVIDER", "UNCERTAIN", "judge_uncertain"), "NOT_LEAD": ("MISTAKE", None, None)}
@@ -57,7 +57,7 @@ def _lead(rows: DataFrame) -> Column:
 
 def second_look(rows: DataFrame, scorer: Scorer, stage: str = "stage1b") -> DataFrame:
     """Leads meet a second, strict yes/no stage; a message whose call failed has no decision and no row."""
-    said = cut(on_subset(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, stage), "second-look")
+    said = asked(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, stage)
     kept = said.where(~F.col("__lead") | F.col("raw").isNotNull())
     gone = F.col("__lead") & ~answered_yes(F.col("raw"))
     return kept.withColumns(
@@ -79,11 +79,11 @@ def buyer(messages: DataFrame, pack: DomainPack, scorer: Scorer, reasons: Sequen
     marked = messages.withColumn("__stop", stop)
     rows = extract(marked.where(~F.col("__stop")).drop("__stop"), pack, scorer)
     rows = second_look(rows, scorer)
-    judged = cut(on_subset(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge"), "judge")
+    judged = asked(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge")
     said = F.upper(ustrip(reply(F.col("raw"), "verdict string")["verdict"]))
     verdict = F.when(said.isin("REAL_LEAD", "MISTAKE"), said).otherwise(F.lit("REVIEW"))
     judged = judged.withColumn("verdict", F.when(F.col("__lead"), verdict)).drop("raw", "__lead")
-    gated = cut(on_subset(judged, F.col("verdict") == "REAL_LEAD", scorer, "certainty"), "certainty")
+    gated = asked(judged, F.col("verdict") == "REAL_LEAD", scorer, "certainty")
     answer = reply(F.col("raw"), "certainty string, uncertainty_reason string")
     made = gated.withColumn("__c", certainty(F.col("verdict"), answer["certainty"], answer["uncertainty_reason"], reasons))
     made = made.withColumns({"certainty": F.col("__c.certainty"), "uncertainty_reason": F.col("__c.reason")}).drop("raw", "__c")
@@ -101,7 +101,7 @@ def provider(messages: DataFrame, pack: DomainPack, scorer: Scorer, codebook: bo
     answers map to verdict and certainty, and anything else is an uncertain lead.
     """
     rows = extract(messages, pack, scorer, stage1="has_yes")
-    judged = cut(on_subset(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge"), "judge")
+    judged = asked(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge")
     said = F.upper(ustrip(reply(F.col("raw"), "verdict string")["verdict"]))
     none = F.lit(None).cast("string")
     if codebook:
@@ -136,14 +136,14 @@ def traffic(messages: DataFrame, pack: DomainPack, scorer: Scorer, reasons: Sequ
             "traffic_type": F.col("__t.type"),
         }
     ).drop("__t")
-    judged = cut(on_subset(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge"), "judge")
+    judged = asked(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge")
     own = expected_verdict(F.col("lead_type"), TRAFFIC_VERDICTS)
     said = F.when(json_object(F.col("raw")).isNull(), own).otherwise(reply(F.col("raw"), "verdict string")["verdict"])
     judged = judged.withColumns({"__said": said, "__agree": F.coalesce(said == own, F.lit(False))}).drop("raw")
     lead = F.col("__lead")
     none = F.lit(None).cast("string")
     if gate:
-        asked = cut(on_subset(judged, lead, scorer, "gate"), "gate")
+        resolved = asked(judged, lead, scorer, "gate")
         answer = reply(F.col("raw"), "label string, role string, uncertainty_reason string")
         failed = ~F.coalesce(answer["label"].isin("lead", "not_lead", "uncertain"), F.lit(False))
         known = F.when(answer["uncertainty_reason"].isin(*reasons), answer["uncertainty_reason"])
@@ -151,7 +151,7 @@ def traffic(messages: DataFrame, pack: DomainPack, scorer: Scorer, reasons: Sequ
         why = F.when(failed, "gate_api_error").when(answer["label"] == "lead", none).otherwise(F.coalesce(known, F.when(answer["label"] == "not_lead", "gate_not_lead").otherwise(F.lit("other"))))
         agreed = F.struct(F.lit(True).alias("is_lead"), F.col("lead_type").alias("lead_type"), own.alias("verdict"), sure.alias("certainty"), why.alias("reason"))
         settled = resolve_mismatch(F.col("lead_type"), answer["label"], answer["role"], answer["uncertainty_reason"], failed, TRAFFIC_ROLES, TRAFFIC_VERDICTS, reasons)
-        judged = asked.withColumn("__r", F.when(F.col("__agree"), agreed).otherwise(settled)).drop("raw")
+        judged = resolved.withColumn("__r", F.when(F.col("__agree"), agreed).otherwise(settled)).drop("raw")
     else:
         judged = judged.withColumn(
             "__r",
@@ -170,7 +170,7 @@ def traffic(messages: DataFrame, pack: DomainPack, scorer: Scorer, reasons: Sequ
         }
     ).drop("__r", "__said", "__agree", "__lead")
     wanted = F.col("is_lead") & (F.col("verdict") == "TRAFFIC_LEAD") & (F.col("lead_type") == "seeking_traffic")
-    said = cut(on_subset(judged, wanted, scorer, "merchant"), "merchant")
+    said = asked(judged, wanted, scorer, "merchant")
     word = F.lower(ustrip(F.get_json_object(json_object(F.col("raw")), "$.is_merchant")))
     return said.withColumn("is_merchant", F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))).drop("raw")
 
@@ -222,9 +222,9 @@ def verified(messages: DataFrame, kind: Verified, scorer: Scorer) -> DataFrame:
     wanted = hit_count(said, patterns.ready(kind.wanted)) > 0
     early = F.when(is_blank(F.col("text")), "blank").when(unwanted & F.lit(kind.context), "stopped").when(~wanted, "no_hits").when(unwanted, "stopped")
     rows = cut(messages.withColumn("__early", early), "gated")
-    checked = cut(on_subset(rows, F.col("__early").isNull(), scorer, f"{kind.name}_verify"), "verified")
+    checked = asked(rows, F.col("__early").isNull(), scorer, f"{kind.name}_verify")
     checked = checked.withColumn("__yes", F.col("__early").isNull() & F.coalesce(F.get_json_object(json_object(F.col("raw")), f"$.{kind.verify}") == "true", F.lit(False))).drop("raw")
-    done = cut(on_subset(checked, F.col("__yes"), scorer, f"{kind.name}_extract"), "extracted")
+    done = asked(checked, F.col("__yes"), scorer, f"{kind.name}_extract")
     lead = F.col("__yes") & F.coalesce(F.get_json_object(json_object(F.col("raw")), f"$.{kind.decide}") == kind.decided, F.lit(False))
     stage = F.coalesce(F.col("__early"), F.when(~F.col("__yes"), "verify").when(~lead, "extract").otherwise(F.lit("lead")))
     return done.withColumns({"is_lead": lead, "stage": stage}).drop("raw", "__early", "__yes")
@@ -238,7 +238,7 @@ def coin_buyer(messages: DataFrame, pack: DomainPack, scorer: Scorer, source_id:
     ready = F.col(source_id).isNotNull() & ~is_blank(F.col("text"))
     rest = opened(messages.where(~ready)).withColumns({"stage": F.lit("skip"), "is_lead": F.lit(False)})
     rows = extract(messages.where(ready), pack, scorer)
-    judged = cut(on_subset(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge"), "judge")
+    judged = asked(rows.withColumn("__lead", _lead(rows)), F.col("__lead"), scorer, "judge")
     said = F.upper(ustrip(reply(F.col("raw"), "verdict string")["verdict"]))
     verdict = F.when(F.col("__lead"), F.when(said.isin("REAL_LEAD", "MISTAKE"), said).otherwise(F.lit("REVIEW")))
     made = judged.withColumn("verdict", verdict).drop("raw", "__lead").unionByName(rest)
@@ -246,13 +246,15 @@ def coin_buyer(messages: DataFrame, pack: DomainPack, scorer: Scorer, source_id:
 
 
 def cascade_run(messages: DataFrame, steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]], key: str = "message_id") -> DataFrame:
-    """(key, claimed_by): each step sees what no earlier one claimed. A step returns (key, claimed boolean)."""
+    """(key, claimed_by): each step sees what no earlier one claimed. A step returns (key, claimed boolean).
+
+    Only the keys that a step claims are written; while they are few they are broadcast, and no text moves.
+    """
     claimed, rest = None, messages
     for name, step in steps:
-        said = cut(step(rest).select(key, "claimed"), f"cascade-{name}")
-        hits = said.where("claimed").select(key, F.lit(name).alias("claimed_by"))
+        hits = cut(step(rest).where("claimed").select(key, F.lit(name).alias("claimed_by")), f"cascade-{name}")
         claimed = hits if claimed is None else claimed.unionByName(hits)
-        rest = rest.join(said.where("claimed").select(key), key, "left_anti")
+        rest = rest.join(dimension(hits.select(key), 1_000_000), key, "left_anti")
     return claimed.unionByName(rest.select(key, F.lit(None).cast("string").alias("claimed_by")))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.normalise import collapse_traffic_type, normalise_traffic_types
 from tidemark.functions.text import clamp01, is_blank, json_object, ustrip
 from tidemark.operators.gates import DomainPack, gate, long_enough
-from tidemark.operators.scoring import Scorer, on_subset
+from tidemark.operators.scoring import Scorer, asked, on_subset
 from tidemark.session import cut
 
 def _closed(rows: DataFrame, stage: str, confidence: float, rationale: str) -> DataFrame:
@@ -79,7 +79,7 @@ def extract(messages: DataFrame, pack: DomainPack, scorer: Scorer, text: str = "
 
 def judge(rows: DataFrame, scorer: Scorer, known: Sequence[str] = ("REAL_LEAD", "MISTAKE"), fallback: str = "REVIEW") -> DataFrame:
     """Adds the judge's verdict to leads; an unknown or missing one is the fallback."""
-    scored = on_subset(rows, F.col("is_lead"), scorer, "judge")
+    scored = asked(rows, F.col("is_lead"), scorer, "judge")
     said = F.upper(ustrip(F.get_json_object(json_object(F.col("raw")), "$.verdict")))
     verdict = F.when(said.isin(*known), said).otherwise(F.lit(fallback))
     return scored.withColumn("verdict", F.when(F.col("is_lead"), verdict)).drop("raw")

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut
+
 
 class Scorer(Protocol):
     """Adds a JSON string column ``raw`` (null on failure) to every row it is given."""
@@ -72,3 +74,15 @@ def on_subset(rows: DataFrame, survives: Column, scorer: Scorer, stage: str) ->
     passed = scorer.score(rows.where(F.coalesce(survives, F.lit(False))), stage)
     rest = rows.where(~F.coalesce(survives, F.lit(False))).withColumn("raw", F.lit(None).cast("string"))
     return passed.unionByName(rest)
+
+
+def asked(rows: DataFrame, survives: Column, scorer: Scorer, stage: str) -> DataFrame:
+    """``on_subset`` with the survivors written, so that no model is called twice.
+
+    The others aren't copied: they are read again from where ``rows`` come from, so a gate that
+    few rows pass costs a write of those few. ``survives`` must not depend on a model whose
+    replies aren't written yet.
+    """
+    passed = F.coalesce(survives, F.lit(False))
+    said = cut(scorer.score(rows.where(passed), stage), stage)
+    return said.unionByName(rows.where(~passed).withColumn("raw", F.lit(None).cast("string")))
