@@ -52,19 +52,6 @@ def sniff(spark: SparkSession, path: str, choices: str = ";,\t|") -> str:
     return max(choices, key=line.count)
 
 
-def read_messages_xlsx(spark: SparkSession, path: str, sheet: str | None = None, limit: int | None = None) -> DataFrame:
-    """A workbook sheet; needs openpyxl, which is optional."""
-    try:
-        import openpyxl
-    except ImportError as missing:
-        raise RuntimeError("reading workbooks needs openpyxl") from missing
-    book = openpyxl.load_workbook(path, read_only=True)
-    rows = (book[sheet] if sheet else book.worksheets[0]).iter_rows(values_only=True)
-    header = [str(c or "").strip().lower() for c in next(rows)]
-    data = [tuple(None if v is None else str(v) for v in r) for _, r in zip(range(limit or 1 << 30), rows, strict=False)]
-    return messages_of(spark.createDataFrame(data, ", ".join(f"`{h}` string" for h in header)))
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines; malformed ones are dropped."""
     return spark.read.schema(schema).json(path, mode="DROPMALFORMED")
