@@ -13,7 +13,7 @@ from tidemark import __main__ as command
 from tidemark import patterns
 from tidemark.functions import text
 from tidemark.operators import classifiers, context, dedup, evaluate, gates, mining, scoring
-from tidemark.sources import readers, sinks
+from tidemark.sources import readers, sinks, workbooks
 from tidemark.streaming.dedup import dedup_stream, upsert_sink
 
 PHRASES = [
@@ -156,11 +156,18 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "m.csv").write_text("message_id;text\n1;we need a provider at once\n2;nothing of interest in here\n3;short\n")
     replies = [(1, "stage1", "YES"), (1, "extract", '{"is_lead": true, "lead_type": "x", "confidence": 0.5}'), (1, "judge", '{"verdict": "REAL_LEAD"}')]
     (tmp_path / "r.jsonl").write_text("\n".join(json.dumps(dict(zip(("message_id", "stage", "raw"), r, strict=True))) for r in replies))
-    path = {n: str(tmp_path / n) for n in ("m.csv", "r.jsonl", "d", "j", "t.csv", "i", "e.csv", "g")}
+    path = {n: str(tmp_path / n) for n in ("m.csv", "r.jsonl", "d", "j", "t.csv", "i", "e.csv", "g", "c", "t")}
     command.main(["extract", path["m.csv"], path["r.jsonl"], path["d"]])
     command.main(["extract", path["m.csv"], path["r.jsonl"], path["d"]])
     command.main(["judge", path["d"], path["r.jsonl"], path["j"]])
     assert spark.read.json(path["d"]).count() == 3 and spark.read.json(path["j"]).first()["verdict"] == "REAL_LEAD"
+    command.main(["report", path["d"], path["j"], str(tmp_path / "leads.xlsx")])
+    rows = lambda sheet: workbooks.read_messages_xlsx(spark, str(tmp_path / "leads.xlsx"), sheet)
+    assert [r["message_id"] for r in rows("leads").collect()] == [1] and rows("all").count() == 3
+    command.main(["report", path["d"], path["j"], path["c"]])
+    assert "REAL_LEAD" in [r["verdict"] for r in spark.read.csv(path["c"], sep=";", header=True).collect()]
+    command.main(["mine", str(tmp_path / "leads.xlsx"), path["t"], "--least", "1"])
+    assert spark.read.parquet(path["t"]).where("term = 'provider'").count() == 1
     (tmp_path / "t.csv").write_text("id,label\n1,yes\n2,no\n")
     command.main(["evaluate", path["d"], path["t.csv"]])
     (tmp_path / "e.csv").write_text("text,label\nfoo,true\nbar,0\nfoo,true\n")
@@ -193,3 +200,14 @@ def test_replies_are_written_once_and_only_for_survivors(spark):
     made = scoring.asked(rows, F.when(F.col("id") < 7, F.col("id") % 2 == 0), scoring.RuleScorer({"s": F.uuid()}), "s")
     first, second = ({r["id"]: r["raw"] for r in made.collect()} for _ in range(2))
     assert first == second and {k for k, v in first.items() if v} == {0, 2, 4, 6} and len(first) == 10
+
+
+def test_marked_csv_has_one_header_for_each_part(spark, tmp_path):
+    rows = spark.range(6).repartition(3).select(F.col("id"), F.lit('say "x";\r\ny').alias("a b"), F.array(F.lit(1), F.col("id")).alias("l"), F.lit(None).cast("string").alias("n"))
+    sinks.marked_csv(rows, str(tmp_path / "m"))
+    parts = [p.read_bytes() for p in (tmp_path / "m").glob("part-*")]
+    assert all(p.startswith('\ufeff"id";"a b";"l";"n"\n'.encode()) and p.count(b"\xef\xbb\xbf") == 1 for p in parts)
+    got = spark.read.csv(str(tmp_path / "m"), sep=";", header=True, escape='"').collect()
+    assert {(r["id"], r["a b"], r["l"]) for r in got} == {(str(i), 'say "x"; | y', f"1; {i}") for i in range(6)}
+    sinks.marked_csv(rows.limit(0), str(tmp_path / "e"))
+    assert [r[0].lstrip("\ufeff") for r in spark.read.text(str(tmp_path / "e")).collect()] == ['"id";"a b";"l";"n"']

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import cut
+from tidemark.session import cut, ship
 
 
 def _whole(keys: Sequence[str]) -> Column:
@@ -136,12 +137,38 @@ def export_glossary(terms: DataFrame, path: str, least: float = 0.0, first_sense
 
 
 def marked_csv(rows: DataFrame, path: str) -> None:
-    """Semicolons, every value quoted; new lines as bars, lists joined. Spark's writer adds no byte order mark."""
-    columns = []
+    """Semicolons, every value quoted; new lines as bars, lists joined, null as empty.
+
+    Every part starts with a byte order mark and the header, so each opens as a table in an
+    office program; an empty table is one part with a header alone.
+    """
+    ship(rows.sparkSession)
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    values = []
     for name, kind in rows.dtypes:
-        value = F.array_join(F.col(name).cast("array<string>"), "; ") if kind.startswith("array") else F.col(name).cast("string")
-        columns.append(F.regexp_replace(F.coalesce(value, F.lit("")), r"\r?\n", " | ").alias(name))
-    rows.select(*columns).write.mode("overwrite").csv(path, sep=";", header=True, quoteAll=True, escape='"')
+        value = F.array_join(F.col(f"`{name}`").cast("array<string>"), "; ") if kind.startswith("array") else F.col(f"`{name}`").cast("string")
+        values.append(quoted(F.regexp_replace(F.coalesce(value, F.lit("")), r"\r?\n", " | ")))
+    head = "\ufeff" + ";".join('"' + name.replace('"', '""') + '"' for name in rows.columns)
+
+    def one(values: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([values], names=["value"])
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = False
+        for batch in batches:
+            if batch.num_rows and not begun:
+                yield one(pa.array([head], pa.string()))
+                begun = True
+            yield one(batch.column(0))
+
+    lines = rows.select(F.concat_ws(";", *values).alias("value"))
+    lines.mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+    spark = rows.sparkSession
+    if spark.read.text(path).isEmpty():
+        spark.createDataFrame([(head,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def stage_artifacts(stages: dict[str, DataFrame], path: str) -> None:
