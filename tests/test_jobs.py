@@ -92,6 +92,8 @@ def test_cross_user_duplicates(spark):
     rows = spark.createDataFrame([(1, body, True, "a", "REAL"), (2, " " + body.upper(), True, "a", "REAL"), (3, body, True, "b", "REAL"), (4, "brief", True, "a", "REAL")], "message_id bigint, text string, is_lead boolean, lead_type string, verdict string")
     assert {r["message_id"]: r["verdict"] for r in jobs.cross_user_duplicates(rows).collect()} == {1: "REAL", 2: "MISTAKE", 3: "REAL", 4: "REAL"}
     assert {r["message_id"] for r in jobs.cross_user_duplicates(rows, on_duplicate="skip").collect()} == {1, 3, 4}
+    untyped = rows.withColumn("lead_type", F.lit(None).cast("string"))
+    assert {r["message_id"] for r in jobs.cross_user_duplicates(untyped, on_duplicate="skip").collect()} == {1, 4}
 
 
 def test_stream_into_upserts(spark, tmp_path):

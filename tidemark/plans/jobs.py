@@ -13,7 +13,7 @@ from tidemark.functions.text import json_object, text_hash, ustrip
 from tidemark.functions.unicode import repaired_json
 from tidemark.operators import classifiers, dedup, gates, mining, pipelines, refine, sampling
 from tidemark.operators.scoring import Scorer, on_subset
-from tidemark.session import cut
+from tidemark.session import cut, dimension
 
 SENSES = "array<struct<definition:string,context_clues:array<string>,example_message_ids:array<bigint>>>"
 DRAFT = f"relevant boolean, confidence double, reasoning string, senses {SENSES}"
@@ -176,16 +176,21 @@ def classify_batch(messages: DataFrame, pipeline: Pipeline, scorer: Scorer, done
 
 
 def cross_user_duplicates(decisions: DataFrame, key: str = "message_id", least: int = 100, on_duplicate: str = "write_mistake") -> DataFrame:
-    """Leads whose text another message of the same type holds already: written as MISTAKE or left out."""
-    marked = decisions.withColumn("text_hash", text_hash(F.col("text")))
-    long = F.length(ustrip(F.col("text"))) > least
-    first = marked.where(F.col("is_lead") & long).groupBy("lead_type", "text_hash").agg(F.min(key).alias("first_id"))
-    joined = marked.join(first, ["lead_type", "text_hash"], "left")
-    again = F.coalesce(F.col("is_lead") & long & (F.col("first_id") < F.col(key)), F.lit(False))
+    """Leads whose text another message of the same type holds already: written as MISTAKE or left out.
+
+    Only repeated texts are looked up, by hash, and while they are few they are broadcast; no
+    type is a type like any other.
+    """
+    long = F.col("is_lead") & (F.length(ustrip(F.col("text"))) > least)
+    marked = decisions.withColumns({"__hash": text_hash(F.col("text")), "__long": F.coalesce(long, F.lit(False))})
+    held = marked.where("__long").groupBy(F.col("lead_type").alias("__type"), F.col("__hash").alias("__own")).agg(F.min(key).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    repeated = cut(held.where("__n > 1").drop("__n"), "repeated-leads")
+    joined = marked.join(dimension(repeated, 200_000), F.col("lead_type").eqNullSafe(F.col("__type")) & (F.col("__hash") == F.col("__own")), "left")
+    again = F.coalesce(F.col("__long") & (F.col("__first") < F.col(key)), F.lit(False))
     if on_duplicate == "skip":
-        return joined.where(~again).drop("text_hash", "first_id")
+        return joined.where(~again).select(*decisions.columns)
     made = joined.withColumns({"verdict": F.when(again, "MISTAKE").otherwise(F.col("verdict")), "is_lead": F.col("is_lead") & ~again})
-    return made.drop("text_hash", "first_id")
+    return made.select(*decisions.columns)
 
 
 def repaired(rows: DataFrame, raw: str = "raw") -> DataFrame:
