@@ -2,7 +2,7 @@
 
 Each takes messages and a scorer and adds the decision columns of ``pipelines.opened``. A
 model sees only rows that every earlier stage let through, and only those are written, with
-its replies, before they are read twice.
+its replies, before they are read twice; ``verified`` also writes its gated input once.
 """
 
 from __future__ import annotations
