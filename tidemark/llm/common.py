@@ -60,8 +60,8 @@ def map_texts(
 
     fields = source.select(*keep).schema
     names = [f.name for f in fields] + [part.strip().split(" ")[0] for part in schema.split(",")]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return source.mapInArrow(run, f"{kept}, {schema}")
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    return source.mapInArrow(run, ", ".join([*kept, schema]))
 
 
 def hash_sample(ids: DataFrame, key: str, rows: int, seed: int = 17) -> DataFrame:

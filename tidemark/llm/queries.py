@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     boosted_rules,
     bt_quality,
+    hard_negatives,
+    oph_minhash,
     perspective,
+    prefix_trie,
     simhash_vp,
     spaced_seed,
     subword_lid,
@@ -30,10 +33,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision_pii": weak_pii.query,
     "op9_temperature_mix": temperature_mix.query,
     "op10_warc_split": warc_split.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_oph_minhash": oph_minhash.query,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_cascade": url_cascade.oracle(),
     "op4_perspective_rotation": perspective.ORACLE,
     "op10_warc_split": warc_split.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
