@@ -14,7 +14,7 @@
    classes on such edges.
 5. A star can miss a link between two of its tips. Buckets of three or more classes whose members
    are not all in one component by then are therefore joined once more, inside a task, by
-   an exact count of shared shingles; that gives stars again. Buckets with the same members are
+   an exact count of shared shingles; that gives one edge for each component that joins another. Buckets with the same members are
    joined once. One over ``MAX_CELL`` classes is cut into parts, and every pair of parts is a
    cell of its own, so no task holds more than ``MAX_CELL`` sets and nothing is dropped.
 6. Components of the confirmed edges get the smallest id.
@@ -221,7 +221,7 @@ def residual(members: DataFrame, labels: DataFrame, sets: DataFrame, max_cell: i
 
 
 def residual_stars(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, max_cell: int = MAX_CELL) -> DataFrame:
-    """(a, b): stars of the classes that are linked inside residual buckets."""
+    """(a, b): stars of the known components that a link inside a residual bucket joins."""
     cells, keys = residual(members, labels, sets, max_cell)
 
     def join(group: pa.Table) -> pa.Table:
@@ -230,10 +230,12 @@ def residual_stars(members: DataFrame, labels: DataFrame, sets: DataFrame, perce
         flat, ends = held.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(sizes)))
         own = [flat[x:y] for x, y in zip(ends, ends[1:], strict=False)]
         shared = shared_counts(own, own)
-        left, right = np.nonzero(np.triu(reaches(shared, sizes[:, None], sizes[None, :], percent), 1))
-        label = components(len(own), left, right)
-        moved = np.flatnonzero(label != np.arange(len(own)))
-        return pa.table({"a": pa.array([classes[i] for i in moved], pa.binary()), "b": pa.array([classes[label[i]] for i in moved], pa.binary())})
+        names, of, at = np.unique(group.column("group").to_numpy(), return_index=True, return_inverse=True)
+        apart = at[:, None] != at[None, :]
+        left, right = np.nonzero(np.triu(reaches(shared, sizes[:, None], sizes[None, :], percent) & apart, 1))
+        label = components(len(names), at[left], at[right])
+        moved = np.flatnonzero(label != np.arange(len(names)))  # one edge for each known component that joins another
+        return pa.table({"a": pa.array([classes[of[i]] for i in moved], pa.binary()), "b": pa.array([classes[of[label[i]]] for i in moved], pa.binary())})
 
     return cells.groupBy(*keys).applyInArrow(join, "a binary, b binary")
 
