@@ -284,3 +284,40 @@ def test_op13_shared_counts():
     sets = [np.unique(random.integers(0, 20_000, n, dtype=np.uint64)) for n in (0, 1, 500, 9000, 12_000)]
     want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
     assert oph_minhash.shared_counts(sets, sets).tolist() == want
+
+
+# 9, again ----------------------------------------------------------------------------------
+
+
+def test_op9_target_binds(spark, small):
+    """The exponent is inside (0, 1) on the driver's tables, and an independent bisection finds the same weights."""
+    import math
+
+    from tidemark.llm import temperature_mix
+    from tidemark.session import table
+
+    docs = table(spark, small, "documents")
+    made = temperature_mix.query(spark, small).select("source", "weight").distinct().collect()
+    weights = {r["source"]: r["weight"] for r in made}
+    tokens = {s: 0 for s in weights}
+    for r in docs.select(F.coalesce("source", F.lit("<null>")).alias("s"), "text").collect():
+        tokens[r["s"]] += len((r["text"] or "").encode().split())
+    total = sum(tokens.values())
+    shares = {s: n / total for s, n in tokens.items() if n}
+
+    def at(alpha):
+        raised = {s: p**alpha for s, p in shares.items()}
+        z = sum(raised.values())
+        return {s: r / z for s, r in raised.items()}
+
+    def entropy(ws):
+        return -sum(w * math.log(w) for w in ws.values())
+
+    wanted = (entropy(shares) + math.log(len(shares))) / 2
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if entropy(at(middle)) >= wanted else (low, middle)
+    assert 0.01 < low < 0.99
+    assert all(abs(weights[s] - w) < 1e-6 for s, w in at(low).items())
+    assert any(abs(weights[s] - shares[s]) > 1e-3 for s in shares)

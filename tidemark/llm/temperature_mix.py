@@ -3,7 +3,9 @@
 A source's weight is its token share to the power ``alpha``, normalised. ``alpha`` is found
 by bisection in [0, 1]: the largest exponent (least distortion) whose weights reach the
 target entropy, raised where needed so that no source is repeated more than ``max_epochs``
-times within the budget. Each Spark job tests the end points of sixteen sections at once,
+times within the budget. The target lies between the entropy that the shares have already and
+that of equal weights, ``TARGET_ENTROPY`` of the way up, so it binds on every corpus whose
+sources differ in size; a share of the entropy of equal weights may be given instead. Each Spark job tests the end points of sixteen sections at once,
 four bisection steps, from two power sums; sources are never gathered on the driver.
 
 Weights become token quotas of the budget. A source's documents are dealt by hash into
@@ -46,7 +48,7 @@ from tidemark.session import cut, dimension, table
 
 SECTIONS = 16
 ROUNDS = 6
-TARGET_ENTROPY = 0.95  # share of the entropy of equal weights
+TARGET_ENTROPY = 0.5  # share of the way from the corpus's own entropy to that of equal weights
 MAX_EPOCHS = 4.0
 BLOCK_TOKENS = 1 << 16
 MAX_BLOCKS = 100_000
@@ -82,9 +84,18 @@ def _curve(shares: DataFrame, alphas: list[float]) -> list[tuple[float, float]]:
     return found
 
 
-def solve_alpha(shares: DataFrame, sources: int, epochs_at_one: float, target_entropy: float, max_epochs: float) -> float:
-    """The exponent; ``shares`` has a column ``log``, the log of each source's token share."""
-    wanted = target_entropy * math.log(sources) if sources > 1 else 0.0
+def solve_alpha(shares: DataFrame, sources: int, epochs_at_one: float, target_entropy: float | None, max_epochs: float) -> float:
+    """The exponent; ``shares`` has a column ``log``, the log of each source's token share.
+
+    ``target_entropy`` is a share of the entropy of equal weights; None aims ``TARGET_ENTROPY``
+    of the way from the shares' own entropy to it.
+    """
+    most = math.log(sources) if sources > 1 else 0.0
+    if target_entropy is None:
+        own = min(most, _curve(shares, [1.0])[0][0])
+        wanted = own + TARGET_ENTROPY * (most - own)
+    else:
+        wanted = target_entropy * most
 
     def search(fits, prefer_high: bool) -> float:
         low, high = 0.0, 1.0
@@ -114,7 +125,7 @@ def mix(
     text: str = "text",
     source: str = "source",
     budget_share: float = 1.0,
-    target_entropy: float = TARGET_ENTROPY,
+    target_entropy: float | None = None,
     max_epochs: float = MAX_EPOCHS,
     block_tokens: int = BLOCK_TOKENS,
     max_blocks: int = MAX_BLOCKS,
