@@ -79,10 +79,14 @@ def with_bio(messages: DataFrame, users: DataFrame, author: str = "username", na
 def group_prior(messages: DataFrame, names: DataFrame, priors: DataFrame, group: str = "group_id") -> DataFrame:
     """Two-hop lookup id -> name -> prior; low-confidence priors are not used.
 
-    ``priors`` has group, distribution (map of shares), total_n and confidence.
+    ``priors`` has group, distribution (map of shares), total_n and confidence. A group of
+    several names has the last in order, a name of several priors that of the largest total, so
+    no message is multiplied.
     """
-    known = priors.where("confidence = 'high'").select(F.col("group").alias("__group"), "distribution", "total_n")
-    ids = names.select(F.col("group_id").alias("__id"), F.col("name").alias("__group"))
+    sure = priors.where("confidence = 'high'")
+    known = sure.groupBy(F.col("group").alias("__group")).agg(F.max_by(F.struct("distribution", "total_n"), F.struct("total_n", F.to_json("distribution"))).alias("__p"))
+    known = known.select("__group", "__p.distribution", "__p.total_n")
+    ids = names.groupBy(F.col("group_id").alias("__id")).agg(F.max("name").alias("__group"))
     joined = messages.join(ids, F.col(group) == F.col("__id"), "left").join(known, "__group", "left")
     return joined.drop("__id", "__group")
 

@@ -26,12 +26,13 @@ def expand_geo(rows: DataFrame, mapping: DataFrame, expansion: DataFrame, key: s
 
     ``mapping`` is (raw_value, normalized), ``expansion`` (parent, child). Order and repeats
     are kept; unmapped values go to ``unknown`` as (id, raw). A row without a hit has no codes.
+    Spellings that meet after normalising are one, under the smallest code; repeated children count once.
     """
     items = _exploded(rows, key, values)
-    known = mapping.select(norm_key(F.col("raw_value")).alias("norm"), F.col("normalized").alias("code"))
+    known = mapping.groupBy(norm_key(F.col("raw_value")).alias("norm")).agg(F.min("normalized").alias("code"))
     hits = items.join(dimension(known), "norm", "left")
     codes = hits.select("id", "pos", "code")
-    children = codes.where("code is not null").join(dimension(expansion.select(F.col("parent").alias("code"), "child")), "code")
+    children = codes.where("code is not null").join(dimension(expansion.select(F.col("parent").alias("code"), "child").distinct()), "code")
     both = codes.select("id", "pos", F.lit("").alias("sub"), F.col("code").alias("v")).unionByName(children.select("id", "pos", F.col("child").alias("sub"), F.col("child").alias("v")))
     geo = both.groupBy(F.col("id").alias(key)).agg(_listed("v", "pos", "sub").alias("geo"))
     unknown = hits.where("code is null and norm is not null").select("id", "raw").distinct()
@@ -62,10 +63,11 @@ def expand_and_learn(rows: DataFrame, mapping: DataFrame, expansion: DataFrame,
 def payment_tokens(rows: DataFrame, options: DataFrame, key: str, values: str) -> tuple[DataFrame, DataFrame]:
     """((key, tokens), unknown): methods through their aliases, ordered without repeats; a row without a hit has none.
 
-    ``options`` is (token, aliases); an alias that two options share goes to the smaller token.
+    ``options`` is (token, aliases); an alias that two options share goes to the smaller token,
+    and an option without aliases has its own name.
     """
     items = _exploded(rows, key, values)
-    exploded = options.select("token", F.explode(F.concat("aliases", F.array("token"))).alias("alias"))
+    exploded = options.select("token", F.explode(F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("token"))).alias("alias"))
     names = exploded.groupBy(F.lower("alias").alias("norm")).agg(F.min("token").alias("token"))
     hits = items.join(dimension(names), "norm", "left")
     first = hits.groupBy("id", "token").agg(F.min("pos").alias("pos"))
@@ -78,9 +80,10 @@ def append_implied(geo: DataFrame, tokens: DataFrame, countries: DataFrame, key:
 
     ``countries`` is (token, countries).
     """
-    items = tokens.select(F.col(key).alias("id"), F.posexplode("tokens").alias("pos", "token")).join(dimension(countries), "token")
-    implied = items.groupBy("id").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "countries"))), lambda x: x["countries"]))).alias("implied"))
-    both = geo.join(implied, F.col(key) == F.col("id"), "full")
+    known = countries.groupBy("token").agg(F.array_distinct(F.flatten(F.array_sort(F.collect_list("countries")))).alias("countries"))
+    items = tokens.select(F.col(key).alias("id"), F.posexplode("tokens").alias("pos", "token")).join(dimension(known), "token")
+    implied = items.groupBy(F.col("id").alias("__id")).agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "countries"))), lambda x: x["countries"]))).alias("implied"))
+    both = geo.join(implied, F.col(key) == F.col("__id"), "full")
     own = F.coalesce("geo", F.array().cast("array<string>"))
     extra = F.array_except(F.coalesce("implied", F.array().cast("array<string>")), own)
-    return both.select(F.coalesce(key, "id").alias(key), F.concat(own, extra).alias("geo"))
+    return both.select(F.coalesce(key, "__id").alias(key), F.concat(own, extra).alias("geo"))

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import bound, form_pattern, norm_key, quoted, token_kind, token_norm, tokens, ustrip
+from tidemark.functions.text import bound, norm_key, quoted, token_kind, token_norm, tokens, ustrip
+from tidemark.operators import gazetteer
 from tidemark.operators.sampling import sample_order
 from tidemark.patterns import DEFINITIONS, ready
+from tidemark.session import cut
 
 
 def message_tokens(messages: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -66,34 +68,25 @@ def hash_examples(units: DataFrame, per_term: int = 25, seed: int = 42) -> DataF
     return near.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= per_term).select("norm", "id", "r")
 
 
-def gazetteer_scan(messages: DataFrame, entries: Sequence[Mapping], key: str, text: str = "text", least: int = 1) -> DataFrame:
-    """(term, kind, frequency, surface_forms) of curated entries; one message counts once, under its first form.
+def gazetteer_join(messages: DataFrame, forms: DataFrame, key: str, text: str = "text", least: int = 1) -> DataFrame:
+    """(term, kind, frequency, surface_forms) of a table of forms; one message counts once a term, under its first form.
 
-    A text is searched for the forms as plain substrings first, in one expression however many
-    there are; only forms found are tried as patterns, and only hits are exploded.
+    ``forms`` is (term, kind, form, at, alone), see ``gazetteer.form_hits``; it may be any size.
     """
-    forms = [(e["canonical"], f"gazetteer:{e['category']}", form) for e in entries for form in e["forms"]]
-    known = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(k).alias("kind"), F.lit(f).alias("form"), F.lit(f.lower()).alias("low"), F.lit(form_pattern(f)).alias("pattern")) for t, k, f in forms])
-
-    def verified(low: Column) -> Column:
-        near = F.filter(known, lambda e: F.contains(low, e["low"]))
-        return F.filter(near, lambda e: F.rlike(F.col(text), e["pattern"]))
+    hits = gazetteer.form_hits(messages, forms, [key], text)
+    counted = hits.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("frequency"), F.array_sort(F.collect_set("form")).alias("surface_forms"))
+    return counted.where(F.col("frequency") >= least)
 
-    def first_of_each(found: Column) -> Column:
-        terms = F.transform(found, lambda e: e["term"])
-        return F.filter(found, lambda e, i: F.array_position(terms, e["term"]) == i + 1)
 
-    hits = bound(bound(F.lower(F.coalesce(F.col(text), F.lit(""))), verified), first_of_each)
-    rows = messages.select(F.explode(hits).alias("h")).select("h.term", "h.kind", "h.form")
-    counted = rows.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("frequency"), F.array_sort(F.collect_set("form")).alias("surface_forms"))
-    return counted.where(F.col("frequency") >= least)
+def gazetteer_scan(messages: DataFrame, entries: Sequence[Mapping], key: str, text: str = "text", least: int = 1) -> DataFrame:
+    """``gazetteer_join`` with curated entries (canonical, forms, category)."""
+    return gazetteer_join(messages, gazetteer.forms_of(messages.sparkSession, entries), key, text, least)
 
 
 def phrase_backfill(messages: DataFrame, phrases: Sequence[str], key: str, text: str = "text", least: int = 1, examples: int = 15) -> DataFrame:
     """(phrase, frequency, examples): messages that contain each phrase, with the first ids."""
-    words, low = F.array(*[F.lit(p) for p in phrases]), F.lower(F.coalesce(F.col(text), F.lit("")))
-    hits = bound(low, lambda held: F.filter(words, lambda p: F.contains(held, F.lower(p))))
-    rows = messages.select(F.col(key).alias("id"), F.explode(hits).alias("phrase"))
+    hits = gazetteer.form_hits(messages, gazetteer.plain_forms(messages.sparkSession, phrases), [key], text)
+    rows = cut(hits.select(F.col(key).alias("id"), F.col("term").alias("phrase")), "phrase-hits")
     counts = rows.groupBy("phrase").agg(F.count(F.lit(1)).alias("frequency"))
     near = Window.partitionBy("phrase", F.pmod(F.col("id"), F.lit(64))).orderBy("id")
     thin = rows.withColumn("r", F.row_number().over(near)).where(F.col("r") <= examples)
@@ -125,15 +118,16 @@ def mine_brands(messages: DataFrame, patterns: Mapping[str, str], text: str = "t
 def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text: str = "text", templates: Sequence[tuple[str, str]] = DEFINITIONS, per_term: int = 3) -> DataFrame:
     """(term, definition, pattern, id): the first distinct inline definitions of each term.
 
-    Order is message, then template. A text is searched for the terms as substrings, and only
+    Order is message, then template. An automaton finds the terms in the texts, and only
     (text, term) pairs found meet the templates. Equal definitions meet first (min-aggregate);
     the survivors per term are few.
     """
-    known = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(t.lower()).alias("low"), F.lit(quoted(t)).alias("quoted")) for t in terms])
     asked = [(at, label, ready([template.replace("{{", "{").replace("}}", "}")])[0]) for at, (label, template) in enumerate(templates)]
     patterns = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(label).alias("pattern"), F.lit(p).alias("template")) for at, label, p in asked])
-    near = bound(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda low: F.filter(known, lambda t: F.contains(low, t["low"])))
-    pairs = messages.select(F.col(key).alias("id"), F.col(text).alias("said"), F.explode(near).alias("t"))
+    named = [(t, quoted(t), t, i, False) for i, t in enumerate(dict.fromkeys(terms))]  # the kind carries the pattern
+    forms = messages.sparkSession.createDataFrame(named, gazetteer.FORMS)
+    hits = gazetteer.form_hits(messages.select(F.col(key).alias("id"), F.col(text).alias("said")), forms, ["id", "said"], "said")
+    pairs = hits.select("id", "said", F.struct("term", F.col("kind").alias("quoted")).alias("t"))
 
     def tried(t: Column) -> Column:
         hit = F.call_function("regexp_extract", F.col("said"), F.replace(t["template"], F.lit("{term}"), F.col("t.quoted")), F.lit(1))

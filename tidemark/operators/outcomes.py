@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut
 from tidemark.sources.sinks import latest_wins
 
 
@@ -56,12 +57,24 @@ def judged(leads: DataFrame, verdicts: DataFrame, key: str = "message_id", defau
 
 
 def append_new(rows: DataFrame, path: str, key: str) -> int:
-    """Append the rows whose key the JSON-lines folder lacks; returns how many. A rerun adds nothing."""
-    from tidemark.sources.sinks import _exists, pending
+    """Append the rows whose key the JSON-lines folder lacks; returns how many. A rerun adds nothing.
+
+    Of rows that share a key the one of least contents goes in. Rows without a key are told
+    apart by all their contents.
+    """
+    from tidemark.sources.sinks import _exists
 
     spark = rows.sparkSession
+
+    def named(frame: DataFrame) -> DataFrame:
+        said = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+        return frame.withColumns({"__said": said, "__name": F.when(F.col(key).isNotNull(), F.to_json(F.struct(F.col(key).alias("k")))).otherwise(said)})
+
+    new = named(rows)
     if _exists(spark, path):
-        rows = pending(rows, spark.read.schema(rows.schema).json(path), key)
+        new = new.join(named(spark.read.schema(rows.schema).json(path)).select("__name").distinct(), "__name", "left_anti")
+    first = new.groupBy("__name").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), "__said").alias("__row"))
+    rows = cut(first.select(*[F.col("__row").getField(c).alias(c) for c in rows.columns]), "new-rows")
     count = rows.count()
     if count:
         rows.write.mode("append").json(path)

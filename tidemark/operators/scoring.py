@@ -19,13 +19,15 @@ class Scorer(Protocol):
 
 
 class ReplayScorer:
-    """Recorded outputs: a table of (message_id, stage, raw), the latest kept by the caller."""
+    """Recorded outputs: a table of (message_id, stage, raw[, at]); of repeated replies the last by ``at`` counts, else the greatest."""
 
     def __init__(self, recorded: DataFrame, key: str = "message_id") -> None:
         self.recorded, self.key = recorded, key
 
     def score(self, rows: DataFrame, stage: str) -> DataFrame:
-        own = self.recorded.where(F.col("stage") == stage).select(F.col("message_id").alias("__id"), "raw")
+        rank = F.struct("at", "raw") if "at" in self.recorded.columns else F.struct("raw")
+        own = self.recorded.where(F.col("stage") == stage).groupBy(F.col("message_id").alias("__id")).agg(F.max(rank).alias("__r"))
+        own = own.select("__id", "__r.raw")
         return rows.join(own, F.col(self.key) == F.col("__id"), "left").drop("__id")
 
 

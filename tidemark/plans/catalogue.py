@@ -345,7 +345,7 @@ PHRASES = ("of the", "and the", "in the", "de la", "der ein")
 SELECT phrase, count(*) AS frequency, array_to_string(list_slice(list_sort(list(doc_id)), 1, 15), ',') AS examples FROM hits GROUP BY phrase""",
 )
 def phrase_backfill(spark, d):
-    made = mining.phrase_backfill(table(spark, d, "documents"), PHRASES, "doc_id")
+    made = mining.phrase_backfill(spread(table(spark, d, "documents").select("doc_id", "text")), PHRASES, "doc_id")
     return made.withColumn("examples", F.array_join(F.col("examples").cast("array<string>"), ","))
 
 
@@ -369,10 +369,35 @@ def _form_sql(form: str) -> str:
     + ") SELECT term, kind, count(*) AS frequency, array_to_string(list_sort(list(DISTINCT form)), ',') AS surface_forms FROM hits WHERE form IS NOT NULL GROUP BY term, kind",
 )
 def gazetteer_scan(spark, d):
-    made = mining.gazetteer_scan(table(spark, d, "documents").select("doc_id", "text"), GAZETTEER, "doc_id")
+    made = mining.gazetteer_scan(spread(table(spark, d, "documents").select("doc_id", "text")), GAZETTEER, "doc_id")
     return made.withColumn("surface_forms", F.array_join("surface_forms", ","))
 
 
+@query(
+    "gazetteer_table",
+    r"""WITH spelled AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
+pairs AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS form FROM spelled),
+forms AS (
+  SELECT form AS term, 'pair' AS kind, form FROM pairs
+  UNION ALL SELECT lower(n_name), 'nation', lower(n_name) FROM nation
+  UNION ALL SELECT DISTINCT p_name, 'part', p_name FROM part
+), said AS (SELECT doc_id, lower(text) AS low FROM documents WHERE text IS NOT NULL)
+SELECT term, kind, count(*) AS frequency FROM said JOIN forms ON contains(low, form) AND regexp_matches(low, '(^|[^a-z0-9])' || form || '($|[^a-z0-9])')
+GROUP BY term, kind""",
+)
+def gazetteer_table(spark, d):
+    """Terms from tables: every pair of words of the benchmark, nations and part names, in all documents."""
+    words = table(spark, d, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w"))
+    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat(F.get("w", i - 1), F.lit(" "), F.get("w", i)))).alias("form")).where("form is not null")
+    named = [pairs.distinct().withColumn("kind", F.lit("pair"))]
+    named.append(table(spark, d, "nation").select(F.lower("n_name").alias("form"), F.lit("nation").alias("kind")))
+    named.append(table(spark, d, "part").select(F.col("p_name").alias("form"), F.lit("part").alias("kind")).distinct())
+    forms = named[0].unionByName(named[1]).unionByName(named[2])
+    forms = forms.select(F.concat("kind", F.lit(":"), "form").alias("term"), "kind", "form", F.lit(0).cast("bigint").alias("at"), F.lit(True).alias("alone"))
+    made = mining.gazetteer_join(spread(table(spark, d, "documents").select("doc_id", "text")), forms, "doc_id")
+    return made.select(F.get("surface_forms", 0).alias("term"), "kind", "frequency")
+
+
 BRANDS = {"site": r"([A-Za-z][A-Za-z0-9-]+)\.(?:example|org|com|net)", "mailbox": r"@([A-Za-z][A-Za-z0-9-]*)\."}
 
 

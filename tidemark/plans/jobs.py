@@ -207,13 +207,24 @@ def serve(
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
     scam: Column | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """A stream through its ordered per-batch steps (ban list, pipelines, normalisation) into an upserting sink."""
-    rows = messages if scam is None else messages.where(~F.coalesce(scam, F.lit(False)))
+    """A stream through its ordered per-batch steps (ban list, pipelines, normalisation) into an upserting sink.
+
+    Scam rows skip the steps but are written, with the verdict ``SCAM`` and what columns the
+    others gained null. ``every`` is the pause between batches of a stream that goes on; without
+    one it ends once all there is has been read.
+    """
 
     def batch(frame: DataFrame, number: int) -> None:
+        flagged = frame if scam is None else frame.withColumn("__scam", F.coalesce(scam, F.lit(False)))
+        rows = flagged if scam is None else flagged.where("not __scam").drop("__scam")
         for step in steps:
-            frame = step(frame, number)
-        sink(frame, number)
-
-    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            rows = step(rows, number)
+        if scam is not None:
+            held = flagged.where("__scam").drop("__scam").withColumn("verdict", F.lit("SCAM"))
+            rows = rows.unionByName(held, allowMissingColumns=True)
+        sink(rows, number)
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()

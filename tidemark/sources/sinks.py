@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tidemark.session import cut, ship
 
 
+#: Which micro-batch wrote a row.
+BATCH = "batch"
+
+
 def _whole(keys: Sequence[str]) -> Column:
     """No key is null; a null in any key never conflicts with anything."""
     whole = F.lit(True)
@@ -81,9 +85,14 @@ def insert_if_absent(target: DataFrame, delta: DataFrame, keys: Sequence[str], o
     return _one_per_key(delta, keys, order, F.min_by).join(target.select(*keys), list(keys), "left_anti").select(*delta.columns)
 
 
-def replace_table(frame: DataFrame, path: str) -> None:
+def _mark(path: str, number: int) -> str:
+    return f"{path}/_{BATCH}/{number}"
+
+
+def replace_table(frame: DataFrame, path: str, number: int | None = None) -> None:
     """Overwrite a table that ``frame`` may read from.
 
+    With a batch ``number`` the new table carries a mark of it, which readers don't see.
     The new table is written beside the old one and takes its name by renames; a crash between
     them leaves both whole under ``path`` + ``.next`` and ``.old``.
     """
@@ -91,6 +100,8 @@ def replace_table(frame: DataFrame, path: str) -> None:
     paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + end) for end in ("", ".next", ".old")]
     system = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     frame.write.mode("overwrite").parquet(path + ".next")
+    if number is not None:
+        system.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_mark(path + ".next", number)), True).close()
     system.delete(paths[2], True)
     if system.exists(paths[0]) and not system.rename(paths[0], paths[2]):
         raise OSError(f"cannot move {path} aside")
@@ -99,14 +110,30 @@ def replace_table(frame: DataFrame, path: str) -> None:
     system.delete(paths[2], True)
 
 
-def merge_buckets(delta: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> None:
-    """Upsert into a table partitioned by a hash of its keys: only partitions that the delta touches are rewritten."""
+def before_batch(target: DataFrame, number: int) -> DataFrame:
+    """The table without the rows that a batch of this number wrote: a replay starts from there.
+
+    Rows that the batch overwrote are overwritten again by the same rows, so keyed rows end
+    alike, and rows with a null in a key, which conflict with nothing, aren't written twice.
+    """
+    return target.where(~F.col(BATCH).eqNullSafe(F.lit(number).cast("bigint"))) if BATCH in target.columns else target
+
+
+def merge_buckets(delta: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int, number: int | None = None) -> None:
+    """Upsert into a table partitioned by a hash of its keys: only partitions that the delta touches are rewritten.
+
+    With a batch ``number`` the rows keep it (column ``batch``), and a replay changes nothing.
+    """
+    if number is not None:
+        delta = delta.withColumn(BATCH, F.lit(number).cast("bigint"))
     spark = delta.sparkSession
     marked = delta.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     touched = [r[0] for r in marked.select("bucket").distinct().collect()]  # at most ``buckets``
     if not touched:
         return
     base = spark.read.parquet(path).where(F.col("bucket").isin(touched)) if _exists(spark, path) else marked.limit(0)
+    if number is not None:
+        base = before_batch(base, number)
     merged = cut(upsert(base, marked, keys, order), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 

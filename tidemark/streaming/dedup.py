@@ -94,17 +94,23 @@ def without_banned_live(load: Callable[[], DataFrame], author: str = "username")
 def upsert_sink(path: str, keys: list[str], order: list[str], buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges each micro-batch into a parquet table; replays change nothing.
 
+    The whole table carries a mark of its last batch, renamed with it, and a batch that finds its
+    own mark is skipped. In buckets, of which a crash may leave some unwritten, rows keep the number
+    of their batch (column ``batch``) and a replay starts from the rows of the others. Keyed,
+    null-keyed and repeated rows all end as after the batch's first run.
     With ``buckets`` the table is partitioned by a hash of its keys (column ``bucket``) and a batch
     rewrites only the partitions it touches; without, the whole table, which suits small ones.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        from tidemark.sources.sinks import _exists
+    def merge(batch: DataFrame, number: int) -> None:
+        from tidemark.sources.sinks import _exists, _mark
 
         if buckets:
-            return merge_buckets(batch, path, keys, order, buckets)
+            return merge_buckets(batch, path, keys, order, buckets, number)
         spark = batch.sparkSession
+        if _exists(spark, _mark(path, number)):
+            return None
         base = spark.read.parquet(path) if _exists(spark, path) else batch.limit(0)
-        replace_table(upsert(base, batch, keys, order), path)
+        return replace_table(upsert(base, batch, keys, order), path, number)
 
     return merge
