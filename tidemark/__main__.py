@@ -16,6 +16,7 @@ from tidemark.operators.gates import DomainPack
 from tidemark.operators.outcomes import append_new, judged, listing
 from tidemark.operators.pipelines import extract, judge
 from tidemark.operators.scoring import ReplayScorer
+from tidemark.operators.textindex import build_index, with_vectors
 from tidemark.plans import catalogue
 from tidemark.plans.jobs import GlossaryPlan, build_glossary
 from tidemark.session import build_session
@@ -100,7 +101,8 @@ def main(args: list[str] | None = None) -> None:
     elif given.command == "index":
         rows = spark.read.csv(given.examples, sep=sniff(spark, given.examples), header=True, multiLine=True, escape='"')
         known = F.lower(F.trim("label")).isin("true", "1", "yes", "provider", "lead")
-        rows.where("text is not null").select(F.xxhash64("text").alias("id"), "text", F.coalesce(known, F.lit(False)).alias("label")).dropDuplicates(["id"]).write.mode("overwrite").parquet(given.out)
+        labelled = rows.where("text is not null").select(F.xxhash64("text").alias("id"), "text", F.coalesce(known, F.lit(False)).alias("label")).dropDuplicates(["id"])
+        build_index(with_vectors(labelled), given.out, "id")
     elif given.command == "mine":
         build_glossary(_messages(spark, given.messages), GlossaryPlan(least=given.least)).write.mode("overwrite").parquet(given.out)
     else:

@@ -152,9 +152,3 @@ def nearest_of_all(index: DataFrame, queries: DataFrame, per_label: int = 5, key
         made = cut(made, "nearest") if blocks > 1 else made
         result = made if result is None else result.unionByName(made)
     return result
-
-
-def few_shot_block(examples: Column, limit: int = 220) -> Column:
-    """Examples (array of label, text) as prompt lines."""
-    lines = F.transform(examples, lambda e: F.concat(F.lit("["), e["label"].cast("string"), F.lit("] "), F.substring(F.regexp_replace(e["text"], "\n", " "), 1, limit)))
-    return F.array_join(lines, "\n")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalise, text
-from tidemark.operators import context, dedup, evaluate, gates, geo, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring
+from tidemark.operators import context, dedup, evaluate, gates, geo, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring, textindex
 from tidemark.plans import jobs
 from tidemark.session import spread, table
 from tidemark.sources import readers, sinks
@@ -539,6 +539,42 @@ def rag_topk(spark, d):
     return retrieve.nearest_of_all(spread(index), index.where("vec_id % 20 = 0"), per_label=2)
 
 
+@query(
+    "ivf_topk",
+    """WITH rows AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+centres AS (SELECT row_number() OVER (ORDER BY vec_id) AS list, v AS c FROM rows WHERE vec_id % 25 = 3),
+near AS (SELECT vec_id, list, row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(v, c) DESC, list) AS pos FROM rows, centres),
+held AS (SELECT list, r.* FROM near JOIN rows r USING (vec_id) WHERE pos = 1),
+asked AS (SELECT list, r.vec_id AS query_id, r.v AS q FROM near JOIN rows r USING (vec_id) WHERE pos <= 4 AND vec_id % 20 = 0),
+found AS (SELECT query_id, label, vec_id, round(1 - list_cosine_similarity(q, v), 9) AS d FROM asked JOIN held USING (list) WHERE vec_id <> query_id)
+SELECT query_id, label, vec_id, CAST(row_number() OVER (PARTITION BY query_id, label ORDER BY d, vec_id) AS INT) AS rank FROM found
+QUALIFY row_number() OVER (PARTITION BY query_id, label ORDER BY d, vec_id) <= 2""",
+)
+def ivf_topk(spark, d):
+    """Every twentieth vector against the four nearest lists of an inverted file, re-ranked exactly. The centroids are rows of the table."""
+    rows = spread(table(spark, d, "embeddings"))
+    chosen = rows.where("vec_id % 25 = 3").select("vec_id", F.col("embedding").cast("array<double>").alias("v")).orderBy("vec_id")
+    centroids = textindex.unit_rows(chosen.limit(textindex.LISTS).toArrow().column("v"))
+    indexed = textindex.assigned(rows, centroids).withColumn("list", F.get("lists", F.lit(0)))
+    found = textindex.search(indexed, centroids, rows.where("vec_id % 20 = 0"), per_label=2, probes=4, key="vec_id")
+    return found.select("query_id", "label", "vec_id", "rank")
+
+
+@query("few_shot_neighbours")
+def few_shot_neighbours(spark, d):
+    """Few-shot blocks of every twentieth document from its nearest labelled documents, through text vectors and a written index."""
+    from tidemark.session import scratch_path
+
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    path = scratch_path(spark, "text-index")
+    textindex.build_index(textindex.with_vectors(docs.join(labels, "doc_id")), path, "doc_id")
+    indexed, centroids = textindex.load_index(spark, path)
+    asked = textindex.with_vectors(docs.where("doc_id % 20 = 0"))
+    found = textindex.search(indexed, centroids, asked, per_label=3, key="doc_id", label="quality")
+    return textindex.few_shot_blocks(found, indexed, "doc_id", positive="1")
+
+
 @query(
     "systematic_sample",
     """WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, greatest(1, count(*) OVER () // 50) AS step FROM documents)
