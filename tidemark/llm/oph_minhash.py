@@ -14,8 +14,10 @@
    classes on such edges.
 5. A star can miss a link between two of its tips. Buckets of three or more classes whose members
    are not all in one component by then are therefore joined once more, inside a task, by
-   an exact count of shared shingles; that gives one edge for each component that joins another. Buckets with the same members are
-   joined once. One over ``MAX_CELL`` classes is cut into parts, and every pair of parts is a
+   an exact count of shared shingles; that gives one edge for each component that joins another.
+   The centre serves as a vantage point: members linked with it need no part in that unless one
+   of another component has a similarity to it of at least 0.6, below which, by the triangle
+   inequality, no link with them is possible. Buckets with the same members are joined once. One over ``MAX_CELL`` classes is cut into parts, and every pair of parts is a
    cell of its own, so no task holds more than ``MAX_CELL`` sets and nothing is dropped.
 6. Components of the confirmed edges get the smallest id.
 
@@ -172,15 +174,21 @@ def sets_of(wanted: DataFrame, sigs: DataFrame, docs: DataFrame, key: str, text:
     return made.select("cls", _short(F.col("cls")).alias("c"), "n", "h")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs of short numbers (c, d) whose classes reach the threshold; sizes are looked at before sets move."""
+def graded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, c, d, grade) of the pairs of short numbers (c, d): 2 for a link, 1 if a set linked with one may still be linked with the other.
+
+    By the triangle inequality of the Jaccard distance that takes a similarity of at least
+    twice the limit less one; pairs that can't reach it by their sizes are left out before sets move.
+    """
     about = sets.select("cls", "c", "n")
     sized = pairs.join(about.withColumnsRenamed({"cls": "a", "n": "na"}), "c").join(about.select(F.col("c").alias("d"), F.col("cls").alias("b"), F.col("n").alias("nb")), "d")
-    sized = sized.where(reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), percent) & (F.col("a") != F.col("b"))).select("a", "b", "na", "nb")
+    least = max(0, 2 * percent - 100)
+    sized = sized.where(reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), least) & (F.col("a") != F.col("b"))).select("a", "b", "c", "d", "na", "nb")
     left = sets.select(F.col("cls").alias("a"), F.col("h").alias("ha"))
     right = sets.select(F.col("cls").alias("b"), F.col("h").alias("hb"))
-    shared = F.size(F.array_intersect("ha", "hb"))
-    return sized.join(left, "a").join(right, "b").where(reaches(shared, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    both = sized.join(left, "a").join(right, "b").select("a", "b", "c", "d", "na", "nb", F.size(F.array_intersect("ha", "hb")).alias("shared"))
+    grade = F.when(reaches(F.col("shared"), F.col("na"), F.col("nb"), percent), 2).when(reaches(F.col("shared"), F.col("na"), F.col("nb"), least), 1)
+    return both.select("a", "b", "c", "d", grade.alias("grade")).where("grade is not null")
 
 
 def shared_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
@@ -202,11 +210,21 @@ def shared_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return counts.astype(np.int64)
 
 
-def residual(members: DataFrame, labels: DataFrame, sets: DataFrame, max_cell: int) -> tuple[DataFrame, list[str]]:
-    """(cells of bucket members with their sets, their keys): buckets of three or more whose members are not of one component."""
+def residual(members: DataFrame, labels: DataFrame, sets: DataFrame, grades: DataFrame, max_cell: int) -> tuple[DataFrame, list[str]]:
+    """(cells of bucket members with their sets, their keys): the members among which links may be that the stars don't show.
+
+    A bucket's members that are linked with its centre take part only if one of another
+    component is near enough to the centre to be linked with them.
+    """
     known = sets.select("c", "cls").join(labels.withColumnRenamed("v", "cls"), "cls", "left")
     known = known.groupBy("c").agg(F.min(F.xxhash64(F.coalesce("root", "cls"))).alias("group"))
-    named = members.where("n > 2").join(known, "c")
+    near = grades.groupBy("c", F.col("d").alias("centre")).agg(F.max("grade").alias("grade"))
+    named = members.where("n > 2").join(known, "c").join(near, ["c", "centre"], "left").drop("n")
+    named = named.withColumn("grade", F.when(F.col("c") == F.col("centre"), 2).otherwise(F.coalesce("grade", F.lit(0))))
+    own, middle = F.when(F.col("c") == F.col("centre"), F.col("group")), F.when(F.col("grade") == 1, F.col("group"))
+    reach = named.groupBy("bucket").agg(F.max(own).alias("own"), F.min(middle).alias("low"), F.max(middle).alias("high"))
+    reach = reach.select("bucket", F.coalesce((F.col("low") != F.col("own")) | (F.col("high") != F.col("own")), F.lit(False)).alias("reach"))
+    named = cut(named.join(reach, "bucket").where("grade < 2 or reach").select("bucket", "c", "group"), "residual-members")
     about = named.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("who"))
     apart = cut(about.where("low != high").groupBy("n", "who").agg(F.min("bucket").alias("bucket")), "residual")
     parts = F.ceil(F.col("n") / F.lit(max_cell / 2.0)).cast("bigint")
@@ -220,9 +238,9 @@ def residual(members: DataFrame, labels: DataFrame, sets: DataFrame, max_cell: i
     return spread.join(sets, "c").select(*keys, "cls", "group", "n", "h"), keys
 
 
-def residual_stars(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, max_cell: int = MAX_CELL) -> DataFrame:
+def residual_stars(members: DataFrame, labels: DataFrame, sets: DataFrame, grades: DataFrame, percent: int, max_cell: int = MAX_CELL) -> DataFrame:
     """(a, b): stars of the known components that a link inside a residual bucket joins."""
-    cells, keys = residual(members, labels, sets, max_cell)
+    cells, keys = residual(members, labels, sets, grades, max_cell)
 
     def join(group: pa.Table) -> pa.Table:
         classes, sizes = group.column("cls").to_pylist(), group.column("n").to_numpy()
@@ -256,10 +274,11 @@ def near_duplicates(
     pairs = cut(members.where("c != centre").select("c", F.col("centre").alias("d")).distinct(), "star-edges")
     wanted = cut(pairs.select("c").union(pairs.select("d")).distinct(), "paired")
     sets = cut(sets_of(wanted, sigs, docs, key, text, shingle), "sets")
-    stars = cut(confirmed(pairs, sets, percent), "links")
+    grades = cut(graded(pairs, sets, percent), "grades")
+    stars = grades.where("grade = 2").select("a", "b")
     labels = connect(stars)
     roots = labels.select(F.col("root").alias("v"), "root").distinct()
-    more = cut(residual_stars(members, cut(labels.unionByName(roots), "labels"), sets, percent, max_cell), "more-links")
+    more = cut(residual_stars(members, cut(labels.unionByName(roots), "labels"), sets, grades, percent, max_cell), "more-links")
     if not more.isEmpty():
         labels = connect(stars.unionByName(more))
         roots = labels.select(F.col("root").alias("v"), "root").distinct()
