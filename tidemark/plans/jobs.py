@@ -9,19 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.text import json_object, text_hash, ustrip
+from tidemark.functions.text import is_blank, json_object, text_hash, truncated, ustrip
 from tidemark.functions.unicode import repaired_json
-from tidemark.operators import classifiers, dedup, gates, mining, pipelines, refine, sampling
+from tidemark.operators import classifiers, dedup, gates, gazetteer, lemmas, mining, pipelines, refine, sampling
 from tidemark.operators.scoring import Scorer, on_subset
+from tidemark.patterns import DEFINITIONS
 from tidemark.session import cut, dimension
 
 SENSES = "array<struct<definition:string,context_clues:array<string>,example_message_ids:array<bigint>>>"
+CRITIQUE = "issue_severity string, domain_specific boolean, wrongly_admitted_noise boolean, missing_senses array<struct<description:string>>"
 DRAFT = f"relevant boolean, confidence double, reasoning string, senses {SENSES}"
 
 
 @dataclass(frozen=True)
 class GlossaryPlan:
-    """Parameters of a glossary build."""
+    """Parameters of a glossary build.
+
+    ``lemmas`` is a table (form, lemma); without one, terms cluster by case alone. Drafts of at
+    most ``research_at_most`` confidence are researched; null turns that off.
+    """
 
     gazetteer: Sequence[Mapping] = ()
     brand_patterns: Mapping[str, str] = field(default_factory=dict)
@@ -31,10 +37,18 @@ class GlossaryPlan:
     top: int = 200
     phrase_batches: int = 30
     phrase_batch: int = 20
+    lemmas: DataFrame | None = None
+    definitions: Sequence[tuple[str, str]] = DEFINITIONS
+    examples: int = 15
+    example_chars: int = 400
+    research_at_most: float | None = 0.5
 
 
-def candidate_pools(messages: DataFrame, plan: GlossaryPlan, key: str = "message_id", phrases: Sequence[str] = ()) -> DataFrame:
-    """Rules, gazetteer, phrases and brands, in that order, then clustered: the deterministic half of a build."""
+def candidate_pools(messages: DataFrame, plan: GlossaryPlan, key: str = "message_id", phrases: Sequence[str] = (), scorer: Scorer | None = None) -> DataFrame:
+    """Rules, gazetteer, phrases and brands, in that order, then clustered by lemmas or case.
+
+    Without a scorer this is the deterministic half of a build; with one, only brands that it confirms are in.
+    """
     rules = mining.candidates(mining.message_tokens(messages, key), plan.least, skip=plan.skip)
     pools = [rules.select("term", "kind", "frequency", "surface_forms")]
     if plan.gazetteer:
@@ -46,8 +60,52 @@ def candidate_pools(messages: DataFrame, plan: GlossaryPlan, key: str = "message
         pools.append(found.select(F.col("phrase").alias("term"), kind.alias("kind"), "frequency", empty.alias("surface_forms")))
     if plan.brand_patterns:
         brands = mining.mine_brands(messages, plan.brand_patterns, skip=plan.skip)
+        if scorer is not None:
+            brands = confirmed_brands(cut(brands, "mined-brands"), scorer, key)
         pools.append(brands.select(F.col("brand").alias("term"), F.lit("brand").alias("kind"), "frequency", empty.alias("surface_forms")))
-    return mining.cluster(mining.pooled(*pools))
+    pooled = mining.pooled(*pools)
+    if plan.lemmas is None:
+        return mining.cluster(pooled)
+    return mining.cluster(lemmas.with_lemma_key(cut(pooled, "pools"), plan.lemmas), F.col("lemma_key"))
+
+
+def term_evidence(messages: DataFrame, terms: DataFrame, key: str = "message_id", examples: int = 15, chars: int = 400, templates: Sequence[tuple[str, str]] = DEFINITIONS) -> DataFrame:
+    """Adds ``examples`` (id, text), ``definitions`` and ``prompt`` to a table of at most some hundred terms.
+
+    One automaton pass finds the messages that hold a term or one of its surface forms as
+    words; only ids are sampled, by hash, and the texts of the chosen ones are fetched then and
+    shown up to ``chars`` characters. Definitions are the inline ones of the term itself. A term
+    that no message holds has none of either.
+    """
+    spelled = F.array_distinct(F.concat(F.array("term"), F.coalesce("surface_forms", F.array().cast("array<string>"))))
+    forms = terms.select("term", "kind", F.posexplode(spelled).alias("at", "form")).select("term", "kind", "form", F.col("at").cast("bigint").alias("at"), F.lit(True).alias("alone"))
+    held = gazetteer.form_hits(messages.select(key, "text"), forms, [key], "text").select(F.col("term").alias("norm"), F.col(key).alias("id"))
+    chosen = cut(mining.hash_examples(held, examples), "examples")
+    met = messages.select(F.col(key).alias("id"), "text").join(dimension(chosen), "id")
+    line = truncated(F.replace(ustrip(F.col("text")), F.lit("\n"), F.lit(" ")), chars)
+    shown = F.transform(F.array_sort(F.collect_list(F.struct("r", "id", line.alias("text")))), lambda x: F.struct(x["id"].alias("id"), x["text"].alias("text")))
+    seen = met.groupBy(F.col("norm").alias("term")).agg(shown.alias("examples"))
+    names = [r["term"] for r in terms.select("term").orderBy("term").collect()]
+    found = mining.self_definitions(messages, names, key, templates=templates)
+    said = found.groupBy("term").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "definition"))), lambda x: x["definition"]).alias("definitions"))
+    rows = terms.join(seen, "term", "left").join(said, "term", "left")
+    rows = rows.withColumn("definitions", F.coalesce("definitions", F.array().cast("array<string>")))
+    rows = rows.withColumn("examples", F.coalesce("examples", F.array().cast(dict(rows.dtypes)["examples"])))
+    blocks = [
+        F.concat(F.lit("Term: "), "term", F.lit(" ("), "kind", F.lit(", "), F.col("frequency").cast("string"), F.lit(" messages)")),
+        F.concat(F.lit("Forms: "), F.array_join("surface_forms", ", ")),
+        F.when(F.size("definitions") > 0, F.concat(F.lit("Inline definitions:\n"), F.array_join(F.transform("definitions", lambda x: F.concat(F.lit("- "), x)), "\n"))),
+        F.when(F.size("examples") > 0, F.concat(F.lit("Examples:\n"), F.array_join(F.transform("examples", lambda x: F.concat(F.lit("["), x["id"].cast("string"), F.lit("] "), x["text"])), "\n"))),
+    ]
+    return rows.withColumn("prompt", F.concat_ws("\n", *blocks))
+
+
+def _asked_if_any(rows: DataFrame, wanted: Column, scorer: Scorer, stage: str) -> DataFrame:
+    """``on_subset``, written; where no row is wanted the scorer isn't asked. ``rows`` are written already."""
+    wanted = F.coalesce(wanted, F.lit(False))
+    if rows.where(wanted).isEmpty():
+        return rows.withColumn("raw", F.lit(None).cast("string"))
+    return cut(on_subset(rows, wanted, scorer, stage), stage)
 
 
 def extract_phrases(messages: DataFrame, scorer: Scorer, plan: GlossaryPlan, key: str = "message_id") -> list[str]:
@@ -74,7 +132,7 @@ def researched(drafts: DataFrame, scorer: Scorer, at_most: float = 0.5) -> DataF
     leaves out stays as drafted. ``source_stage`` tells whose the definition is.
     """
     wanted = refine.wants_research(F.col("relevant"), F.col("confidence"), at_most)
-    said = cut(on_subset(drafts.withColumn("__w", wanted), F.col("__w"), scorer, "research"), "researched")
+    said = _asked_if_any(drafts.withColumn("__w", F.coalesce(wanted, F.lit(False))), F.col("__w"), scorer, "research")
     answer = F.from_json(json_object(F.col("raw")), "accept_web_info boolean, definition string, confidence string")
     rows = said.withColumn("__a", answer)
     taken = F.col("__w") & F.coalesce(F.col("__a.accept_web_info"), F.lit(False))
@@ -94,33 +152,91 @@ def researched(drafts: DataFrame, scorer: Scorer, at_most: float = 0.5) -> DataF
     ).drop("__a", "__w", "raw")
 
 
+def enriched_senses(terms: DataFrame, scorer: Scorer) -> DataFrame:
+    """Relevant entries whose critique misses senses are asked for them (stage ``enrichment``, JSON ``new_senses``).
+
+    Needs ``missing`` (descriptions). Senses without a definition are left out, ids that are no
+    numbers too; where any sense is added the confidence rises a little. A failed call adds none.
+    """
+    said = _asked_if_any(terms, F.col("relevant") & (F.size("missing") > 0), scorer, "enrichment")
+    reply = F.from_json(json_object(F.col("raw")), "new_senses array<struct<definition:string,context_clues:array<string>,example_message_ids:array<string>>>")["new_senses"]
+    none = F.array()
+
+    def sense(s: Column) -> Column:
+        ids = F.transform(F.coalesce(s["example_message_ids"], none.cast("array<string>")), lambda i: i.try_cast("bigint"))
+        return F.struct(
+            ustrip(s["definition"]).alias("definition"),
+            F.coalesce(s["context_clues"], none.cast("array<string>")).alias("context_clues"),
+            F.filter(ids, lambda i: i.isNotNull()).alias("example_message_ids"),
+        )
+
+    added = F.transform(F.filter(F.coalesce(reply, none.cast("array<struct<definition:string,context_clues:array<string>,example_message_ids:array<string>>>")), lambda s: ~is_blank(s["definition"])), sense)
+    rows = said.withColumn("__new", added.cast(SENSES))
+    more = F.size("__new") > 0
+    made = {
+        "senses": F.concat("senses", "__new"),
+        "confidence": refine.enriched(F.col("confidence"), F.size("__new")),
+        "source_stage": F.when(more, F.concat("source_stage", F.lit("+enrichment"))).otherwise(F.col("source_stage")),
+    }
+    return rows.withColumns(made).drop("__new", "raw")
+
+
+def distinct_senses(terms: DataFrame, scorer: Scorer) -> DataFrame:
+    """Relevant entries of several senses keep those that the scorer calls distinct (stage ``paraphrase``, JSON ``kept_sense_indices``).
+
+    Positions count from 0; those that don't exist are ignored, and without a valid one all senses stay.
+    """
+    said = _asked_if_any(terms, F.col("relevant") & (F.size("senses") >= 2), scorer, "paraphrase")
+    kept = F.from_json(json_object(F.col("raw")), "kept_sense_indices array<string>")["kept_sense_indices"]
+    indices = F.transform(kept, lambda i: i.try_cast("int"))
+    rows = said.withColumn("__n", F.size("senses")).withColumn("senses", refine.keep_indices(F.col("senses"), indices))
+    alone = (F.size("senses") == 1) & (F.col("__n") > 1)
+    return rows.withColumn("source_stage", F.when(alone, F.replace("source_stage", F.lit("+enrichment"), F.lit(""))).otherwise(F.col("source_stage"))).drop("__n", "raw")
+
+
 def build_glossary(messages: DataFrame, plan: GlossaryPlan, scorer: Scorer | None = None, key: str = "message_id") -> DataFrame:
-    """(term, kind, frequency, surface_forms[, relevant, confidence, senses]): without a scorer a dry run ends after clustering.
+    """(term, kind, frequency, surface_forms[, relevant, confidence, senses, ...]): without a scorer a dry run ends after clustering.
 
-    With one: inference on the top candidates, validation penalties, sense pruning and
-    parent/child demotion. The scorer sees terms, keyed by their hash.
+    With one the stages are: phrases, confirmed brands, clustering, evidence of the top
+    candidates, inference, research of unsure drafts, validation penalties, missing senses,
+    structural and paraphrase pruning, parent/child demotion. From inference on the scorer gets
+    a row for each term, keyed by its hash, with ``text`` (the term), ``examples``, ``definitions``
+    and ``prompt``, which shows all of them.
     """
     phrases = extract_phrases(messages, scorer, plan, key) if scorer else []
-    pooled = candidate_pools(messages, plan, key, phrases).drop("cluster")
+    pooled = candidate_pools(messages, plan, key, phrases, scorer).drop("cluster")
     if scorer is None:
         return pooled
     top = cut(pooled.orderBy(F.desc("frequency"), "term").limit(plan.top), "candidates")
-    asked = top.withColumn("message_id", F.xxhash64("term")).withColumn("text", F.col("term"))
+    known = term_evidence(messages, top, key, plan.examples, plan.example_chars, plan.definitions)
+    asked = cut(known.withColumn("message_id", F.xxhash64("term")).withColumn("text", F.col("term")), "evidence")
     drafted = cut(scorer.score(asked, "inference"), "drafts").withColumn("d", F.from_json(json_object(F.col("raw")), DRAFT))
     # some models put the confidence inside a sense: the first found there counts where the entry has none
     nested = F.from_json(json_object(F.col("raw")), "senses array<struct<confidence:string>>")["senses"]["confidence"]
     inside = F.get(F.filter(F.transform(nested, lambda c: c.try_cast("double")), lambda c: c.isNotNull()), 0)
     drafted_confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("d.confidence", inside, F.lit(0.0))))
-    drafts = drafted.select("term", "kind", "frequency", "surface_forms", "message_id", "text", F.coalesce("d.relevant", F.lit(False)).alias("relevant"), drafted_confidence.alias("confidence"), F.coalesce("d.senses", F.array().cast(SENSES)).alias("senses"))
+    told = [F.coalesce("d.relevant", F.lit(False)).alias("relevant"), drafted_confidence.alias("confidence"), F.coalesce("d.senses", F.array().cast(SENSES)).alias("senses")]
+    drafts = cut(drafted.select(*asked.columns, *told), "drafted")
+    if plan.research_at_most is None:
+        drafts = drafts.withColumn("source_stage", F.lit("inference"))
+    else:
+        drafts = cut(researched(drafts, scorer, plan.research_at_most), "researched")
     checked = cut(on_subset(drafts, F.col("relevant"), scorer, "validation"), "checked")
-    critique = F.from_json(json_object(F.col("raw")), "issue_severity string, domain_specific boolean, wrongly_admitted_noise boolean")
-    rows = checked.withColumn("c", critique).withColumns(
-        {"severity": F.coalesce("c.issue_severity", F.lit("none")), "domain_specific": F.coalesce("c.domain_specific", F.lit(True)), "noise": F.coalesce("c.wrongly_admitted_noise", F.lit(False))}
-    )
+    rows = checked.withColumn("c", F.from_json(json_object(F.col("raw")), CRITIQUE))
+    rows = rows.withColumns(
+        {
+            "severity": F.coalesce("c.issue_severity", F.lit("none")),
+            "domain_specific": F.coalesce("c.domain_specific", F.lit(True)),
+            "noise": F.coalesce("c.wrongly_admitted_noise", F.lit(False)),
+            "missing": F.filter(F.coalesce(F.col("c.missing_senses.description"), F.array().cast("array<string>")), lambda m: ~is_blank(m)),
+        }
+    ).drop("raw", "c")
     penalised = refine.penalise(rows, plan.blocklist)
-    pruned = refine.prune_senses(penalised)
+    whole = enriched_senses(cut(penalised, "penalised"), scorer)
+    pruned = distinct_senses(cut(refine.prune_senses(whole), "pruned"), scorer)
     ids = F.array_distinct(F.flatten(F.transform("senses", lambda s: F.coalesce(s["example_message_ids"], F.array().cast("array<bigint>")))))
-    return refine.parent_child(cut(pruned.withColumn("ids", ids), "pruned")).select("term", "kind", "frequency", "surface_forms", "relevant", "confidence", "senses", "in_favour_of")
+    settled = refine.parent_child(cut(pruned.withColumn("ids", ids), "settled"))
+    return settled.select("term", "kind", "frequency", "surface_forms", "relevant", "confidence", "senses", "in_favour_of", "source_stage", "examples", "definitions")
 
 
 @dataclass(frozen=True)
