@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import patterns
 from tidemark.functions.text import hit_count, is_blank, json_object, ustrip
+from tidemark.operators import context
 from tidemark.operators.gates import DomainPack
 from tidemark.operators.pipelines import answered_no, answered_yes, certainty, expected_verdict, extract, opened, resolve_mismatch, traffic_stage
 from tidemark.operators.scoring import Scorer, asked
@@ -175,14 +176,19 @@ def traffic(messages: DataFrame, pack: DomainPack, scorer: Scorer, reasons: Sequ
     return said.withColumn("is_merchant", F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))).drop("raw")
 
 
-def with_author_texts(messages: DataFrame, history: DataFrame, author: str = "username", text: str = "text", at: str = "created_at") -> DataFrame:
+def with_author_texts(messages: DataFrame, history: DataFrame, author: str = "username", text: str = "text", at: str = "created_at", as_of: bool = False) -> DataFrame:
     """Adds ``combined``: the text with its author's last ten stored texts, newest first, cut at 3,000 characters.
 
-    History is thinned per author within hash buckets before its ten are chosen, so a busy
-    author is no hot task.
+    With ``as_of`` the messages have ``at`` too and see only what was stored before; without,
+    all see the same, the latest. History is then thinned per author within hash buckets
+    before its ten are chosen, so a busy author is no hot task.
     """
     from pyspark.sql.window import Window
 
+    if as_of:
+        met = context.history_as_of(messages, history, author, at, text, CONTEXT_TEXTS, CONTEXT_CHARS)
+        return met.withColumn("combined", _combined(F.col(text), F.col("earlier"))).drop("earlier")
+
     stored = history.where(F.col(author).isNotNull() & (F.coalesce(F.col(text), F.lit("")) != "")).select(F.col(author).alias("__author"), F.col(at).alias("__at"), F.col(text).alias("__text"))
     order = [F.desc("__at"), "__text"]
     near = Window.partitionBy("__author", F.pmod(F.xxhash64("__text"), F.lit(32))).orderBy(*order)
@@ -190,9 +196,12 @@ def with_author_texts(messages: DataFrame, history: DataFrame, author: str = "us
     last = thin.withColumn("__r", F.row_number().over(Window.partitionBy("__author").orderBy(*order))).where(F.col("__r") <= CONTEXT_TEXTS)
     texts = last.groupBy("__author").agg(F.transform(F.array_sort(F.collect_list(F.struct("__r", "__text"))), lambda x: x["__text"]).alias("__texts"))
     joined = messages.join(texts, F.col(author) == F.col("__author"), "left")
-    whole = F.array_join(F.concat(F.array(ustrip(F.col(text))), F.coalesce("__texts", F.array().cast("array<string>"))), CONTEXT_SEPARATOR)
-    capped = F.when(F.length(whole) > CONTEXT_CHARS, F.concat(F.substring(whole, 1, CONTEXT_CHARS), F.lit(CONTEXT_CUT))).otherwise(whole)
-    return joined.withColumn("combined", capped).drop("__author", "__texts")
+    return joined.withColumn("combined", _combined(F.col(text), F.coalesce("__texts", F.array().cast("array<string>")))).drop("__author", "__texts")
+
+
+def _combined(text: Column, earlier: Column) -> Column:
+    whole = F.array_join(F.concat(F.array(ustrip(text)), earlier), CONTEXT_SEPARATOR)
+    return F.when(F.length(whole) > CONTEXT_CHARS, F.concat(F.substring(whole, 1, CONTEXT_CHARS), F.lit(CONTEXT_CUT))).otherwise(whole)
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.text import is_blank
+from tidemark.operators.dedup import chunked
 from tidemark.operators.sampling import numbered
+from tidemark.session import cut
 
 
 #: Rows of a group that one task may sort, and rows of a chunk of a larger one.
@@ -70,6 +72,48 @@ def author_history(
     return rows.withColumn("history", F.substring(F.array_join(F.reverse("__past"), "\n"), 1, cap)).drop("__past", "__ahead")
 
 
+def history_as_of(
+    messages: DataFrame, history: DataFrame, author: str, at: str, text: str = "text", last: int = 10, cap: int = 3000, chunk_rows: int = 200_000
+) -> DataFrame:
+    """Adds ``earlier``: what the author had said before each message, the ``last`` texts of ``history``, newest first.
+
+    Both tables have ``author`` and ``at``; a text of the very moment isn't before it, of ties the
+    lesser text counts as newer, and each is cut at ``cap``. Null and empty texts and rows
+    without author or time are no history; messages without either have an empty array, and an
+    author's null matches nothing. Repeated messages each get their own.
+
+    Texts and messages are put in one order and dealt by ranges of about ``chunk_rows`` rows, so an
+    author of any number of messages is many parts. Texts are numbered per author; a part is
+    given copies of the few texts before it that its first messages look back to, and a message
+    then sees the texts whose numbers are the greatest up to its own.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in messages.columns])
+    placed = F.col(author).isNotNull() & F.col(at).isNotNull()
+    asks = messages.where(placed).select(F.col(author).alias("user"), F.col(at).alias("at"), F.lit(False).alias("told"), F.lit(None).cast("string").alias("said"), own.alias("row"))
+    asks = asks.withColumn("spread", F.xxhash64(F.to_json("row")))
+    texts = history.where(placed & (F.col(text) != "")).select(F.col(author).alias("user"), F.col(at).alias("at"), F.left(F.col(text), F.lit(cap)).alias("said"))
+    copies = texts.groupBy("user", "at", "said").agg(F.count(F.lit(1)).alias("n"))  # more than ``last`` equal ones are never seen
+    told = copies.select("user", "at", F.lit(True).alias("told"), "said", F.lit(None).cast(asks.schema["row"].dataType).alias("row"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(last)))).alias("spread"))
+    order = ["at", "told", F.desc("said"), "spread"]
+    rows = chunked(asks.unionByName(told), ["user", *order], chunk_rows, "history-rows")
+    sizes = rows.groupBy("user", "part").agg(F.count_if("told").alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("user").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.select("user", "part", "size", before.alias("before"))
+    running = F.count_if("told").over(Window.partitionBy("user", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = rows.withColumn("n", running).join(parts, ["user", "part"]).withColumn("rank", F.col("before") + F.col("n"))
+    ranked = cut(ranked.select("user", "part", "told", "said", "row", "rank", (F.col("size") - F.col("n") < last).alias("tail")), "history-ranked")
+    tails = ranked.where("told and tail").select("user", "rank", "said")
+    asked = parts.where("before > 0").select("user", "part", F.explode(F.sequence(F.greatest(F.col("before") - (last - 1), F.lit(1)), F.col("before"))).alias("rank"))
+    nothing = F.lit(None).cast(asks.schema["row"].dataType)
+    lent = asked.join(tails, ["user", "rank"]).select("user", "part", F.lit(True).alias("told"), "said", nothing.alias("row"), "rank")
+    near = Window.partitionBy("user", "part").orderBy("rank").rangeBetween(1 - last, 0)
+    seen = F.collect_list(F.when(F.col("told"), F.struct("rank", "said"))).over(near)
+    newest = F.transform(F.sort_array(seen, asc=False), lambda x: x["said"])
+    met = ranked.drop("tail").unionByName(lent).withColumn("earlier", newest).where("not told")
+    found = met.select(*[F.col("row").getField(c).alias(c) for c in messages.columns], "earlier")
+    return found.unionByName(messages.where(~placed).withColumn("earlier", F.array().cast("array<string>")))
+
+
 def with_bio(messages: DataFrame, users: DataFrame, author: str = "username", name: str = "username", bio: str = "bio") -> DataFrame:
     """Adds the author's bio, null where unknown."""
     known = users.groupBy(F.col(name).alias("__name")).agg(F.max(bio).alias("bio"))

@@ -72,7 +72,7 @@ def duplicate_probe(messages: DataFrame, key: str, text: str = "text", by: Seque
     return hashed.join(first, same, "left").drop(*[f"__own_{n}" for n in names])
 
 
-def _chunked(rows: DataFrame, order: Sequence[str], chunk_rows: int, label: str) -> DataFrame:
+def chunked(rows: DataFrame, order: Sequence[str], chunk_rows: int, label: str) -> DataFrame:
     """The rows with ``part``: their place among ranges of ``order`` of about ``chunk_rows`` rows each; written."""
     parts = max(1, math.ceil(rows.count() / chunk_rows))
     return cut(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), label)
@@ -86,7 +86,7 @@ def _carried(per_part: DataFrame, value: Column, after: bool = False) -> Column:
 
 def _ranked(live: DataFrame, chunk_rows: int) -> DataFrame:
     """(user, part, rank, at, id, hash, other): each message's place in its user's order, and that of the next change of text after it."""
-    rows = _chunked(live.select("user", "at", "id", "hash"), ["user", "at", "id", "hash"], chunk_rows, "dedup-rows")
+    rows = chunked(live.select("user", "at", "id", "hash"), ["user", "at", "id", "hash"], chunk_rows, "dedup-rows")
     order = Window.partitionBy("user", "part").orderBy("at", "id", "hash")
     near = rows.withColumns({"n": F.row_number().over(order), "past": F.lag("hash").over(order)})
     about = rows.groupBy("user", "part").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("at", "id", "hash")).alias("end"))
@@ -114,7 +114,7 @@ def _at_or_after(rows: DataFrame, delays: Mapping[str, int], chunk_rows: int) ->
         sub = F.lit(0).cast("bigint") if delay > 0 else F.col("rank")  # without a delay: right after the message itself
         both = both.unionByName(rows.select("user", (F.col("at") + delay).alias("at"), sub.alias("sub"), F.lit(name).alias("asked"), F.col("rank").alias("own"), F.lit(None).cast(dict(events.dtypes)["event"]).alias("event")))
     order = ["at", "sub", "asked", "own"]
-    dealt = _chunked(both, ["user", *order], chunk_rows, "dedup-moments")
+    dealt = chunked(both, ["user", *order], chunk_rows, "dedup-moments")
     ahead = Window.partitionBy("user", "part").orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     firsts = dealt.groupBy("user", "part").agg(F.min("event").alias("first"))  # of a part's messages the one of least rank
     firsts = firsts.select("user", "part", _carried(firsts, F.min("first"), after=True).alias("later"))

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalise, text
-from tidemark.operators import context, dedup, evaluate, gates, geo, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring, textindex
+from tidemark.operators import context, dedup, evaluate, gates, geo, lemmas, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring, textindex
 from tidemark.plans import jobs
-from tidemark.session import spread, table
+from tidemark.session import cut, spread, table
 from tidemark.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -324,6 +324,39 @@ def cluster_merge(spark, d):
     return mining.cluster(_terms(spark, d)).select("cluster", "term", "kind", "frequency")
 
 
+LEMMA_ENDS = ("s", "en", "e", "n")
+
+
+@query(
+    "lemma_clusters",
+    f"""WITH {UNITS},
+voc AS (SELECT DISTINCT lower(term) AS w FROM terms),
+cand AS (SELECT w, substr(w, 1, length(w) - length(e)) AS stem FROM voc, (SELECT unnest({listed(LEMMA_ENDS)}) AS e) WHERE length(w) >= length(e) + 3 AND ends_with(w, e)),
+forms AS (SELECT w AS form, max(stem) AS lemma FROM cand WHERE stem IN (SELECT w FROM voc) GROUP BY w),
+pairs AS (SELECT form, lemma FROM forms UNION SELECT lemma, lemma FROM forms WHERE lemma NOT IN (SELECT form FROM forms)),
+nodes AS (SELECT form, lemma, length(form) - length(lemma) AS cut, unnest(range(length(form) - length(lemma), least(5, length(form)) + 1)) AS n FROM pairs),
+counted AS (SELECT right(form, n) AS suffix, cut, count(*) AS support FROM nodes GROUP BY ALL),
+rules AS (SELECT suffix, cut FROM counted WHERE support >= 2 QUALIFY row_number() OVER (PARTITION BY suffix ORDER BY support DESC, cut) = 1),
+words AS (SELECT term, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (SELECT term, regexp_extract_all(lower(term), '[A-Za-zЀ-ӿ][A-Za-zЀ-ӿ0-9\\-'']*') AS ws FROM terms)),
+asked AS (SELECT DISTINCT w FROM words WHERE w NOT IN (SELECT form FROM pairs)),
+tried AS (SELECT w, right(w, n) AS suffix FROM (SELECT w, unnest(range(0, least(5, length(w)) + 1)) AS n FROM asked)),
+guessed AS (SELECT w, arg_max(substr(w, 1, length(w) - cut), length(suffix)) AS lemma FROM tried JOIN rules USING (suffix) WHERE length(w) > cut GROUP BY w),
+keyed AS (SELECT term, string_agg(coalesce(p.lemma, g.lemma, words.w), ' ' ORDER BY pos) AS cluster FROM words LEFT JOIN pairs p ON p.form = words.w LEFT JOIN guessed g ON g.w = words.w GROUP BY term)
+SELECT coalesce(k.cluster, lower(t.term)) AS cluster, arg_max(t.term, (frequency, t.term)) AS term, CASE WHEN count(DISTINCT kind) = 1 THEN min(kind) ELSE 'phrase' END AS kind,
+CAST(sum(frequency) AS BIGINT) AS frequency FROM terms t LEFT JOIN keyed k ON k.term = t.term GROUP BY ALL""",
+)
+def lemma_clusters(spark, d):
+    """Terms clustered by lemmas; the forms that teach the rules are the corpus's own words whose stem is a word too."""
+    terms = cut(_terms(spark, d), "terms")
+    words = terms.select(F.lower("term").alias("w")).distinct()
+    ends = F.filter(F.array(*[F.lit(e) for e in LEMMA_ENDS]), lambda e: F.endswith(F.col("w"), e) & (F.length("w") >= F.length(e) + 3))
+    stems = words.select("w", F.explode(ends).alias("e")).select("w", F.left("w", F.length("w") - F.length("e")).alias("stem"))
+    forms = stems.join(words.select(F.col("w").alias("stem")), "stem").groupBy(F.col("w").alias("form")).agg(F.max("stem").alias("lemma"))
+    themselves = forms.select("lemma").distinct().join(forms.select(F.col("form").alias("lemma")), "lemma", "left_anti")
+    pairs = cut(forms.unionByName(themselves.select(F.col("lemma").alias("form"), "lemma")), "lemma-pairs")
+    return mining.cluster(lemmas.with_lemma_key(terms, pairs), F.col("lemma_key")).select("cluster", "term", "kind", "frequency")
+
+
 @query(
     "hash_examples",
     f"""WITH {UNITS}, one AS (SELECT DISTINCT norm, id FROM units WHERE kind = 'acronym'),
@@ -1006,4 +1039,48 @@ def glossary_dry_run(spark, d):
     return jobs.build_glossary(rows, plan).withColumn("surface_forms", F.array_join("surface_forms", ","))
 
 
+JOB_PHRASES = ("of the", "de la", "der ein")
+
+
+@query(
+    "glossary_build",
+    f"""WITH {UNITS},
+hits AS (SELECT doc_id, unnest(list_filter({listed(JOB_PHRASES)}, lambda p: contains(lower(text), p))) AS phrase FROM documents),
+pool AS (SELECT term, kind, frequency FROM terms UNION ALL SELECT phrase, 'phrase_en', count(*) FROM hits GROUP BY phrase),
+clustered AS (SELECT arg_max(term, (frequency, term)) AS term, CASE WHEN count(DISTINCT kind) = 1 THEN min(kind) ELSE 'phrase' END AS kind, CAST(sum(frequency) AS BIGINT) AS f FROM pool GROUP BY lower(term)),
+top AS (SELECT * FROM clustered ORDER BY f DESC, term LIMIT 200),
+draft AS (SELECT *, f % 3 <> 0 AS rel, (3 + f % 7) / 10.0 AS conf FROM top),
+res AS (SELECT *, rel AND conf <= 0.5 AND f % 2 = 0 AS taken FROM draft),
+crit AS (SELECT *, CASE WHEN taken THEN 0.7 ELSE conf END AS c1, rel AND f % 11 = 0 AS noise, f % 5 = 0 AS missing FROM res),
+pen AS (SELECT *, rel AND NOT noise AS rel2, CASE WHEN noise THEN least(c1, 0.3) WHEN rel AND f % 4 = 1 THEN greatest(0.0, c1 - 0.2) WHEN rel AND f % 4 = 2 THEN greatest(0.0, c1 - 0.1) ELSE c1 END AS c2 FROM crit),
+enr AS (SELECT *, rel2 AND missing AS more FROM pen)
+SELECT term, kind, f AS frequency, rel2 AS relevant, CAST(round(CASE WHEN more THEN least(1.0, c2 + 0.1) ELSE c2 END * 1000) AS BIGINT) AS confidence_milli,
+CASE WHEN more AND f % 2 = 1 THEN 'extra' || term WHEN more THEN CASE WHEN taken THEN 'web' ELSE 'about' END || term || '|extra' || term WHEN taken THEN 'web' || term ELSE 'about' || term END AS senses,
+CASE WHEN taken THEN 'research' ELSE 'inference' END || CASE WHEN more AND f % 2 = 0 THEN '+enrichment' ELSE '' END AS source_stage FROM enr""",
+)
+def glossary_build(spark, d):
+    """The whole glossary job over the documents, with rules in place of the model."""
+    rows = spread(table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), "text"))
+    f = F.col("frequency")
+
+    def reply(**fields):
+        return F.to_json(F.struct(*[v.alias(n) for n, v in fields.items()]))
+
+    def sense(word, n):
+        return F.array(F.struct(F.concat(F.lit(word), "term").alias("definition"), F.array(F.lit(n)).alias("example_message_ids")))
+
+    gaps = F.when(f % 5 == 0, F.array(F.struct(F.lit("another use").alias("description")))).otherwise(F.array().cast("array<struct<description:string>>"))
+    rules = {
+        "phrases": F.lit('{"phrases": ["' + '", "'.join(JOB_PHRASES) + '"]}'),
+        "inference": reply(relevant=f % 3 != 0, confidence=(3 + f % 7) / F.lit(10.0), senses=sense("about", 1)),
+        "research": F.when(f % 2 == 0, reply(accept_web_info=F.lit(True), definition=F.concat(F.lit("web"), "term"), confidence=F.lit(0.7))),
+        "validation": reply(issue_severity=F.when(f % 4 == 1, "major").when(f % 4 == 2, "minor").otherwise("none"), wrongly_admitted_noise=f % 11 == 0, missing_senses=gaps),
+        "enrichment": reply(new_senses=sense("extra", 2)),
+        "paraphrase": F.when(f % 2 == 1, F.lit('{"kept_sense_indices": [1]}')).otherwise(F.lit('{"kept_sense_indices": [0, 1]}')),
+    }
+    made = jobs.build_glossary(rows, jobs.GlossaryPlan(), scoring.RuleScorer(rules))
+    senses = F.array_join(F.transform("senses", lambda s: s["definition"]), "|").alias("senses")
+    return made.select("term", "kind", "frequency", "relevant", F.round(F.col("confidence") * 1000).cast("bigint").alias("confidence_milli"), senses, "source_stage")
+
+
 from tidemark.plans import decisions  # noqa: E402, F401 - registers its queries too

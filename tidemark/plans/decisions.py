@@ -193,6 +193,22 @@ def author_texts(spark, d):
     return classifiers.with_author_texts(rows, history).select(F.col("username").alias("c_custkey"), "combined")
 
 
+@query(
+    "author_texts_as_of",
+    """WITH h AS (SELECT source, doc_id // 3 AS at, substr(text, 1, 3000) AS said FROM documents SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) USING (doc_id) WHERE text <> ''),
+m AS (SELECT doc_id, source, doc_id // 3 AS at, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS own FROM documents),
+near AS (SELECT m.doc_id, h.said, row_number() OVER (PARTITION BY m.doc_id ORDER BY h.at DESC, h.said) AS r FROM m JOIN h ON h.source = m.source AND h.at < m.at),
+t AS (SELECT doc_id, string_agg(said, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY r) AS texts FROM near WHERE r <= 10 GROUP BY doc_id),
+w AS (SELECT m.doc_id, concat_ws(chr(10) || chr(10) || '---' || chr(10) || chr(10), own, texts) AS whole FROM m LEFT JOIN t ON t.doc_id = m.doc_id)
+SELECT doc_id, CASE WHEN length(whole) > 3000 THEN substr(whole, 1, 3000) || '...[cut]' ELSE whole END AS combined FROM w""",
+)
+def author_texts_as_of(spark, d):
+    """Every document with the good documents of its source from before its time; three documents share a moment."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "source", "text", F.floor(F.col("doc_id") / 3).alias("created_at")))
+    good = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return classifiers.with_author_texts(docs, docs.join(good, "doc_id", "left_semi"), "source", as_of=True).select("doc_id", "combined")
+
+
 # ---- fixed lists --------------------------------------------------------------------------
 
 _PACKS = {
