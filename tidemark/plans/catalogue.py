@@ -16,6 +16,7 @@ from tidemark.operators import context, dedup, evaluate, gates, geo, lemmas, min
 from tidemark.plans import jobs
 from tidemark.session import cut, spread, table
 from tidemark.sources import readers, sinks
+from tidemark.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -224,16 +225,59 @@ def _stream_path(spark, d, name: str) -> str:
 @query("dedup_stream", STATE_MACHINE)
 def dedup_stream(spark, d):
     """The streaming twin over the same events, one available-now run into the shared folder."""
-    from tidemark.session import scratch_path
     from tidemark.streaming.dedup import dedup_stream as streamed
 
     source = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events"))
     rows = source.withColumn("at", F.unix_timestamp(F.col("ts").cast("timestamp")))
-    out = scratch_path(spark, "stream")
     made = streamed(rows, "event_id", "user_id", "event_type", "at", hold=180 * 60)
+    return _drained(spark, made, "event_id bigint, verdict string")
+
+
+def _drained(spark, made, schema: str):
+    """What one available-now run of a stream appends in the shared folder."""
+    from tidemark.session import scratch_path
+
+    out = scratch_path(spark, "stream")
     run = made.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.schema("event_id bigint, verdict string").parquet(f"{out}/rows")
+    return spark.read.schema(schema).parquet(f"{out}/rows")
+
+
+SESSIONS = """WITH gaps AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+islands AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM gaps),
+sessions AS (SELECT user_id, epoch_us(min(ts)) AS began_us, epoch_us(max(ts)) AS ended_us, count(*) AS messages FROM islands GROUP BY user_id, island)
+SELECT user_id, began_us, ended_us, messages FROM sessions"""
+
+
+def _micros(rows, *names):
+    return rows.withColumns({f"{n}_us": F.unix_micros(n) for n in names}).drop(*names)
+
+
+@query("user_sessions", SESSIONS)
+def user_sessions(spark, d):
+    return _micros(windows.sessions(table(spark, d, "events"), "user_id", "ts", "2 hours"), "began", "ended")
+
+
+@query("user_sessions_stream", SESSIONS + " WHERE ended_us + 7200000000 <= (SELECT epoch_us(max(ts)) - 21600000000 FROM events WHERE user_id IS NOT NULL)")
+def user_sessions_stream(spark, d):
+    """Sessions that the watermark has closed by the end of the stream: six hours behind the last event."""
+    source = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events"))
+    made = windows.sessions(source, "user_id", "ts", "2 hours", "6 hours")
+    return _micros(_drained(spark, made, "user_id bigint, began timestamp, ended timestamp, messages bigint"), "began", "ended")
+
+
+@query(
+    "usage_windows_stream",
+    """WITH starts AS (SELECT event_type, value, epoch_us(ts) // 43200000000 * 43200000000 - k * 43200000000 AS start_us FROM events, (SELECT unnest([0, 1]) AS k) WHERE ts IS NOT NULL)
+SELECT event_type, start_us, count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM starts
+WHERE start_us + 86400000000 <= (SELECT epoch_us(max(ts)) - 21600000000 FROM events) GROUP BY event_type, start_us""",
+)
+def usage_windows_stream(spark, d):
+    """Daily totals by kind that begin twice a day, of the windows that the watermark has closed."""
+    source = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events"))
+    measures = {"events": F.count(F.lit(1)), "cents": F.sum(F.round(F.col("value") * 100).cast("bigint"))}
+    made = windows.sliding(source, "ts", ["event_type"], measures, "1 day", "12 hours", "6 hours").drop("end")
+    return _micros(_drained(spark, made, "event_type string, start timestamp, events bigint, cents bigint"), "start")
 
 
 @query(
