@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import itertools
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -590,7 +592,7 @@ def test_op2_segments_that_qualify_inside_longer_ones(spark):
         start, end = index._widest(same)
         assert same[start:end].sum() == best and best >= 0.75 * (end - start)
         text = " ".join(words[i] if x else f"x{i}" for i, x in enumerate(same))
-        if index.hits(np.array([index.vocabulary.get(w, 0) for w in text.split()], dtype=np.uint64)).size:
+        if any(True for _ in index.diagonals(np.array([index.vocabulary.get(w, 0) for w in text.split()], dtype=np.uint64))):
             assert bool(index.overlaps(text)) == (best >= 10)
             found += best >= 10
     assert found > 50
@@ -774,15 +776,15 @@ def brute_overlaps(docs, items):
     windows = defaultdict(set)
     for n, (_, text) in enumerate(items):
         words = split(text)
-        for at in range(len(words) - 7):
-            for k, mask in enumerate(masks):
+        for k, mask in enumerate(masks if len(words) >= 8 else ()):
+            for at in range(len(words) - mask[-1]):
                 windows[k, tuple(words[at + i] for i in mask)].add((n, at))
     found = {}
     for d, (_, text) in enumerate(docs):
         words = split(text)
         diagonals = set()
-        for at in range(len(words) - 7):
-            for k, mask in enumerate(masks):
+        for k, mask in enumerate(masks if len(words) >= 8 else ()):
+            for at in range(len(words) - mask[-1]):
                 diagonals |= {(n, at - own) for n, own in windows.get((k, tuple(words[at + i] for i in mask)), ())}
         for n, shift in diagonals:
             own = split(items[n][1])
@@ -819,6 +821,56 @@ def test_op2_against_brute_force(spark, small):
     assert (20_000, 900) in wanted and (20_001, 900) not in wanted and (20_005, 1) in wanted and len(wanted) > 20
 
 
+@pytest.mark.parametrize("length, lost", [(12, 2), (13, 3), (14, 3), (16, 4), (20, 5), (24, 6), (40, 10)])
+def test_op2_recall_at_its_limits(length, lost):
+    """Over all diagonals: every placement of the substitutions (a sample of them in long items) qualifies as a whole."""
+    words = [f"w{i}" for i in range(length)]
+    index = spaced_seed.SeedIndex([(1, " ".join(words))])
+    if math.comb(length, lost) <= 2000:
+        placements = list(itertools.combinations(range(length), lost))
+    else:
+        random = np.random.default_rng(length)
+        placements = [set(random.choice(length, lost, replace=False).tolist()) for _ in range(1000)]
+    found = 0
+    for gone in placements:
+        got = index.overlaps("before it " + " ".join(f"z{i}" if i in gone else w for i, w in enumerate(words)) + " after")
+        found += bool(got)
+        assert all(r[1] >= 10 and 4 * r[1] >= 3 * (r[3] - r[2]) for r in got)
+    assert found >= 0.94 * len(placements)
+
+
+@pytest.mark.parametrize("period", [1, 2, 7])
+def test_op2_repetitive_texts_against_repetitive_items(period):
+    item = [f"w{i % period}" for i in range(300)]
+    index = spaced_seed.SeedIndex([(1, " ".join(item)), (2, "none of these nine words is in the text")])
+    start = time.perf_counter()
+    assert index.overlaps(" ".join(f"w{i % period}" for i in range(20_000))) == [(1, 300, 0, 300, 0, 300)]
+    assert time.perf_counter() - start < 1
+    random = np.random.default_rng(period)
+    for size in (40, 90, 400):  # with words replaced, every hit diagonal counts: equal to all pairs
+        words = [f"z{i}" if x else f"w{i % period}" for i, x in enumerate(random.random(size) < 0.15)]
+        texts, items = [(1, " ".join(words)), (2, " ".join(words[:50] + item[:30]))], [(1, " ".join(item[:60])), (2, " ".join(item[:11]))]
+        small_index = spaced_seed.SeedIndex(items)
+        got = {(d, n - 1): equal for d, (_, text) in enumerate(texts) for n, equal, *_ in small_index.overlaps(text)}
+        assert got == brute_overlaps(texts, items)
+
+
+def test_op2_both_expansions_give_the_same(monkeypatch):
+    random = np.random.default_rng(3)
+    items = [(n, " ".join(f"w{x}" for x in random.integers(0, 3, 40))) for n in range(20)]
+    index = spaced_seed.SeedIndex(items)
+    ids = np.array([index.vocabulary[f"w{x}"] for x in random.integers(0, 3, 2_000)], dtype=np.uint64)
+
+    def pairs():
+        return {(item, int(x)) for item, shifts in index.diagonals(ids) for x in shifts}
+
+    whole = pairs()
+    for seldom, at_once in ((0, 1 << 20), (10**9, 1 << 20), (10**9, 50)):
+        monkeypatch.setattr(spaced_seed, "_SELDOM", seldom)
+        monkeypatch.setattr(spaced_seed, "_PAIRS", at_once)
+        assert pairs() == whole and whole
+
+
 @pytest.mark.parametrize("many", [0, 1, 63, 64, 65, 400])
 def test_op8_loose_candidates_that_overlap_no_base_span(spark, many):
     random = np.random.default_rng(many)
