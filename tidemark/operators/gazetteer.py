@@ -13,6 +13,7 @@ over the texts for each, and the driver holds one block at a time.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -127,14 +128,20 @@ class Gazetteer:
         terms = {t: i for i, t in enumerate(dict.fromkeys(r[0] for r in self.rows))}
         self.term = np.array([terms[r[0]] for r in self.rows], dtype=np.int64)
 
-    def hits(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, form) for the first form of every term that a lower-cased text holds."""
+    def hits(self, texts: Sequence[str], after: re.Pattern | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(text, form) for the first form of every term that a lower-cased text holds, followed by ``after`` if given."""
         spelled = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for t in texts]
         starts = np.cumsum([0, *[len(s) + 1 for s in spelled]])
         chars = np.zeros(starts[-1] + 1, dtype=np.uint32)  # a zero between texts ends every match
         for start, s in zip(starts, spelled, strict=False):
             chars[start : start + len(s)] = s
         end, form = self.automaton.find(chars)
+        if after is not None:
+            ends, which = np.unique(end, return_inverse=True)
+            inside = np.searchsorted(starts, ends, "right") - 1
+            places = zip(inside.tolist(), (ends - starts[inside] + 1).tolist(), strict=True)
+            followed = np.array([after.match(texts[t], at) is not None for t, at in places], dtype=bool)
+            end, form = end[followed[which]], form[followed[which]]
         begin = end - self.automaton.lengths[form] + 1
         free = ~_letter_or_digit(chars[begin - 1]) & ~_letter_or_digit(chars[end + 1])  # index -1 is the last zero
         text = np.searchsorted(starts, begin, "right") - 1
@@ -177,9 +184,11 @@ def _blocks(forms: DataFrame, table_bytes: int) -> Iterator[Gazetteer]:
             yield Gazetteer(rows)
 
 
-def form_hits(messages: DataFrame, forms: DataFrame, keep: Sequence[str], text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+def form_hits(messages: DataFrame, forms: DataFrame, keep: Sequence[str], text: str = "text", table_bytes: int = TABLE_BYTES, after: str | None = None) -> DataFrame:
     """(keep, term, kind, form, at): for every message and term the first form (by ``at``) that the message holds.
 
+    With ``after``, a Python pattern, only occurrences count whose lower-cased sequel it matches.
+
     ``forms`` is (term, kind, form, at, alone). Forms and texts meet in lower case; a form
     marked ``alone`` must not touch an ASCII letter or digit. Null texts hold nothing; null and
     empty forms are none; repeated messages each count; no forms give no rows.
@@ -193,13 +202,14 @@ def form_hits(messages: DataFrame, forms: DataFrame, keep: Sequence[str], text:
 
     def pass_of(block: Gazetteer) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sequel = None if after is None else re.compile(after, re.IGNORECASE)
             for batch in batches:
                 texts = batch.column(batch.num_columns - 1)
                 sizes = np.cumsum(np.asarray(pa.compute.utf8_length(texts))) if batch.num_rows else np.empty(0)
                 edges = np.searchsorted(sizes, np.arange(PIECE, sizes[-1] + PIECE, PIECE)) + 1 if batch.num_rows else []
                 low = 0
                 for high in sorted({min(int(e), batch.num_rows) for e in edges}):
-                    rows, which = block.hits(texts.slice(low, high - low).to_pylist())
+                    rows, which = block.hits(texts.slice(low, high - low).to_pylist(), sequel)
                     if len(rows):
                         taken = batch.slice(low, high - low).take(pa.array(rows))
                         found = list(zip(*[block.rows[i] for i in which.tolist()], strict=True))

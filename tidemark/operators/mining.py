@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -119,14 +120,16 @@ def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text:
     """(term, definition, pattern, id): the first distinct inline definitions of each term.
 
     Order is message, then template. An automaton finds the terms in the texts, and only
-    (text, term) pairs found meet the templates. Equal definitions meet first (min-aggregate);
+    (text, term) pairs meet the templates where what follows the term looks like one of them,
+    which is a Python pattern made once: a common word is in most texts, but seldom defined. So
+    templates keep to what Java and Python write alike, and hold ``{term}`` once. Equal definitions meet first (min-aggregate);
     the survivors per term are few.
     """
     asked = [(at, label, ready([template.replace("{{", "{").replace("}}", "}")])[0]) for at, (label, template) in enumerate(templates)]
     patterns = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(label).alias("pattern"), F.lit(p).alias("template")) for at, label, p in asked])
     named = [(t, quoted(t), t, i, False) for i, t in enumerate(dict.fromkeys(terms))]  # the kind carries the pattern
     forms = messages.sparkSession.createDataFrame(named, gazetteer.FORMS)
-    hits = gazetteer.form_hits(messages.select(F.col(key).alias("id"), F.col(text).alias("said")), forms, ["id", "said"], "said")
+    hits = gazetteer.form_hits(messages.select(F.col(key).alias("id"), F.col(text).alias("said")), forms, ["id", "said"], "said", after=_sequels([template for _, template in templates]))
     pairs = hits.select("id", "said", F.struct("term", F.col("kind").alias("quoted")).alias("t"))
 
     def tried(t: Column) -> Column:
@@ -141,6 +144,12 @@ def self_definitions(messages: DataFrame, terms: Sequence[str], key: str, text:
     return ranked.where(F.col("r") <= per_term).select("term", "definition", "pattern", "id")
 
 
+def _sequels(templates: Sequence[str]) -> str:
+    """What may follow the term in one of the templates, without word boundaries (Java's and Python's differ) and upper limits."""
+    tails = [t.replace("{{", "{").replace("}}", "}").split("{term}")[1] for t in templates]
+    return "|".join(f"(?:{re.sub(r'[{](\d+),\d+[}]', r'{\1,}', tail.replace(r'\b', ''))})" for tail in tails)
+
+
 def clean_definition(value: Column) -> Column:
     """Without punctuation at either end, and without a remark in parentheses that closes it."""
     bare = F.btrim(ustrip(value), F.lit(".,;:—-– \t"))
