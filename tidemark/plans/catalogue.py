@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalise, text
-from tidemark.operators import context, dedup, evaluate, gates, geo, lemmas, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring, textindex
+from tidemark.operators import context, dedup, evaluate, gates, geo, lemmas, mining, outcomes, pipelines, quotes, refine, retrieve, route, sampling, scoring, sketches, textindex
 from tidemark.plans import jobs
-from tidemark.session import cut, spread, table
+from tidemark.session import cut, dimension, spread, table
 from tidemark.sources import readers, sinks
-from tidemark.streaming import windows
+from tidemark.streaming import verdicts, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -280,6 +280,54 @@ def usage_windows_stream(spark, d):
     return _micros(_drained(spark, made, "event_type string, start timestamp, events bigint, cents bigint"), "start")
 
 
+ORDER_VERDICTS = """WITH met AS (SELECT o_orderkey, o_orderdate, l_shipdate, l_returnflag FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 30 DAY)
+SELECT o_orderkey, epoch_us(o_orderdate) AS o_orderdate_us, coalesce(arg_max(l_returnflag, (l_shipdate, l_returnflag)), 'REVIEW') AS verdict, count(l_shipdate) AS verdicts FROM met"""
+
+
+def _judged_orders(leads, said):
+    said = said.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", F.col("l_returnflag").alias("verdict"))
+    return verdicts.judged_within(leads, said, "o_orderkey", "o_orderdate", "l_shipdate", wait="30 DAYS", delay="36 hours")
+
+
+@query("judged_within_wait", ORDER_VERDICTS + " GROUP BY o_orderkey, o_orderdate")
+def judged_within_wait(spark, d):
+    """Orders as leads, the flag of the last line shipped within 30 days as verdict."""
+    return _micros(_judged_orders(table(spark, d, "orders"), table(spark, d, "lineitem")), "o_orderdate")
+
+
+@query(
+    "judged_within_wait_stream",
+    ORDER_VERDICTS + """ WHERE o_orderdate + INTERVAL 30 DAY < (SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 36 HOUR)
+GROUP BY o_orderkey, o_orderdate""",
+)
+def judged_within_wait_stream(spark, d):
+    """The same over two streams: the leads whose wait the watermarks have passed."""
+    leads, said = (spark.readStream.schema(table(spark, d, n).schema).parquet(_stream_path(spark, d, n)) for n in ("orders", "lineitem"))
+    return _micros(_drained(spark, _judged_orders(leads, said), "o_orderkey bigint, o_orderdate timestamp, verdict string, verdicts bigint"), "o_orderdate")
+
+
+@query(
+    "daily_sketches",
+    "SELECT event_type, CAST(count(*) AS BIGINT) AS n, count(DISTINCT user_id) AS users, true AS users_in_bound, true AS median_in_bound FROM events GROUP BY event_type",
+)
+def daily_sketches(spark, d):
+    """Sketches per day and kind, stored, merged to totals and held against exact counts and ranks (four standard errors)."""
+    rows = table(spark, d, "events")
+    stored = cut(sketches.daily_sketches(rows, ["event_type"], "ts", "user_id", "value"), "sketches")
+    told = sketches.merged_sketches(stored, ["event_type"], [0.5])
+    medians = told.select(F.col("event_type").alias("kind"), F.get("quantiles", 0).alias("median"))
+    both = rows.select("event_type", "user_id", "value").join(dimension(medians), F.col("event_type").eqNullSafe(F.col("kind")), "left")
+    exact = both.groupBy(F.col("event_type").alias("kind")).agg(F.count_distinct("user_id").alias("users"), F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"))
+    off = 2 * sketches.KLL_RANK_ERROR
+    return told.join(exact, F.col("event_type").eqNullSafe(F.col("kind"))).select(
+        "event_type",
+        "n",
+        "users",
+        (F.abs(F.col("distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * 4 * sketches.HLL_ERROR)).alias("users_in_bound"),
+        ((F.col("below") <= 0.5 + off) & (F.col("upto") >= 0.5 - off)).alias("median_in_bound"),
+    )
+
+
 @query(
     "reply_merge",
     """WITH parents AS (SELECT conv_id, turn, text FROM conversations)
