@@ -16,7 +16,7 @@ from tidemark.operators import context, dedup, evaluate, gates, geo, lemmas, min
 from tidemark.plans import jobs
 from tidemark.session import cut, dimension, spread, table
 from tidemark.sources import readers, sinks
-from tidemark.streaming import verdicts, windows
+from tidemark.streaming import bans, verdicts, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -328,6 +328,20 @@ def daily_sketches(spark, d):
     )
 
 
+@query(
+    "live_bans_stream",
+    """WITH c AS (SELECT CAST(user_id AS VARCHAR) AS u, ts, max(event_type = 'error') AS banned FROM events WHERE event_type IN ('error', 'signup') AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)
+SELECT e.event_id, epoch_us(e.ts) AS ts_us, coalesce(c.banned, false) AS banned FROM (SELECT * FROM events WHERE event_type NOT IN ('error', 'signup')) e ASOF LEFT JOIN c ON CAST(e.user_id AS VARCHAR) = c.u AND e.ts >= c.ts""",
+)
+def live_bans_stream(spark, d):
+    """A user is banned from an ``error`` event on until a ``signup``: both are changes of the list, the others messages."""
+    events = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events")).withColumn("user", F.col("user_id").cast("string"))
+    listed_at = F.col("event_type").isin("error", "signup")
+    changes = events.where(listed_at).select(F.col("user").alias("username"), (F.col("event_type") == "error").alias("banned"), F.lit(1).cast("bigint").alias("generation"), F.col("ts").alias("at"))
+    made = bans.flag_banned(events.where(~listed_at).select("event_id", "ts", "user"), changes, "user", "ts")
+    return _micros(_drained(spark, made.drop("user"), "event_id bigint, ts timestamp, banned boolean"), "ts")
+
+
 @query(
     "reply_merge",
     """WITH parents AS (SELECT conv_id, turn, text FROM conversations)
