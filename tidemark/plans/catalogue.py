@@ -338,7 +338,7 @@ def live_bans_stream(spark, d):
     events = spark.readStream.schema(table(spark, d, "events").schema).parquet(_stream_path(spark, d, "events")).withColumn("user", F.col("user_id").cast("string"))
     listed_at = F.col("event_type").isin("error", "signup")
     changes = events.where(listed_at).select(F.col("user").alias("username"), (F.col("event_type") == "error").alias("banned"), F.lit(1).cast("bigint").alias("generation"), F.col("ts").alias("at"))
-    made = bans.flag_banned(events.where(~listed_at).select("event_id", "ts", "user"), changes, "user", "ts")
+    made = bans.flag_banned(events.where(~listed_at).select("event_id", "ts", "user"), changes, "user", "ts", spread=1)  # changes are as many as messages here
     return _micros(_drained(spark, made.drop("user"), "event_id bigint, ts timestamp, banned boolean"), "ts")
 
 

@@ -46,19 +46,23 @@ def flag_banned(messages: DataFrame, changes: DataFrame, author: str, at: str, s
 
     def fold(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         generation, banned = state.get if state.exists else (None, False)
-        rows = pd.concat(list(frames))
+        frames = list(frames)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
         change = rows["row"].isna()
         if not change.any():
             yield pd.DataFrame({"row": rows["row"], "banned": bool(banned)})
             return
-        rows = rows.assign(late=rows["us"].isna(), message=~change).sort_values(["late", "us", "message", "generation", "ban"], kind="stable")
+        # plain tuples: a group is small, and sorting a frame costs more than the fold
+        numbers = rows["generation"].where(change, 0).tolist()
+        late, message = rows["us"].isna().tolist(), (~change).tolist()
+        order = zip(late, rows["us"].fillna(0).tolist(), message, numbers, (rows["ban"] == True).tolist(), range(len(rows)), rows["row"].tolist(), strict=True)  # noqa: E712
         kept, flags = [], []
-        for text, ban, number in zip(rows["row"], rows["ban"], rows["generation"], strict=True):
-            if isinstance(text, str):
+        for _, _, said_here, number, ban, _, text in sorted(order):
+            if said_here:
                 kept.append(text)
                 flags.append(banned)
             elif generation is None or int(number) >= generation:
-                generation, banned = int(number), bool(ban)
+                generation, banned = int(number), ban
         state.update((generation, banned))
         yield pd.DataFrame({"row": pd.Series(kept, dtype=object), "banned": pd.Series(flags, dtype=bool)})
 
