@@ -43,7 +43,7 @@ from tidemark.llm.common import bounded_batches
 from tidemark.session import cut, table
 
 #: 1: the position counts, 0: it may differ.
-#: Of all placements of the substitutions that the limits below allow, at least 0.94 leave one of these a window.
+#: Of the placements of as many substitutions as the limits below allow, at least 0.94 leave one of these a window (12 to 20 tokens).
 MASKS = ("11101011", "111111", "10110111", "11001111", "1110111")
 MIN_MATCHED = 10
 MIN_IDENTITY = 0.75
