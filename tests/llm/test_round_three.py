@@ -321,3 +321,29 @@ def test_op9_target_binds(spark, small):
     assert 0.01 < low < 0.99
     assert all(abs(weights[s] - w) < 1e-6 for s, w in at(low).items())
     assert any(abs(weights[s] - shares[s]) > 1e-3 for s in shares)
+
+
+def test_op13_a_large_group_of_near_copies_stays_linear(spark, monkeypatch):
+    """Copies are linked with their original alone; some outsiders come near them. Cells hold each copy once a bucket."""
+    base = [f"b{i}" for i in range(40)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        words[1 + i % 38] = f"c{i}"
+        rows.append((i + 1, " ".join(words)))
+    for i in range(6):  # near the group, linked with nothing or with a copy
+        words = list(base)
+        words[5], words[15 + i], words[33] = "c4", f"o{i}", f"q{i}"
+        rows.append((900 + i, " ".join(words)))
+    rows.append((5000, " ".join(base)))
+    made, found = [], oph_minhash.residual
+
+    def counted(members, *rest):
+        cells, keys = found(members, *rest)
+        made.append((cells.count(), members.where("n > 2").count()))
+        return cells, keys
+
+    monkeypatch.setattr(oph_minhash, "residual", counted)
+    want = brute_components(rows)
+    assert classed(spark, rows, max_cell=32) == want
+    assert made[0][0] <= 1.5 * made[0][1]

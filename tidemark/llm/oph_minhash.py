@@ -8,8 +8,9 @@
 2. Equal sets are one class (by a 128-bit digest), so copies cost nothing from here on.
 3. ``ROWS`` neighbouring bins make a band; classes with an equal band meet in a bucket. Two sets of
    similarity 0.8 miss each other in all 60 bands of five with a chance of 4e-11.
-4. A bucket of n classes gives n - 1 candidate edges, a star around its smallest class, never
-   all pairs. The same edge of several bands is one. Sizes rule out most of what can't reach
+4. A bucket of n classes gives n - 1 candidate edges, a star around the class that meets the most
+   others in all its buckets, never all pairs: of an original and its near copies, which may be
+   linked with the original alone, that is the original. The same edge of several bands is one. Sizes rule out most of what can't reach
    the threshold; the others are confirmed on the full sets, which are made again only for the
    classes on such edges.
 5. A star can miss a link between two of its tips. Buckets of three or more classes whose members
@@ -17,8 +18,11 @@
    an exact count of shared shingles; that gives one edge for each component that joins another.
    The centre serves as a vantage point: members linked with it need no part in that unless one
    of another component has a similarity to it of at least 0.6, below which, by the triangle
-   inequality, no link with them is possible. Buckets with the same members are joined once. One over ``MAX_CELL`` classes is cut into parts, and every pair of parts is a
-   cell of its own, so no task holds more than ``MAX_CELL`` sets and nothing is dropped.
+   inequality, no link with them is possible. Buckets with the same members are joined once. In one
+   over ``MAX_CELL`` classes the members of the largest component, which need not meet each other, are
+   dealt to cells and the others, if they fill at most half a cell, go to each. Otherwise it is cut into
+   parts, and every pair of parts is a cell of its own. No task holds more than about ``MAX_CELL``
+   sets and nothing is dropped.
 6. Components of the confirmed edges get the smallest id.
 
 Edge cases: null, empty and wordless texts have an empty set and are linked with nothing; a text
@@ -155,11 +159,17 @@ def reaches(shared, one, two, percent: int = PERCENT):
 
 
 def buckets(sigs: DataFrame) -> DataFrame:
-    """(bucket, n, centre, c): the members of every band bucket of two or more classes."""
+    """(bucket, n, centre, c): the members of every band bucket of two or more classes, and its centre.
+
+    The centre is the member that meets the most others, all its buckets counted; of equals the smallest.
+    """
     single = cut(sigs.where("cls is not null").select("cls", "keys").dropDuplicates(["cls"]), "distinct-sets")
     bands = single.select(_short(F.col("cls")).alias("c"), F.explode(F.array_distinct("keys")).alias("bucket"))
-    many = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("centre")).where("n > 1")
-    return bands.join(many, "bucket").select("bucket", "n", "centre", "c")
+    many = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = cut(bands.join(many, "bucket").select("bucket", "n", "c"), "meetings")
+    famed = met.join(met.groupBy("c").agg(F.sum("n").alias("met")), "c")
+    centres = famed.groupBy("bucket").agg(F.min_by("c", F.struct(-F.col("met"), F.col("c"))).alias("centre"))
+    return met.join(centres, "bucket").select("bucket", "n", "centre", "c")
 
 
 def sets_of(wanted: DataFrame, sigs: DataFrame, docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
@@ -225,16 +235,19 @@ def residual(members: DataFrame, labels: DataFrame, sets: DataFrame, grades: Dat
     reach = named.groupBy("bucket").agg(F.max(own).alias("own"), F.min(middle).alias("low"), F.max(middle).alias("high"))
     reach = reach.select("bucket", F.coalesce((F.col("low") != F.col("own")) | (F.col("high") != F.col("own")), F.lit(False)).alias("reach"))
     named = cut(named.join(reach, "bucket").where("grade < 2 or reach").select("bucket", "c", "group"), "residual-members")
-    about = named.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("who"))
-    apart = cut(about.where("low != high").groupBy("n", "who").agg(F.min("bucket").alias("bucket")), "residual")
-    parts = F.ceil(F.col("n") / F.lit(max_cell / 2.0)).cast("bigint")
-    parts = F.when(F.col("n") <= max_cell, F.lit(1)).otherwise(parts).cast("bigint")
-    chosen = apart.select("bucket", parts.alias("parts"))
+    sized = named.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("who"))
+    about = sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("groups"), F.sum("m").alias("n"), F.bit_xor("who").alias("who"), F.max("m").alias("most"), F.max_by("group", F.struct("m", "group")).alias("main"))
+    apart = cut(about.where("groups > 1").groupBy("n", "who").agg(F.min(F.struct("bucket", "main", "most")).alias("b")).select("n", "b.*"), "residual")
+    half = max_cell / 2.0
+    few = F.col("n") - F.col("most") <= F.lit(half)  # outside the largest component
+    parts = F.when(F.col("n") <= max_cell, 1).when(few, F.ceil(F.col("most") / F.lit(half))).otherwise(F.ceil(F.col("n") / F.lit(half))).cast("bigint")
+    chosen = apart.select("bucket", "main", few.alias("few"), parts.alias("parts"))
     spread = named.select("bucket", "c", "group").join(dimension(chosen, BROADCAST_ROWS), "bucket")
-    mine = F.pmod(F.xxhash64("c", F.lit(7)), "parts")
-    spread = spread.select("bucket", "c", "group", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other"))
+    spread = spread.withColumn("mine", F.pmod(F.xxhash64("c", F.lit(7)), "parts"))
+    cells = F.when(F.col("few") & (F.col("group") == F.col("main")), F.array("mine")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    spread = spread.select("bucket", "c", "group", "few", "mine", F.explode(cells).alias("other"))
     keys = ["bucket", "low", "high"]
-    spread = spread.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
+    spread = spread.withColumns({"low": F.when(F.col("few"), F.col("other")).otherwise(F.least("mine", "other")), "high": F.when(F.col("few"), F.col("other")).otherwise(F.greatest("mine", "other"))})
     return spread.join(sets, "c").select(*keys, "cls", "group", "n", "h"), keys
 
 
@@ -247,10 +260,13 @@ def residual_stars(members: DataFrame, labels: DataFrame, sets: DataFrame, grade
         held = group.column("h").combine_chunks() if isinstance(group.column("h"), pa.ChunkedArray) else group.column("h")
         flat, ends = held.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(sizes)))
         own = [flat[x:y] for x, y in zip(ends, ends[1:], strict=False)]
-        shared = shared_counts(own, own)
         names, of, at = np.unique(group.column("group").to_numpy(), return_index=True, return_inverse=True)
-        apart = at[:, None] != at[None, :]
-        left, right = np.nonzero(np.triu(reaches(shared, sizes[:, None], sizes[None, :], percent) & apart, 1))
+        rest = np.flatnonzero(at != np.bincount(at).argmax())  # every pair across components has a member outside the largest
+        if not len(rest):
+            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+        shared = shared_counts([own[i] for i in rest], own)
+        left, right = np.nonzero(reaches(shared, sizes[rest, None], sizes[None, :], percent) & (at[rest, None] != at[None, :]))
+        left = rest[left]
         label = components(len(names), at[left], at[right])
         moved = np.flatnonzero(label != np.arange(len(names)))  # one edge for each known component that joins another
         return pa.table({"a": pa.array([classes[of[i]] for i in moved], pa.binary()), "b": pa.array([classes[of[label[i]]] for i in moved], pa.binary())})
