@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import map_texts
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -108,3 +113,30 @@ def measure(text: bytes | None) -> tuple[tuple[int, int, int, int, int], list[fl
         upper_words / len(number),
     ]
     return base, features
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, the five counts, x array<float>) of every document, in one map pass; what was measured before is returned as it is."""
+    if "x" in docs.columns and text not in docs.columns:
+        return docs
+
+    def rows(texts: list[bytes | None]) -> list[pa.Array]:
+        found = [measure(t) for t in texts]
+        base = np.array([b for b, _ in found], dtype=np.int64)
+        return [pa.array(base[:, i]) for i in range(len(COUNTS))] + [pa.array([f for _, f in found], pa.list_(pa.float32()))]
+
+    return map_texts(docs, [key], text, ", ".join([*(f"{c} bigint" for c in COUNTS), "x array<float>"]), rows)
+
+
+def labelled(seen: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(label, x) of all measured documents with a label; sorted inside partitions, so that equal runs meet equal blocks."""
+    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("__id")).agg(F.max(label).cast("double").alias("label"))
+    return seen.join(known, F.col(key) == F.col("__id")).sortWithinPartitions(key, "x").select("label", "x")
+
+
+def vectors(column: pa.Array) -> np.ndarray:
+    """Feature lists of an Arrow batch as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(FEATURES))
