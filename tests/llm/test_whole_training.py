@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import blocks, bt_quality, common, docstats
+from tidemark.llm import blocks, boosted_rules, bt_quality, common, docstats
 
 
 def corpus(spark, rows):
@@ -24,6 +24,16 @@ def test_order_statistics_are_exact(spark):
         assert (np.sort(column)[asked] == values).all()
 
 
+def test_op6_learns_from_every_labelled_document(spark):
+    docs, labels, rows = corpus(spark, 7000)
+    x = np.array([docstats.measure(r["text"].encode())[1] for r in rows], dtype=np.float32).astype(np.float64)
+    y = np.array([r["quality"] for r in rows], dtype=np.float64)
+    whole = boosted_rules.boost(x, y, {docstats.FEATURES.index(n): way for n, way in boosted_rules.MONOTONE.items()})
+    own = boosted_rules.train(docs, labels)
+    assert np.abs(own.raw(x) - whole.raw(x)).max() < 1e-9
+    assert (own.raw(x)[y == 1] < own.threshold).mean() <= 0.005
+
+
 def test_op7_minimises_the_loss_of_all_pairs(spark):
     """The slope of the exact loss, over every pair of a good and a bad document, vanishes at the learned weights."""
     docs, labels, rows = corpus(spark, 900)

@@ -62,9 +62,3 @@ def map_texts(
     names = [f.name for f in fields] + [part.strip().split(" ")[0] for part in schema.split(",")]
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
     return source.mapInArrow(run, ", ".join([*kept, schema]))
-
-
-def hash_sample(ids: DataFrame, key: str, rows: int, seed: int = 17) -> DataFrame:
-    """The ``rows`` rows with the smallest hash of ``key``: bounded, repeatable, no global sort."""
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    return ids.where(F.col(key).isNotNull()).orderBy(order, F.col(key)).limit(rows)
