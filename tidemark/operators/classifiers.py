@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import patterns
-from tidemark.functions.text import hit_count, is_blank, json_object, ustrip
+from tidemark.functions.text import any_hit, is_blank, json_object, ustrip
 from tidemark.operators import context
 from tidemark.operators.gates import DomainPack
 from tidemark.operators.pipelines import answered_no, answered_yes, certainty, expected_verdict, extract, opened, resolve_mismatch, traffic_stage
@@ -227,8 +227,8 @@ COINS = Verified("coins", patterns.COINS, patterns.NOT_COINS)
 def verified(messages: DataFrame, kind: Verified, scorer: Scorer) -> DataFrame:
     """Adds is_lead and stage: blank, stopped, no_hits, verify, extract or lead. Patterns read ``kind.text``."""
     said = F.col(kind.text)
-    unwanted = hit_count(said, patterns.ready(kind.unwanted)) > 0 if kind.unwanted else F.lit(False)
-    wanted = hit_count(said, patterns.ready(kind.wanted)) > 0
+    unwanted = any_hit(said, kind.unwanted) if kind.unwanted else F.lit(False)
+    wanted = any_hit(said, kind.wanted)
     early = F.when(is_blank(F.col("text")), "blank").when(unwanted & F.lit(kind.context), "stopped").when(~wanted, "no_hits").when(unwanted, "stopped")
     rows = cut(messages.withColumn("__early", early), "gated")
     checked = asked(rows, F.col("__early").isNull(), scorer, f"{kind.name}_verify")
