@@ -13,9 +13,10 @@ so the highest score is the nearest row, and a score window is a distance annulu
   part's least and greatest distances to ``PIVOTS`` sample rows are kept: they bound, through
   the triangle inequality, its distances to any anchor. That table is sent to all tasks in
   blocks of at most ``BOUND_ROWS`` parts.
-* **Search.** A task holds one part at a time, builds its vantage-point tree and streams the
-  anchors sent to it. Leaves are visited nearest first while they can hold a row that belongs
-  among the best k; leaves wholly outside the annulus are not read.
+* **Search.** A task holds one part, builds its vantage-point tree and streams the anchors sent to
+  it, ``BLOCK`` at a time. Leaves are visited in slabs of some ``SLAB`` rows, those nearest to the block
+  first, while they can hold a row that belongs among the best k of one of its anchors; leaves
+  wholly outside its annuli are not read. The scores of a slab are one product of matrices.
 * **Rounds.** The k rows of an anchor's own label in its nearest part bound the search for its
   positives in the others. The positives' scores then give each anchor its windows, and a part
   is visited if its bounds meet one of them.
@@ -54,6 +55,10 @@ SAMPLE, REGIONS, PIVOTS = 8192, 1024, 16
 SHARD, LEAST_SHARD, LEAF = 65_536, 2048, 128
 BOUND_ROWS = 20_000
 BATCH = 2000
+#: Anchors and rows whose scores are taken at once; columns of a slab that share a maximum; a slab's scores over those looked at singly.
+BLOCK, SLAB, GROUP, FEW = 512, 1024, 16, 50
+#: Parts for each core where the table has enough rows: regions differ in size.
+WAVES = 3
 _ROW = "id bigint, label bigint, v array<int>"
 
 
@@ -151,9 +156,16 @@ class VantageTree:
             for at, step in enumerate(path):
                 self.path[i, at], self.least[i, at], self.most[i, at] = step
 
-    def bounds(self, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The least and greatest possible distance of the anchor to each leaf's points."""
-        return distance_bounds(_away(anchor[None, :], self.vantages)[0][self.path], self.least, self.most)
+    def bounds(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The least and greatest possible distance of every anchor to each leaf's points."""
+        away = _away(anchors, self.vantages)
+        low, high = np.zeros((len(anchors), len(self.leaves))), np.full((len(anchors), len(self.leaves)), np.inf)
+        for step in range(self.path.shape[1] if len(self.vantages) else 0):
+            here = away[:, self.path[:, step]]
+            np.maximum(low, self.least[:, step] - here, out=low)
+            np.maximum(low, here - self.most[:, step], out=low)
+            np.minimum(high, here + self.most[:, step], out=high)
+        return low, high
 
     def route(self, points: np.ndarray) -> np.ndarray:
         """The leaf to which each point belongs."""
@@ -194,41 +206,103 @@ class Part:
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, points: np.ndarray, largest: float) -> None:
         order = np.lexsort((labels, ids))
-        self.ids, self.labels, self.points = ids[order], labels[order], points[order]
+        self.ids, self.labels, points = ids[order], labels[order], points[order]
         self.largest = largest
-        self.tree = VantageTree(augmented(self.points, largest))
-        self.scored = 0  # rows whose scores were taken
+        self.tree = VantageTree(augmented(points, largest))
+        # no sum of products exceeds the largest squared norm, and floats hold whole numbers below 2^24
+        self.points = points.astype(np.float32 if largest < 1 << 24 else np.float64)
+        self.scored = 0  # scores taken
 
     def search(self, own_id: int, own_label: int, anchor: np.ndarray, wanted: Sequence[Wanted]) -> list[tuple[int, int, int]]:
-        """(slot, row, score) of the best rows of every window."""
-        square = float(anchor @ anchor) + self.largest
-        slack = 1e-7 * (math.sqrt(square) + 1.0)
-        near, far = self.tree.bounds(np.append(anchor, 0.0))
+        """(slot, row, score) of the best rows of every window of one anchor."""
+        low, high = np.array([[w.low for w in wanted]], dtype=np.float64), np.array([[w.high for w in wanted]], dtype=np.float64)
+        _, slots, rows, scores = self.search_block(np.array([own_id]), np.array([own_label]), anchor[None, :], low, high, wanted[0].same, wanted[0].k)
+        return [(wanted[s].slot, row, score) for s, row, score in zip(slots.tolist(), rows.tolist(), scores.tolist(), strict=True)]
+
+    def search_block(self, own_ids: np.ndarray, own_labels: np.ndarray, anchors: np.ndarray, low: np.ndarray, high: np.ndarray, same: bool, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, window, row, score) of the best ``k`` rows of every window; ``low`` and ``high`` have a row for each anchor.
+
+        A window whose ``low`` is infinite is none.
+        """
+        square = (anchors * anchors).sum(axis=1)[:, None] + self.largest
+        slack = 1e-7 * (np.sqrt(square) + 1.0)
+        near, far = self.tree.bounds(np.column_stack((anchors, np.zeros(len(anchors)))))
         # a distance's score, with room for rounding
         top = np.floor((square - np.maximum(0.0, near - slack) ** 2) / 2.0 + 1e-6)
         bottom = np.where(np.isfinite(far), np.ceil((square - (far + slack) ** 2) / 2.0 - 1e-6), -np.inf)
-        scores: dict[int, np.ndarray] = {}
-        found = []
-        for w in wanted:
-            reach = np.flatnonzero((top >= w.low) & (bottom <= w.high))
-            best: list[tuple[float, int]] = []  # (-score, row), rows being in the order of ids
-            for leaf in reach[np.argsort(-np.minimum(top[reach], w.high), kind="stable")].tolist():
-                if len(best) == w.k and top[leaf] < -best[-1][0]:
-                    break
-                at = self.tree.leaves[leaf]
-                if leaf not in scores:
-                    scores[leaf] = self.points[at] @ anchor
-                    self.scored += len(at)
-                own = scores[leaf]
-                fits = (own >= w.low) & (own <= w.high) & ((self.labels[at] == own_label) == w.same)
-                if w.same:
-                    fits &= self.ids[at] != own_id
-                if len(best) == w.k:
-                    fits &= own >= -best[-1][0]
-                if fits.any():
-                    best = sorted([*best, *zip((-own[fits]).tolist(), at[fits].tolist(), strict=True)])[: w.k]
-            found += [(w.slot, row, int(-score)) for score, row in best]
-        return found
+        best = np.full((*low.shape, k), -np.inf)
+        row = np.full((*low.shape, k), len(self.ids))  # rows are in the order of ids
+        least = low.copy()  # what a score must reach, for each window
+        asked = anchors.astype(self.points.dtype)
+        for leaves in self._slabs(top, high):
+            live = (top[:, leaves].max(axis=1)[:, None] >= least) & (bottom[:, leaves].min(axis=1)[:, None] <= high)
+            a = np.flatnonzero(live.any(axis=1))
+            if not len(a):
+                continue
+            leaves = leaves[(top[np.ix_(a, leaves)] >= least[a].min(axis=1)[:, None]).any(axis=0)]
+            at = np.sort(np.concatenate([self.tree.leaves[leaf] for leaf in leaves.tolist()]))
+            scores = asked[a] @ self.points[at].T
+            self.scored += scores.size
+            # most slabs hold few scores that any window of their anchor could take: those are looked at one by one
+            few = np.flatnonzero(scores >= np.where(live[a], least[a], np.inf).min(axis=1)[:, None].astype(scores.dtype))
+            if len(few) * FEW <= scores.size:
+                r, c = np.divmod(few, len(at))
+                fits = (self.labels[at[c]] == own_labels[a[r]]) == same
+                if same:
+                    fits &= self.ids[at[c]] != own_ids[a[r]]
+                r, c = r[fits], c[fits]
+                score = scores[r, c].astype(np.float64)
+                for w in range(low.shape[1]):
+                    fits = (score >= least[a[r], w]) & (score <= high[a[r], w])
+                    self._merge(a[r[fits]], at[c[fits]], score[fits], w, best, row, least)
+                continue
+            away = (self.labels[at] == own_labels[a][:, None]) != same
+            if same:
+                away |= self.ids[at] == own_ids[a][:, None]
+            scores[away] = -np.inf
+            for w in range(low.shape[1]):
+                b = np.flatnonzero(live[a, w])
+                if len(b):
+                    r, c, score = self._highest(scores if len(b) == len(a) else scores[b], least[a[b], w], high[a[b], w], k)
+                    self._merge(a[b[r]], at[c], score, w, best, row, least)
+        anchor, window, place = np.nonzero(best > -np.inf)
+        return anchor, window, row[anchor, window, place], best[anchor, window, place].astype(np.int64)
+
+    def _slabs(self, top: np.ndarray, high: np.ndarray) -> Iterator[np.ndarray]:
+        """The leaves, those first that are nearest to the anchors' windows, some ``SLAB`` rows at a time."""
+        order = np.argsort(-np.minimum(top, high.max(axis=1)[:, None]).mean(axis=0), kind="stable")
+        rows = np.cumsum([len(self.tree.leaves[leaf]) for leaf in order.tolist()])
+        yield from np.split(order, np.flatnonzero(np.diff((rows - 1) // SLAB)) + 1)
+
+    @staticmethod
+    def _highest(scores: np.ndarray, least: np.ndarray, high: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, column, score) of some scores from ``least`` to ``high``, among them the best k of every row."""
+        if (scores.max(axis=1) > high).any():
+            scores = np.where(scores <= high[:, None], scores, -np.inf)
+        groups = scores.shape[1] // GROUP
+        if groups >= k:  # the k-th largest maximum of groups of columns is a bound that k scores reach
+            most = scores[:, : groups * GROUP].reshape(len(scores), GROUP, groups).max(axis=1)
+            least = np.maximum(least, np.partition(most, groups - k, axis=1)[:, groups - k])
+        fits = scores >= least[:, None].astype(scores.dtype)
+        if np.count_nonzero(fits) > 4 * k * len(scores):  # of many equal scores the first k do
+            equal = fits & (scores == least[:, None])
+            fits &= ~equal | (np.cumsum(equal, axis=1, dtype=np.int32) <= k)
+        r, c = np.nonzero(fits)
+        return r, c, scores[r, c].astype(np.float64)
+
+    @staticmethod
+    def _merge(whose: np.ndarray, at: np.ndarray, score: np.ndarray, w: int, best: np.ndarray, row: np.ndarray, least: np.ndarray) -> None:
+        """Puts scores of anchors ``whose`` among the best of their window ``w``, where they belong there."""
+        if not len(whose):
+            return
+        n, k = np.unique(whose), best.shape[2]
+        whose = np.concatenate((whose, np.repeat(n, k)))
+        score = np.concatenate((score, best[n, w].ravel()))
+        at = np.concatenate((at, row[n, w].ravel()))
+        order = np.lexsort((at, -score, whose))
+        chosen = order[np.searchsorted(whose[order], n)[:, None] + np.arange(k)]  # every anchor has its former k at least
+        best[n, w], row[n, w] = score[chosen], at[chosen]
+        least[n, w] = np.maximum(least[n, w], best[n, w, k - 1])
 
 
 @dataclass(frozen=True)
@@ -255,7 +329,7 @@ def fitted_space(rows: DataFrame, shards: int) -> Space:
 def dealt_parts(rows: DataFrame, space: Space, shard: int) -> tuple[DataFrame, DataFrame]:
     """(rows with region and part, bounds): every row in its region, regions over ``shard`` rows in parts.
 
-    ``bounds`` has the ranges of distances to the pivots for every part.
+    ``bounds`` has the ranges of distances to the pivots for every part. ``task`` numbers the parts.
     """
     ship(rows.sparkSession)
 
@@ -268,14 +342,16 @@ def dealt_parts(rows: DataFrame, space: Space, shard: int) -> tuple[DataFrame, D
     routed = cut(rows.mapInArrow(run, f"{_ROW}, region bigint, away array<double>"), "routed")
     sizes = routed.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / F.lit(shard)).cast("bigint")
-    many = sizes.select("region", parts.alias("parts"))  # at most REGIONS rows
-    dealt = routed.join(F.broadcast(many), "region").withColumn("part", F.pmod(F.xxhash64("id", "label", "v"), "parts")).drop("parts")
+    before = Window.orderBy("region").rowsBetween(Window.unboundedPreceding, -1)  # at most REGIONS rows
+    many = sizes.select("region", parts.alias("parts")).withColumn("first", F.coalesce(F.sum("parts").over(before), F.lit(0)))
+    dealt = routed.join(F.broadcast(many), "region").withColumn("part", F.pmod(F.xxhash64("id", "label", "v"), "parts"))
+    dealt = dealt.withColumn("task", (F.col("first") + F.col("part")).cast("int")).drop("parts", "first")
     dealt = cut(dealt, "dealt")
     ends = [f(F.get("away", F.lit(i))).alias(f"{f.__name__}{i}") for i in range(len(space.pivots)) for f in (F.min, F.max)]
-    ranges = dealt.groupBy("region", "part").agg(*(ends or [F.count(F.lit(1)).alias("n")]))
+    ranges = dealt.groupBy("region", "part", "task").agg(*(ends or [F.count(F.lit(1)).alias("n")]))
     least = F.array(*[F.col(f"min{i}") for i in range(len(space.pivots))])
     most = F.array(*[F.col(f"max{i}") for i in range(len(space.pivots))])
-    return dealt.drop("away"), cut(ranges.select("region", "part", least.cast("array<double>").alias("least"), most.cast("array<double>").alias("most")), "bounds")
+    return dealt.drop("away"), cut(ranges.select("region", "part", "task", least.cast("array<double>").alias("least"), most.cast("array<double>").alias("most")), "bounds")
 
 
 def _bound_blocks(bounds: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -285,11 +361,11 @@ def _bound_blocks(bounds: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, n
     for i in range(blocks):
         held = (bounds.where(F.pmod(F.xxhash64("region", "part"), F.lit(blocks)) == i) if blocks > 1 else bounds).orderBy("region", "part").toArrow()
         if held.num_rows:
-            names = np.column_stack((held.column("region").to_numpy(), held.column("part").to_numpy()))
+            names = np.column_stack([held.column(c).to_numpy() for c in ("region", "part", "task")])
             yield names, np.array(held.column("least").to_pylist()), np.array(held.column("most").to_pylist())
 
 
-_VISIT = "anchor bigint, own bigint, av array<int>, slots array<struct<slot:int,low:bigint,high:bigint>>, region bigint, part bigint"
+_VISIT = "anchor bigint, own bigint, av array<int>, slots array<struct<slot:int,low:bigint,high:bigint>>, region bigint, part bigint, task int"
 
 
 def visits(anchors: DataFrame, bounds: DataFrame, space: Space, nearest: bool = False) -> DataFrame:
@@ -305,7 +381,7 @@ def visits(anchors: DataFrame, bounds: DataFrame, space: Space, nearest: bool =
                 points = matrix(batch.column("av"), space.width)
                 away = _away(np.column_stack((points, np.zeros(len(points)))), space.pivots)
                 slots, seen = batch.column("slots").to_pylist(), batch.column("seen").to_pylist()
-                known = {tuple(n): j for j, n in enumerate(names.tolist())}
+                known = {tuple(n[:2]): j for j, n in enumerate(names.tolist())}
                 rows, to = [], []
                 for i in range(len(points)):
                     near, far = distance_bounds(away[i], least, most)
@@ -338,22 +414,35 @@ def visits(anchors: DataFrame, bounds: DataFrame, space: Space, nearest: bool =
 
 def _sent(batch: pa.RecordBatch, rows: list[int], to: np.ndarray) -> pa.RecordBatch:
     taken = batch.select(["anchor", "own", "av", "slots"]).take(pa.array(rows))
-    return pa.RecordBatch.from_arrays([*taken.columns, pa.array(to[:, 0]), pa.array(to[:, 1])], names=["anchor", "own", "av", "slots", "region", "part"])
+    return pa.RecordBatch.from_arrays([*taken.columns, pa.array(to[:, 0]), pa.array(to[:, 1]), pa.array(to[:, 2], pa.int32())], names=["anchor", "own", "av", "slots", "region", "part", "task"])
+
+
+def _windows(slots: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slot, low, high), a row for each anchor; the low end of missing windows is infinite."""
+    sizes = slots.value_lengths().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    column = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    shape = (len(sizes), max(1, int(sizes.max())))
+    slot, low, high = np.zeros(shape, dtype=np.int32), np.full(shape, np.inf), np.full(shape, -np.inf)
+    for into, name in ((slot, "slot"), (low, "low"), (high, "high")):
+        into[row, column] = slots.flatten().field(name).to_numpy()
+    return slot, low, high
 
 
 _FOUND = "anchor bigint, own bigint, slot int, id bigint, label bigint, score bigint, region bigint, part bigint"
 
 
-def searched(dealt: DataFrame, sent: DataFrame, space: Space, same: bool, k: int) -> DataFrame:
+def searched(dealt: DataFrame, sent: DataFrame, space: Space, tasks: int, same: bool, k: int) -> DataFrame:
     """The best k rows of every window in every visited part.
 
-    A part's rows come first in its task and make the tree; its anchors stream past.
+    A part is a task. Its rows come first and make the tree; its anchors stream past.
     """
     no_slots = F.lit(None).cast("array<struct<slot:int,low:bigint,high:bigint>>")
-    rows = dealt.select("region", "part", F.lit(0).alias("kind"), "id", "label", "v", no_slots.alias("slots"))
-    asked = sent.select("region", "part", F.lit(1).alias("kind"), F.col("anchor").alias("id"), F.col("own").alias("label"), F.col("av").alias("v"), "slots")
-    both = rows.join(sent.select("region", "part").distinct(), ["region", "part"], "left_semi").unionByName(asked)
+    rows = dealt.select("region", "part", "task", F.lit(0).alias("kind"), "id", "label", "v", no_slots.alias("slots"))
+    asked = sent.select("region", "part", "task", F.lit(1).alias("kind"), F.col("anchor").alias("id"), F.col("own").alias("label"), F.col("av").alias("v"), "slots")
+    both = rows.join(F.broadcast(sent.select("task").distinct()), "task", "left_semi").select(*rows.columns).unionByName(asked)
     names = [c.split(" ")[0] for c in _FOUND.split(", ")]
+    types = [pa.int32() if n == "slot" else pa.int64() for n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, part = None, [], None
@@ -362,27 +451,26 @@ def searched(dealt: DataFrame, sent: DataFrame, space: Space, same: bool, k: int
             edges = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
             for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
                 region, at, kind = keys[start].tolist()
-                piece = batch.slice(start, end - start)
-                points = matrix(piece.column("v"), space.width)
                 if kind == 0:
                     if now != (region, at):
                         now, held, part = (region, at), [], None
-                    held.append((piece.column("id").to_numpy(), piece.column("label").to_numpy(), points))
+                    piece = batch.slice(start, end - start)
+                    held.append((piece.column("id").to_numpy(), piece.column("label").to_numpy(), matrix(piece.column("v"), space.width)))
                     continue
                 if part is None:
                     part = Part(*[np.concatenate(x) for x in zip(*held, strict=True)], space.largest)
                     held = []
-                found = []
-                slots = piece.column("slots").to_pylist()
-                for i, (a, own) in enumerate(zip(piece.column("id").to_pylist(), piece.column("label").to_pylist(), strict=True)):
-                    wanted = [Wanted(s["slot"], s["low"], s["high"], same, k) for s in slots[i]]
-                    for slot, row, score in part.search(a, own, points[i], wanted):
-                        found.append((a, own, slot, int(part.ids[row]), int(part.labels[row]), score, region, at))
-                if found:
-                    kinds = [pa.int32() if n == "slot" else pa.int64() for n in names]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
+                for first in range(start, end, BLOCK):
+                    piece = batch.slice(first, min(BLOCK, end - first))
+                    ids, own = piece.column("id").to_numpy(), piece.column("label").to_numpy()
+                    slot, low, high = _windows(piece.column("slots"))
+                    a, w, row, score = part.search_block(ids, own, matrix(piece.column("v"), space.width), low, high, same, k)
+                    if len(a):
+                        here = [np.full(len(a), region), np.full(len(a), at)]
+                        found = [ids[a], own[a], slot[a, w], part.ids[row], part.labels[row], score, *here]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types, strict=True)], names=names)
 
-    return both.repartition("region", "part").sortWithinPartitions("region", "part", "kind").mapInArrow(run, _FOUND)
+    return both.repartitionById(max(1, tasks), "task").sortWithinPartitions("region", "part", "kind").mapInArrow(run, _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -403,21 +491,22 @@ def hard_negatives(
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for the anchors (all rows by default).
 
-    A shard holds at most about ``shard`` rows; small tables get one for each core.
+    A shard holds at most about ``shard`` rows; small tables get ``WAVES`` for each core.
     """
     spark = rows.sparkSession
     ready = one_per_id(cut(quantised(rows, key, label, vector), "vectors"))
     count = ready.count()
     cores = spark.sparkContext.defaultParallelism
-    shards = max(math.ceil(count / shard), min(cores, math.ceil(count / LEAST_SHARD)), 1)
+    shards = max(math.ceil(count / shard), min(WAVES * cores, math.ceil(count / LEAST_SHARD)), 1)
     space = fitted_space(ready, shards)
     dealt, bounds = dealt_parts(ready, space, shard)
+    tasks = bounds.count()
     whole = F.array(F.struct(F.lit(0).alias("slot"), F.lit(-(1 << 62)).alias("low"), F.lit(1 << 62).alias("high")))
     chosen = F.col("id") % ANCHORS == 0 if anchors is None else anchors
     asked = cut(ready.where(chosen).select(F.col("id").alias("anchor"), F.col("label").alias("own"), F.col("v").alias("av")), "anchors")
     nowhere = F.array().cast("array<struct<region:bigint,part:bigint>>")
     home = cut(visits(asked.select("*", whole.alias("slots"), nowhere.alias("seen")), bounds, space, nearest=True), "home")
-    first = cut(searched(dealt, home, space, True, positives), "first")
+    first = cut(searched(dealt, home, space, tasks, True, positives), "first")
     # the weakest of a full set bounds the others; the part need not be searched again
     ranked = _best(first, positives)
     least = ranked.groupBy("anchor", "own").agg(F.when(F.count(F.lit(1)) == positives, F.min("score")).alias("least"))
@@ -425,14 +514,14 @@ def hard_negatives(
     bounded = asked.join(seen, ["anchor", "own"]).join(least, ["anchor", "own"], "left")
     slots = F.array(F.struct(F.lit(0).alias("slot"), F.coalesce("least", F.lit(-(1 << 62))).alias("low"), F.lit(1 << 62).alias("high")))
     others = bounded.select("anchor", "own", "av", slots.alias("slots"), "seen")
-    rest = searched(dealt, cut(visits(others, bounds, space), "visits"), space, True, positives)
+    rest = searched(dealt, cut(visits(others, bounds, space), "visits"), space, tasks, True, positives)
     best = cut(_best(first.unionByName(rest), positives), "positives")
     low = F.ceil(F.col("score") * percent[0] / F.lit(100)).cast("bigint")
     high = F.floor(F.col("score") * percent[1] / F.lit(100)).cast("bigint")
     window = F.struct(F.col("rank").alias("slot"), low.alias("low"), high.alias("high"))
     wanted = best.withColumn("w", window).where("w.low <= w.high").groupBy("anchor", "own").agg(F.array_sort(F.collect_list("w")).alias("slots"))
     sent = asked.join(wanted, ["anchor", "own"]).select("anchor", "own", "av", "slots", nowhere.alias("seen"))
-    found = _best(searched(dealt, cut(visits(sent, bounds, space), "visits"), space, False, negatives), negatives)
+    found = _best(searched(dealt, cut(visits(sent, bounds, space), "visits"), space, tasks, False, negatives), negatives)
     pairs = found.select("anchor", "own", F.col("slot").alias("at"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     named = best.select("anchor", "own", F.col("rank").alias("at"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     made = pairs.join(named, ["anchor", "own", "at"])
